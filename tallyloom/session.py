@@ -1,0 +1,71 @@
+"""Session settings the library relies on, and the shared work folder."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+RUNTIME_CONF = {
+    # Dates are compared as calendar days; a fixed zone keeps them stable.
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split skewed join partitions even where that costs one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def local_session(cores: str = "*", app: str = "tallyloom", **conf: str) -> SparkSession:
+    """A local session for tests and the bench; clusters bring their own."""
+    builder = (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName(app)
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "8")
+        # Call-site capture costs a round trip per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
+    for key, value in {**RUNTIME_CONF, **conf}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the run-time settings to a session somebody else built."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which all executors see.
+
+    Only a local session may fall back to the machine's own temporary folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a small, often used frame once and cut its lineage there."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
