@@ -71,6 +71,11 @@ def whole_number(value: Column | str, default: int = 0) -> Column:
     return number(value, default).try_cast("bigint")
 
 
+def is_unreadable_number(value: Column | str) -> Column:
+    """True where a balance is missing or unreadable and so counts as zero."""
+    return number_or_null(value).isNull()
+
+
 def ledger_date_text(value: Column | str) -> Column:
     """A stripped date without its time part."""
     text, midnight = strip(value), " 00:00:00"

@@ -44,9 +44,12 @@ def instalment_payment(amount: Column) -> Column:
     extra = F.lit(0)
     for start, more in ROUNDINGS:
         extra = F.when(y >= start, F.lit(more)).otherwise(extra)
-    pay = F.when(amount == 0, F.lit(0))
-    for upper, low_pay in LOW_BANDS:
-        pay = pay.when(amount <= upper, F.lit(low_pay))
+    (lowest, low_pay), (second, second_pay) = LOW_BANDS
+    pay = (
+        F.when(amount == 0, F.lit(0))
+        .when((amount > 0) & (amount <= lowest), F.lit(low_pay))
+        .when(amount <= second, F.lit(second_pay))
+    )
     regular = F.lit(TOP_PAYMENT) - F.lit(PAYMENT_STEP) * y + extra
     return pay.when(amount <= TOP_AMOUNT, regular).cast("int")
 
@@ -70,13 +73,14 @@ def band_join(
             "_cell",
             F.explode(
                 F.sequence(
-                    F.greatest(F.floor(F.col("_lower") / cell), F.lit(0)), F.ceil(F.col(upper) / cell)
+                    F.greatest(F.floor(F.col("_lower") / cell).cast("bigint"), F.lit(0).cast("bigint")),
+                    F.ceil(F.col(upper) / cell).cast("bigint"),
                 )
             ),
         )
         .select("_cell", "_lower", F.col(upper).alias("_upper"), *payload)
     )
-    keyed = rows.withColumn("_cell", F.floor(F.col(amount) / cell))
+    keyed = rows.withColumn("_cell", F.floor(F.col(amount) / cell).cast("bigint"))
     hit = (
         (keyed["_cell"] == grid["_cell"])
         & (keyed[amount] > grid["_lower"])

@@ -277,26 +277,25 @@ def throughput(rows: int, seconds: float) -> float:
     return rows / max(seconds, 0.001)
 
 
-def summary_matrix(ab: DataFrame, sb: DataFrame, three: DataFrame, report: DataFrame) -> DataFrame:
+def summary_matrix(
+    ab: DataFrame, sb: DataFrame | None, three: DataFrame | None, report: DataFrame
+) -> DataFrame:
     """Nine metrics by comparison; null where a comparison has no such number."""
+    classes = [F.col(c) for c in (cmp.PERFECT, cmp.DATE_ONLY, cmp.BALANCE_ONLY)]
     pick = {
         "ab": ab.select(
             F.col("rows_a").alias("source_rows"),
             F.col("active_rows_a").alias("filtered_rows"),
-            F.col("matched_rows"),
-            *[F.col(c) for c in (cmp.PERFECT, cmp.DATE_ONLY, cmp.BALANCE_ONLY)],
-            F.col("debt_separation_cases"),
-        ),
-        "sb": sb.select(
-            F.col("rows_s").alias("source_rows"),
             "matched_rows",
-            *[F.col(c) for c in (cmp.PERFECT, cmp.DATE_ONLY, cmp.BALANCE_ONLY)],
-        ),
-        "three": three.select(
-            "matched_rows", *[F.col(c) for c in (cmp.PERFECT, cmp.DATE_ONLY, cmp.BALANCE_ONLY)]
+            *classes,
+            "debt_separation_cases",
         ),
         "rep": report.select("kept_rows", "conflict_accounts"),
     }
+    if sb is not None:
+        pick["sb"] = sb.select(F.col("rows_s").alias("source_rows"), "matched_rows", *classes)
+    if three is not None:
+        pick["three"] = three.select("matched_rows", *classes)
     flat = one_row(*[f.select(*[F.col(c).alias(f"{k}_{c}") for c in f.columns]) for k, f in pick.items()])
 
     def cell(name: str) -> Column:
@@ -305,7 +304,7 @@ def summary_matrix(ab: DataFrame, sb: DataFrame, three: DataFrame, report: DataF
     layout = [
         ("source_rows", "ab_source_rows", "sb_source_rows", ""),
         ("filtered_rows", "ab_filtered_rows", "", ""),
-        ("counterpart_rows", "rep_kept_rows", "rep_kept_rows", ""),
+        ("counterpart_rows", "rep_kept_rows", "rep_kept_rows" if sb is not None else "", ""),
         ("matched_rows", "ab_matched_rows", "sb_matched_rows", "three_matched_rows"),
         ("perfect", "ab_perfect", "sb_perfect", "three_perfect"),
         ("date_only", "ab_date_only", "sb_date_only", "three_date_only"),

@@ -133,4 +133,7 @@ class Reconciliation:
         return pr.presence_buckets({"a": self.a, "b": self.b, "s": self.s}, mt.KEY)
 
     def matrix(self) -> DataFrame:
+        """Metric by comparison; without a schedule only the first comparison is filled."""
+        if self.schedule is None:
+            return sm.summary_matrix(self.ab_summary, None, None, self.dedup_report)
         return sm.summary_matrix(self.ab_summary, self.sb_summary, self.three_summary, self.dedup_report)

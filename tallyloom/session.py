@@ -69,3 +69,12 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute a small, often used frame once and cut its lineage there."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread a small input over the idle cores before work that is heavy per row.
+
+    A large input has more splits than cores and is returned as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
