@@ -16,7 +16,7 @@ from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.sources.files import digests
 
 VERSION = "1.0.0"
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 JSON_OPTIONS = {"dateFormat": "yyyy-MM-dd"}
 
 

@@ -47,7 +47,7 @@ class Layout:
     def resolve(self, header: Sequence[str]) -> dict[str, int]:
         """Position of each wanted column: exact name, else, with loose names, the first
         column that contains the name or is contained in it."""
-        names = [h.lstrip("﻿") for h in header]
+        names = [h.lstrip("\ufeff") for h in header]
         places = {}
         for wanted in self.columns:
             if wanted in names:

@@ -1,0 +1,101 @@
+"""A key that holds a third of all rows must change the plan, never the result."""
+
+from collections import Counter
+
+import pytest
+from conftest import one
+from pyspark.sql import functions as F
+
+from tallyloom.operators import dedup as dd
+from tallyloom.operators import matching as mt
+from tallyloom.operators import presence as pr
+from tallyloom.operators.skew import (
+    SkewGuard,
+    balanced_join,
+    balanced_join_all,
+    expand_copies,
+    heavy_keys,
+)
+from tallyloom.plans.reconcile import Reconciliation
+from tallyloom.sources import derived as dv
+
+EAGER = SkewGuard(min_rows=20, share=0.05, salts=4)
+
+
+def frames(spark):
+    left = [("hot", i % 7) for i in range(60)] + [(f"k{i % 40}", i) for i in range(80)] + [(None, i) for i in range(40)]
+    left += [("lonely", i) for i in range(50)]
+    right = [("hot", i % 5) for i in range(40)] + [(f"k{i % 50}", i) for i in range(60)] + [(None, 1)] * 5
+    right += [("right", i) for i in range(45)] + [("k1", 0)] * 30
+    return (
+        spark.createDataFrame(left, "k string, x int"),
+        spark.createDataFrame(right, "k string, y int"),
+    )
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_heavy_keys_are_found(spark):
+    left, right = frames(spark)
+    found_left, found_right = heavy_keys([left, right], "k", EAGER)
+    assert set(found_left) == {"hot", "lonely"}
+    assert set(found_right) == {"hot", "right", "k1"}
+    assert heavy_keys([left], "k") == [[]]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_balanced_join_equals_plain_join(spark, how):
+    left, right = frames(spark)
+    expected = bag(left.join(right, "k", how).select("k", "x", "y"))
+    assert bag(expand_copies(balanced_join(left, right, "k", how, EAGER))) == expected
+    assert bag(expand_copies(balanced_join(left, right, "k", how, None))) == expected
+    odd = [["hot", "k3"], ["k5", "absent"]]
+    assert bag(expand_copies(balanced_join(left, right, "k", how, EAGER, odd))) == expected
+
+
+def test_copies_collapse_before_the_join(spark):
+    left, right = frames(spark)
+    joined = balanced_join(left, right, "k", "inner", EAGER).where("k = 'hot'")
+    assert joined.count() == 7 * 5
+    assert joined.agg(F.sum("copies")).first()[0] == 60 * 40
+
+
+def test_three_frames(spark):
+    left, right = frames(spark)
+    third = spark.createDataFrame([("hot", i) for i in range(30)] + [(f"k{i}", i) for i in range(30)], "k string, z int")
+    expected = bag(left.join(right, "k").join(third, "k").select("k", "x", "y", "z"))
+    assert bag(expand_copies(balanced_join_all([left, right, third], "k", EAGER))) == expected
+
+
+def test_many_copies_expand_in_steps(spark):
+    df = spark.range(1).select(F.lit(250_001).cast("bigint").alias("copies"))
+    assert expand_copies(df.withColumn("v", F.lit(1))).count() == 250_001
+
+
+def test_null_keys_spread(spark):
+    left, right = frames(spark)
+    assert pr.without_partner(left, right, "k").count() == left.join(right, "k", "left_anti").count()
+
+
+@pytest.fixture(scope="module")
+def hot_ledgers(spark, folder):
+    """A third of each ledger under one account, partly exact copies."""
+    orders = dv.table(spark, folder, "orders").where("o_orderkey < 300")
+
+    def heat(df):
+        return df.withColumn("acc_no", F.when(F.crc32(F.concat_ws("|", *df.columns)) % 3 == 0, "777").otherwise(F.col("acc_no")))
+
+    a, b, s = (heat(f(orders)) for f in (dv.system_ledger, dv.counterpart_ledger, dv.schedule_ledger))
+    return a.union(a.where("acc_no = '777'")), b, s
+
+
+def test_reconciliation_is_the_same_with_and_without_guard(hot_ledgers):
+    guarded = Reconciliation(*hot_ledgers, guard=EAGER)
+    plain = Reconciliation(*hot_ledgers, guard=None)
+    assert guarded.heavy["a"] == guarded.heavy["b"] == guarded.heavy["s"] == ["777"]
+    for name in ("ab_summary", "sb_summary", "three_summary"):
+        assert one(getattr(guarded, name)) == one(getattr(plain, name))
+    assert bag(mt.ab_rows(guarded.ab)) == bag(mt.ab_rows(plain.ab))
+    assert bag(dd.conflict_records(guarded.typed, EAGER)) == bag(dd.conflict_records(plain.typed, None))
