@@ -1,0 +1,26 @@
+import check
+import pytest
+
+import __spark_entry__ as entry_points
+
+QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con(folder):
+    connection = check.connect(folder)
+    yield connection
+    connection.close()
+
+
+def test_every_query_has_sql():
+    assert set(SQL) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_its_sql(spark, folder, con, name):
+    assert check.differences(QUERIES[name](spark, folder), con, SQL[name]) == []
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 1

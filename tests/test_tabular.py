@@ -1,0 +1,158 @@
+import datetime as dt
+from decimal import Decimal
+
+from conftest import one
+from pyspark.sql import functions as F
+
+from tallyloom.functions import comparing as cmp
+from tallyloom.operators import lookups as lk
+from tallyloom.operators import tabular as tb
+
+# Name, what is needed, reward.
+MISSIONS = [
+    ("Pumpkin Man", {"Pumpkins": 3600}, 19),
+    ("Pumpkin Lantern", {"Pumpkins": 2400}, 9),
+    ("Halloween", {"Pumpkins": 4400}, 23),
+    ("Pumpkin Pie", {"Pumpkins": 4000}, 20),
+    ("Salted Sakura", {"Sakura": 1000}, 9),
+    ("Japanese Cooking", {"Sakura": 1200}, 18),
+    ("Sakura Bean Balls", {"Sakura": 600}, 5),
+    ("Flying Pumpkin", {"Pumpkins": 1400}, 18),
+    ("Wagashi Box", {"Sakura": 1200}, 14),
+    ("Rune Stones", {"Hieroglyphs": 3800}, 25),
+    ("Museum Entry Ticket", {"Hieroglyphs": 3800}, 11),
+    ("Autumn Harvest", {"Pumpkins": 3000}, 20),
+    ("Radio Station", {"Signal": 800}, 7),
+    ("Sports Broadcast", {"Signal": 1000}, 18),
+    ("Canned Coffee", {"Aluminum Can": 1000}, 11),
+    ("Canned Pineapple", {"Aluminum Can": 1200}, 23),
+]
+CLASSES = {
+    "Pumpkin Events": ["Pumpkin", "Halloween", "Autumn"],
+    "Sakura/Japan": ["Sakura", "Japanese", "Wagashi"],
+    "Egypt/History": ["Rune", "Museum"],
+}
+GROUPS = [
+    ("first", 1, 15695), ("first", 2, 12698), ("first", 3, 14), ("first", 4, 22990), ("first", 5, 9781),
+    ("second", 6, 9845), ("second", 7, 33692), ("second", 8, 17671),
+]
+INTERVALS = [
+    ("apply", 2566, 2566), ("apply", 2567, 2567), ("comm", 2567, 2567), ("comm", 2568, 2568), ("data", 2568, 2568),
+    ("ai", 2569, 2569), ("ai", 2569, 2570), ("ea", 2566, 2569), ("ea", 2566, 2570), ("ea", 2566, 2570), ("ea", 2567, 2568),
+]
+DAYS = ["06-24", "07-01", "07-02", "07-14", "07-22", "07-24", "07-30", "07-31", "08-01", "08-04", "08-07", "08-22", "08-28"]
+
+
+def missions(spark):
+    return spark.createDataFrame(MISSIONS, "name string, needs map<string,bigint>, reward int")
+
+
+def pairs(df, a, b):
+    return {r[a]: r[b] for r in df.collect()}
+
+
+def test_sum_map_values(spark):
+    assert pairs(tb.sum_map_values(missions(spark), F.col("needs"), "resource", "total"), "resource", "total") == {
+        "Pumpkins": 18800, "Sakura": 4000, "Hieroglyphs": 7600, "Signal": 1800, "Aluminum Can": 2200,
+    }
+
+
+def test_sum_by_keyword(spark):
+    sums = pairs(tb.sum_by_keyword(missions(spark), "name", "reward", CLASSES, "Misc"), "class", "total")
+    assert sums == {"Pumpkin Events": 109, "Sakura/Japan": 46, "Egypt/History": 36, "Misc": 59}
+    assert sum(sums.values()) == 250
+    none = tb.sum_by_keyword(missions(spark).where("false"), "name", "reward", CLASSES, "Misc")
+    assert set(pairs(none, "class", "total").values()) == {0}
+
+
+def test_filter_deficit(spark):
+    rows = spark.createDataFrame([(1, {"a": 1}), (2, {}), (3, None)], "id int, needs map<string,int>")
+    ids = {m: sorted(r.id for r in tb.filter_deficit(rows, "needs", m).collect()) for m in ("all", "complete", "deficit")}
+    assert ids == {"all": [1, 2, 3], "complete": [2, 3], "deficit": [1]}
+
+
+def test_rollup_totals(spark):
+    df = spark.createDataFrame(GROUPS, "section string, grp int, n bigint")
+    rows = tb.rollup_totals(df, ["section", "grp"], {"accounts": F.sum("n")}).collect()
+    assert {r.section: r.accounts for r in rows if r.level == 1} == {"first": 61178, "second": 61208}
+    assert [r.accounts for r in rows if r.level == 2] == [122386]
+    assert len(rows) == 11
+
+
+def test_variance_total(spark):
+    df = spark.createDataFrame([(2569, Decimal("10.10"), Decimal("12.30")), (2570, Decimal("1.00"), Decimal("0.50"))],
+                               "y int, was decimal(18,2), now decimal(18,2)")
+    rows = {r.y: r for r in tb.variance(df, "y", F.col("was"), F.col("now")).collect()}
+    assert [str(rows[k].difference) for k in (2569, 2570, None)] == ["2.20", "-0.50", "1.70"]
+
+
+def test_share_of_total(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "g string, v int")
+    assert pairs(tb.share_of_total(df, "g", F.col("v")), "g", "share_pct") == {"a": 75.0, "b": 25.0}
+
+
+def test_intervals(spark):
+    df = spark.createDataFrame(INTERVALS, "cat string, start int, end int")
+    years = tb.explode_years(df, "start", "end")
+    assert years.count() == 24 == tb.with_span(df, "start", "end").agg(F.sum("span")).first()[0]
+    matrix = {r.cat: tuple(r)[1:] for r in tb.year_matrix(df, "cat", "start", "end", range(2566, 2571)).collect()}
+    assert matrix["ea"] == (3, 4, 4, 3, 2) and matrix["ai"] == (0, 0, 0, 2, 1)
+    pivoted = {r.cat: tuple(x or 0 for x in tuple(r)[1:]) for r in years.groupBy("cat").pivot("year", range(2566, 2571)).count().collect()}
+    assert matrix == pivoted
+
+
+def test_series(spark):
+    df = spark.createDataFrame([([1, 2, 3], [10.0, 20.0, 30.0], [0.1, 0.2, None])], "year array<int>, a array<double>, b array<double>")
+    long = tb.zip_series(df, "year", ["a", "b"])
+    assert {(r.year, r.metric): r.value for r in long.collect()}[(2, "b")] == 0.2
+    assert pairs(tb.last_value(long, "year"), "metric", "value")["a"] == 30.0
+
+
+def test_phases_and_links(spark):
+    rows = [(i + 1, dt.date(2025, int(d[:2]), int(d[3:])), f"event {i + 1}") for i, d in enumerate(DAYS)]
+    df = spark.createDataFrame(rows, "id int, day date, title string")
+    phases = tb.phase_by_position(df, ["day", "id"])
+    assert [r.phase for r in phases.orderBy("id").collect()] == [1] * 4 + [2] * 2 + [3] * 5 + [4] * 2
+    links = tb.nest_links(phases, "phase", "title", "project").collect()
+    assert len(links) == 4 + 13
+    assert sum(r.parent == "3" for r in links) == 5
+
+
+def test_phases_of_short_lists(spark):
+    for n in (0, 1, 4, 5, 11, 12):
+        df = spark.range(n)
+        got = [r.phase for r in tb.phase_by_position(df, ["id"]).orderBy("id").collect()]
+        assert got == ([1] * 4 + [2] * 2 + [3] * 5 + [4] * 9)[:n]
+
+
+def test_lookup_two_tier(spark):
+    places = spark.createDataFrame([(2, "Animal"), (5, "Water"), (40, "Salmon Roe"), (41, "roe"), (60, "Red Bricks")], "id int, resource string")
+    got = {r.term: (r.found, r.id) for r in lk.lookup_two_tier(places, ["ROE", "brick", "Gold"], "resource", "id").collect()}
+    assert got == {"ROE": ("roe", 41), "brick": ("Red Bricks", 60), "Gold": ("Unknown", None)}
+
+
+def test_lookup_with_default(spark):
+    rows = spark.createDataFrame([("Pumpkins",), ("Gold",), (None,)], "resource string")
+    table = spark.createDataFrame([("Pumpkins", "Pumpkin City")], "resource string, planet string")
+    got = [r.planet for r in lk.lookup_with_default(rows, table, "resource", "planet", "Unknown Planet").collect()]
+    assert sorted(got) == ["Pumpkin City", "Unknown Planet", "Unknown Planet"]
+
+
+def test_search_and_lists(spark):
+    df = spark.createDataFrame([(1, "Peaceful Prairie", "Animal"), (2, "Water World", None)], "id int, name string, resource string")
+    assert [r.id for r in tb.search_any(df, ["id", "name", "resource"], "PRAIRIE ani").collect()] == [1]
+    assert [r.id for r in tb.search_column(df, "name", "WORLD").collect()] == [2]
+    assert tb.filter_category(df, "name", "all").count() == 2
+    parts = tb.split_list(spark.createDataFrame([("k", "a, b,c")], "k string, l string"), "l", "item")
+    assert [r.item for r in parts.collect()] == ["a", "b", "c"]
+
+
+def test_severity(spark):
+    rows = spark.createDataFrame([(0.0,), (100.0,), (-100.01,), (1000.0,), (-1000.5,)], "d double")
+    assert [r[0] for r in rows.select(cmp.severity(F.col("d"))).collect()] == ["ok", "ok", "warning", "warning", "danger"]
+
+
+def test_edges(spark):
+    nodes = spark.createDataFrame([("a", 1), ("b", 2)], "id string, grp int")
+    edges = spark.createDataFrame([("a", "b"), ("a", "z")], "source string, target string")
+    assert one(lk.edge_endpoints(edges, nodes, "id", ["grp"])) == {"target": "b", "source": "a", "source_grp": 1, "target_grp": 2}
