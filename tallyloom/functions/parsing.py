@@ -120,18 +120,19 @@ def schedule_date(value: Column | str) -> Column:
     return read_schedule_date(schedule_date_text(value))
 
 
-def buddhist_date(value: Column | str) -> Column:
-    """Counterpart date ``d/m/y`` in the Buddhist Era; null outside 1900..2100."""
-    parts = F.split(strip(value), "/")
-    day, month, year_be = (F.trim(F.try_element_at(parts, F.lit(i))).try_cast("int") for i in (1, 2, 3))
+def read_buddhist_date(text: Column | str) -> Column:
+    """``d/m/y`` in the Buddhist Era; null outside 1900..2100 or where it is no date."""
+    text = _column(text)
+    day, month, year_be = (F.trim(F.split_part(text, F.lit("/"), F.lit(i))).try_cast("int") for i in (1, 2, 3))
     year = year_be - F.lit(BUDDHIST_OFFSET)
-    usable = (
-        (F.size(parts) == 3)
-        & day.between(1, 31)
-        & month.between(1, 12)
-        & year.between(*YEAR_RANGE)
-    )
-    return F.when(usable, F.concat_ws("-", year, month, day).try_cast("date"))
+    two_slashes = F.length(text) - F.length(F.replace(text, F.lit("/"), F.lit(""))) == 2
+    # concat, unlike concat_ws, is null as soon as one part is.
+    date = F.concat(year.cast("string"), F.lit("-"), month.cast("string"), F.lit("-"), day.cast("string"))
+    return F.when(two_slashes & year.between(*YEAR_RANGE), date.try_cast("date"))
+
+
+def buddhist_date(value: Column | str) -> Column:
+    return read_buddhist_date(strip(value))
 
 
 def buddhist_text(value: Column | str, pattern: str = "dd/MM") -> Column:

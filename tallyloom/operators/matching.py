@@ -55,11 +55,12 @@ def clean_system(system: DataFrame) -> DataFrame:
 
 def clean_counterpart(deduped: DataFrame) -> DataFrame:
     """Counterpart rows after ``dedup``, whose balance is a number already."""
-    return deduped.select(
-        ps.account_key("acc_no").alias(KEY),
+    tidy = deduped.withColumns({KEY: ps.account_key("acc_no"), "day": ps.strip("start_date_be")})
+    return tidy.select(
+        KEY,
         F.col("acc_no").alias("acc_b"),
         F.col("start_date_be").alias("date_b"),
-        ps.buddhist_date("start_date_be").alias("day_b"),
+        ps.read_buddhist_date("day").alias("day_b"),
         F.coalesce("loan_balance", F.lit(0.0)).alias("bal_b"),
         F.col("loan_balance").isNull().alias("bad_balance_b"),
     )

@@ -29,5 +29,5 @@ def presence_buckets(ledgers: dict[str, DataFrame], key: str) -> DataFrame:
 def without_partner(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows whose key the other ledger does not hold; rows without a key count too."""
     keys = other.where(F.col(key).isNotNull()).select(F.col(key).alias("_join")).distinct()
-    spread = rows.withColumn("_join", spread_nulls(rows, key))
+    spread = rows.withColumn("_join", spread_nulls(key))
     return spread.join(keys, "_join", "left_anti").drop("_join")

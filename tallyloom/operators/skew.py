@@ -72,10 +72,12 @@ def _slot(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
 
 
-def spread_nulls(df: DataFrame, key: str, salts: int = 1024) -> Column:
+def spread_nulls(key: str, salts: int = 1024) -> Column:
     """The key, with null replaced by texts no key can equal: an outer join must not
     send every null row to one task."""
-    spare = F.concat(F.lit(NULL_MARK), _slot(df, salts).cast("string"))
+    # Taken from the task, not the row: copies of one row spread too, and a re-run task
+    # gives the same text.
+    spare = F.concat(F.lit(NULL_MARK), F.pmod(F.spark_partition_id(), F.lit(salts)).cast("string"))
     # The last fallback is never used; it tells the planner the result is not null.
     return F.coalesce(F.col(key), F.when(F.col(key).isNull(), spare), F.lit(NULL_MARK))
 
@@ -116,7 +118,7 @@ def balanced_join(
 def _plain(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     if how == "inner":
         return left.join(right, key, "inner")
-    joined = left.withColumn(key, spread_nulls(left, key)).join(right, key, "left")
+    joined = left.withColumn(key, spread_nulls(key)).join(right, key, "left")
     real = F.when(~F.startswith(F.col(key), F.lit(NULL_MARK)), F.col(key))
     return joined.withColumn(key, real)
 

@@ -6,6 +6,7 @@ frames. All sums weigh a row by ``copies``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -35,28 +36,41 @@ def one_row(*parts: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(f"`{c}`").alias(c) for c in stacked.columns])
 
 
-def class_counts(compared: DataFrame) -> DataFrame:
-    """Matched rows per class; all four classes, zero where empty."""
-    return compared.agg(
+def add_rows(parts: Sequence[DataFrame]) -> DataFrame:
+    """Sum one-row counters column by column."""
+    if len(parts) == 1:
+        return parts[0]
+    stacked = reduce(lambda a, b: a.unionByName(b), parts)
+    return stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns])
+
+
+def class_counts(compared: DataFrame, *more: DataFrame) -> DataFrame:
+    """Matched rows per class; all four classes, zero where empty.
+
+    ``more`` are counters of rows kept out of ``compared``.
+    """
+    counts = compared.agg(
         rows_where(F.col("mismatch").isNotNull()).alias("matched_rows"),
         *[rows_where(F.col("mismatch") == name).alias(name) for name in cmp.CLASSES],
     )
+    return add_rows([counts, *[m.select(*counts.columns) for m in more]])
 
 
-def exact_balance_checks(compared: DataFrame) -> DataFrame:
+def exact_balance_checks(compared: DataFrame, *more: DataFrame) -> DataFrame:
     matched = F.col("matched")
-    return compared.agg(
+    counts = compared.agg(
         rows_where(matched & ~F.col("exact_vs_b_match")).alias("exact_vs_b_mismatches"),
         rows_where(matched & ~F.col("exact_vs_pre_match")).alias("exact_vs_pre_mismatches"),
         rows_where(matched & F.col("is_debt_separation")).alias("debt_separation_cases"),
     )
+    return add_rows([counts, *[m.select(*counts.columns) for m in more]])
 
 
-def ab_summary(system: DataFrame, counterpart: DataFrame, compared: DataFrame) -> DataFrame:
+def ab_summary(system: DataFrame, counterpart: DataFrame, compared: DataFrame, *more: DataFrame) -> DataFrame:
     """Counts and rates of the A-B comparison.
 
     ``system`` is the raw ledger, ``counterpart`` the cleaned one, ``compared`` the
-    result of ``compare_ab``.
+    result of ``compare_ab``, ``more`` counters of rows kept out of it.
     """
     matched = F.col("matched")
     counts = compared.agg(
@@ -72,12 +86,12 @@ def ab_summary(system: DataFrame, counterpart: DataFrame, compared: DataFrame) -
         system.agg(F.count(F.lit(1)).alias("rows_a")),
         active_only(system).agg(F.count(F.lit(1)).alias("active_rows_a")),
         _counterpart_rows(counterpart),
-        counts,
+        add_rows([counts, *[m.select(*counts.columns) for m in more]]),
     )
     return _with_rates(merged)
 
 
-def sb_summary(schedule: DataFrame, counterpart: DataFrame, compared: DataFrame) -> DataFrame:
+def sb_summary(schedule: DataFrame, counterpart: DataFrame, compared: DataFrame, *more: DataFrame) -> DataFrame:
     matched = F.col("matched")
     counts = compared.agg(
         rows_where(matched).alias("matched_rows"),
@@ -86,7 +100,9 @@ def sb_summary(schedule: DataFrame, counterpart: DataFrame, compared: DataFrame)
         rows_where(matched & (F.col("bad_balance_s") | F.col("bad_balance_b"))).alias("bad_balances"),
     )
     merged = one_row(
-        schedule.agg(F.count(F.lit(1)).alias("rows_s")), _counterpart_rows(counterpart), counts
+        schedule.agg(F.count(F.lit(1)).alias("rows_s")),
+        _counterpart_rows(counterpart),
+        add_rows([counts, *[m.select(*counts.columns) for m in more]]),
     )
     return _with_rates(merged)
 
@@ -111,13 +127,15 @@ def _with_rates(merged: DataFrame) -> DataFrame:
     )
 
 
-def three_summary(system: DataFrame, counterpart: DataFrame, schedule: DataFrame, compared: DataFrame) -> DataFrame:
+def three_summary(
+    system: DataFrame, counterpart: DataFrame, schedule: DataFrame, compared: DataFrame, *more: DataFrame
+) -> DataFrame:
     """Counts and rates of the three-way comparison; the first three are cleaned ledgers."""
     merged = one_row(
         system.agg(F.count(F.lit(1)).alias("active_rows_a")),
         counterpart.agg(F.count(F.lit(1)).alias("rows_b")),
         schedule.agg(F.count(F.lit(1)).alias("rows_s")),
-        class_counts(compared),
+        class_counts(compared, *more),
     )
     widest = F.greatest("active_rows_a", "rows_b", "rows_s")
     return merged.withColumns(

@@ -27,11 +27,12 @@ def top_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """First ``n`` rows in the order given.
 
     A short list is one step. For a long one every task first keeps its own best
-    rows, groups of tasks merge theirs, and only then is one list made, so the last
-    task sees ``FAN_IN * n`` rows however many tasks there were.
+    rows (the rank limit moves below the exchange, see ``RUNTIME_CONF``), groups of
+    tasks merge theirs, and only then is one list made, so the last task sees
+    ``FAN_IN * n`` rows however many tasks there were.
     """
     if n > ONE_STEP:
-        lane = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(FAN_IN))
+        lane = F.pmod(F.spark_partition_id(), F.lit(FAN_IN))
         rank = F.row_number().over(Window.partitionBy("_lane").orderBy(*order))
         df = df.withColumn("_lane", lane).withColumn("_rank", rank).where(F.col("_rank") <= n)
         df = df.drop("_lane", "_rank")

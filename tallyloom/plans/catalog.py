@@ -51,6 +51,14 @@ def ledgers(spark: SparkSession, folder: str, **options) -> Reconciliation:
     )
 
 
+def _settled(r: Reconciliation, report: Callable[[Reconciliation], DataFrame]) -> DataFrame:
+    """A short report over kept frames, computed before the frames are let go."""
+    try:
+        return settle(report(r))
+    finally:
+        r.release()
+
+
 def _money(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)")
 
@@ -109,7 +117,7 @@ def discrepancies_ab(spark, folder):
 
 @query
 def classify_ab(spark, folder):
-    return sm.class_counts(ledgers(spark, folder).ab)
+    return sm.class_counts(*ledgers(spark, folder).ab_counted)
 
 
 @query
@@ -124,7 +132,7 @@ def summary_ab_by_account(spark, folder):
 
 @query
 def exact_balance_checks(spark, folder):
-    return sm.exact_balance_checks(ledgers(spark, folder).ab)
+    return sm.exact_balance_checks(*ledgers(spark, folder).ab_counted)
 
 
 @query
@@ -154,7 +162,7 @@ def quality_metrics(spark, folder):
 
 @query
 def class_shares(spark, folder):
-    return sm.class_shares(sm.class_counts(ledgers(spark, folder).ab))
+    return sm.class_shares(sm.class_counts(*ledgers(spark, folder).ab_counted))
 
 
 @query
@@ -205,7 +213,7 @@ def reconcile_sb(spark, folder):
 
 @query
 def classify_sb(spark, folder):
-    return sm.class_counts(ledgers(spark, folder).sb)
+    return sm.class_counts(*ledgers(spark, folder).sb_counted)
 
 
 @query
@@ -260,7 +268,7 @@ def dashboard_totals(spark, folder):
 
 @query
 def summary_matrix(spark, folder):
-    return ledgers(spark, folder).matrix()
+    return _settled(ledgers(spark, folder, keep=True), lambda r: r.matrix())
 
 
 # ---- messy text -----------------------------------------------------------
@@ -697,9 +705,8 @@ def report_lists(spark, folder):
     """Entries of each list in the report document, decoded again from its JSON."""
     names = list(tn.REPORT_CAPS)
     fields = ", ".join(f"{n}: array<struct<acc_no: string>>" for n in names)
-    r = ledgers(spark, folder, keep=True)
-    report = out.read_payload(settle(out.report_payload(r)), f"records struct<{fields}>")
-    r.release()
+    payload = _settled(ledgers(spark, folder, keep=True), out.report_payload)
+    report = out.read_payload(payload, f"records struct<{fields}>")
     sizes = F.array(
         *[F.struct(F.lit(n).alias("list"), F.size(f"records.{n}").cast("bigint").alias("rows")) for n in names]
     )

@@ -6,11 +6,13 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyloom.functions import comparing as cmp
 from tallyloom.functions import parsing as ps
 from tallyloom.operators import dedup as dd
 from tallyloom.operators import matching as mt
+from tallyloom.operators import paircounts as pc
 from tallyloom.operators import presence as pr
 from tallyloom.operators import summary as sm
 from tallyloom.operators.skew import DEFAULT_GUARD, SkewGuard, heavy_keys
@@ -42,6 +44,7 @@ class Reconciliation:
         self.tolerance, self.grain, self.first_due_only = tolerance, grain, first_due_only
         self.guard, self.keep = guard, keep
         self._kept: list[DataFrame] = []
+        self._heavy: dict[str, list] = {}
 
     def _hold(self, df: DataFrame) -> DataFrame:
         if self.keep:
@@ -76,54 +79,78 @@ class Reconciliation:
     def _grained(self, cleaned: DataFrame, *order: str) -> DataFrame:
         return mt.one_per_account(cleaned, *order) if self.grain == "account" else cleaned
 
-    @cached_property
-    def heavy(self) -> dict[str, list]:
-        """Heavy keys per ledger, from the raw account columns alone."""
-        raw = {"a": self.system, "b": self.counterpart, "s": self.schedule}
-        raw = {name: frame for name, frame in raw.items() if frame is not None}
+    def heavy(self, *names: str) -> list[list]:
+        """Heavy keys of the ledgers named, from the raw account columns alone."""
         if self.guard is None or self.grain == "account":
-            return {name: [] for name in raw}
-        keys = [f.select(ps.account_key("acc_no").alias(mt.KEY)) for f in raw.values()]
-        return dict(zip(raw, heavy_keys(keys, mt.KEY, self.guard)))
+            return [[] for _ in names]
+        raw = {"a": self.system, "b": self.counterpart, "s": self.schedule}
+        missing = [n for n in names if n not in self._heavy]
+        if missing:
+            keys = [raw[n].select(ps.account_key("acc_no").alias(mt.KEY)) for n in missing]
+            self._heavy.update(zip(missing, heavy_keys(keys, mt.KEY, self.guard)))
+        return [self._heavy[n] for n in names]
 
     # ---- compared frames
 
+    def _compare_ab(self, a: DataFrame, b: DataFrame, heavy: list[list]) -> DataFrame:
+        return mt.compare_ab(a, b, self.tolerance, guard=self.guard, heavy=heavy)
+
+    def _compare_sb(self, s: DataFrame, b: DataFrame, heavy: list[list]) -> DataFrame:
+        return mt.compare_sb(s, b, self.tolerance, guard=self.guard, heavy=heavy)
+
+    def _compare_three(self, a: DataFrame, b: DataFrame, s: DataFrame, heavy: list[list]) -> DataFrame:
+        return mt.compare_three(a, b, s, self.tolerance, guard=self.guard, heavy=heavy)
+
     @cached_property
     def ab(self) -> DataFrame:
-        return self._hold(
-            mt.compare_ab(
-                self.a, self.b, self.tolerance, guard=self.guard, heavy=[self.heavy["b"], self.heavy["a"]]
-            )
-        )
+        return self._hold(self._compare_ab(self.a, self.b, self.heavy("b", "a")))
 
     @cached_property
     def sb(self) -> DataFrame:
-        return self._hold(
-            mt.compare_sb(
-                self.s, self.b, self.tolerance, guard=self.guard, heavy=[self.heavy["b"], self.heavy["s"]]
-            )
-        )
+        return self._hold(self._compare_sb(self.s, self.b, self.heavy("b", "s")))
 
     @cached_property
     def three(self) -> DataFrame:
-        heavy = [self.heavy[name] for name in ("a", "b", "s")]
-        return self._hold(
-            mt.compare_three(self.a, self.b, self.s, self.tolerance, guard=self.guard, heavy=heavy)
-        )
+        return self._hold(self._compare_three(self.a, self.b, self.s, self.heavy("a", "b", "s")))
+
+    # ---- what the counters read
+    #
+    # Counters need no row pairs: heavy accounts are counted by group, the rest joined.
+
+    def _counted(self, names: str, frame: str, compare, count) -> list[DataFrame]:
+        heavy = sorted(set().union(*self.heavy(*names)))
+        if not heavy:
+            return [getattr(self, frame)]
+        ledgers = [getattr(self, n) for n in names]
+        is_heavy = F.coalesce(F.col(mt.KEY).isin(heavy), F.lit(False))
+        rest, hot = ([df.where(c) for df in ledgers] for c in (~is_heavy, is_heavy))
+        return [compare(*rest, [[] for _ in names]), count(*hot, self.tolerance)]
+
+    @cached_property
+    def ab_counted(self) -> list[DataFrame]:
+        return self._counted("ab", "ab", self._compare_ab, pc.heavy_ab_counts)
+
+    @cached_property
+    def sb_counted(self) -> list[DataFrame]:
+        return self._counted("sb", "sb", self._compare_sb, pc.heavy_sb_counts)
+
+    @cached_property
+    def three_counted(self) -> list[DataFrame]:
+        return self._counted("abs", "three", self._compare_three, pc.heavy_three_counts)
 
     # ---- one-row summaries
 
     @cached_property
     def ab_summary(self) -> DataFrame:
-        return sm.ab_summary(self.system, self.b, self.ab)
+        return sm.ab_summary(self.system, self.b, *self.ab_counted)
 
     @cached_property
     def sb_summary(self) -> DataFrame:
-        return sm.sb_summary(self.schedule, self.b, self.sb)
+        return sm.sb_summary(self.schedule, self.b, *self.sb_counted)
 
     @cached_property
     def three_summary(self) -> DataFrame:
-        return sm.three_summary(self.a, self.b, self.s, self.three)
+        return sm.three_summary(self.a, self.b, self.s, *self.three_counted)
 
     @cached_property
     def dedup_report(self) -> DataFrame:
@@ -134,6 +161,7 @@ class Reconciliation:
 
     def matrix(self) -> DataFrame:
         """Metric by comparison; without a schedule only the first comparison is filled."""
+        self.heavy(*("a", "b") if self.schedule is None else ("a", "b", "s"))
         if self.schedule is None:
             return sm.summary_matrix(self.ab_summary, None, None, self.dedup_report)
         return sm.summary_matrix(self.ab_summary, self.sb_summary, self.three_summary, self.dedup_report)

@@ -13,7 +13,11 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small inputs stay spread over the cores; large ones never come near this size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rank limits up to this size are applied before rows are shuffled.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Split skewed join partitions even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
@@ -25,6 +29,7 @@ def local_session(cores: str = "*", app: str = "tallyloom", **conf: str) -> Spar
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         # Call-site capture costs a round trip per column expression.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import dedup as dd
 from tallyloom.operators import matching as mt
 from tallyloom.operators import presence as pr
+from tallyloom.operators import summary as sm
 from tallyloom.operators.skew import (
     SkewGuard,
     balanced_join,
@@ -94,8 +95,40 @@ def hot_ledgers(spark, folder):
 def test_reconciliation_is_the_same_with_and_without_guard(hot_ledgers):
     guarded = Reconciliation(*hot_ledgers, guard=EAGER)
     plain = Reconciliation(*hot_ledgers, guard=None)
-    assert guarded.heavy["a"] == guarded.heavy["b"] == guarded.heavy["s"] == ["777"]
+    assert guarded.heavy("a", "b", "s") == [["777"]] * 3
     for name in ("ab_summary", "sb_summary", "three_summary"):
         assert one(getattr(guarded, name)) == one(getattr(plain, name))
+    heavy_only = guarded.ab_counted[1]
+    assert one(heavy_only)["matched_rows"] > 1000
+    assert one(sm.class_counts(*guarded.three_counted)) == one(sm.class_counts(guarded.three))
+    assert one(sm.exact_balance_checks(*guarded.ab_counted)) == one(sm.exact_balance_checks(plain.ab))
     assert bag(mt.ab_rows(guarded.ab)) == bag(mt.ab_rows(plain.ab))
     assert bag(dd.conflict_records(guarded.typed, EAGER)) == bag(dd.conflict_records(plain.typed, None))
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 0.01, 40.0])
+def test_counters_of_a_heavy_key_equal_brute_force(spark, tolerance):
+    """Days and balances drawn from few values, some missing, some out of range."""
+    import random
+
+    rng = random.Random(11)
+    days = ["2024-07-05", "2024-07-06", "-", "2336-01-01"]
+    be = ["05/07/2567", "06/07/2567", "30/02/2567", "07/07/2567"]
+    money = ["100", "100.01", "100.02", "100.005", "abc", "0", "-35.5", "140"]
+    keys = ["hot"] * 3 + ["k1", "k2", None]
+    pick = rng.choice
+    a = [(pick(keys), "1", pick(days), pick(money), pick(money)) for _ in range(200)]
+    b = [(pick(keys), pick(be), pick(money), "f") for _ in range(150)] + [("only_b", be[0], "1", "f")] * 3
+    s = [(pick(keys), pick(days), pick(money)) for _ in range(120)]
+    raw = (
+        spark.createDataFrame(a, "acc_no string, group_flag string, first_payment_date string, pre_balance string, exact_pre_balance string"),
+        spark.createDataFrame(b, "acc_no string, start_date_be string, loan_balance string, source_file string"),
+        spark.createDataFrame(s, "acc_no string, due_payment_date string, capital_remain string"),
+    )
+    guarded = Reconciliation(*raw, tolerance=tolerance, guard=SkewGuard(min_rows=3, share=0.01, salts=3))
+    plain = Reconciliation(*raw, tolerance=tolerance, guard=None)
+    assert "hot" in guarded.heavy("a")[0] and "only_b" in guarded.heavy("b")[0]
+    for name in ("ab_summary", "sb_summary", "three_summary"):
+        assert one(getattr(guarded, name)) == one(getattr(plain, name))
+    assert one(sm.balance_error_stats(guarded.ab)) == one(sm.balance_error_stats(plain.ab))
+    assert one(sm.date_diff_stats(guarded.ab)) == one(sm.date_diff_stats(plain.ab))
