@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.literals import literal_rows
+
 # Fixed values of the instalment bands: the top band and its payment, the steps from
 # band to band, where the payment gets its roundings, and the two lowest bands.
 TOP_AMOUNT, AMOUNT_STEP = 1_700_000, 10_000
@@ -24,16 +28,8 @@ def instalment_bands(spark: SparkSession) -> DataFrame:
         (TOP_AMOUNT - AMOUNT_STEP * y).cast("decimal(18,2)").alias("upper"),
         (TOP_PAYMENT - PAYMENT_STEP * y + extra).cast("int").alias("pay"),
     )
-    low = spark.range(1).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(a).cast("decimal(18,2)").alias("upper"), F.lit(p).alias("pay"))
-                    for a, p in LOW_BANDS
-                ]
-            )
-        )
-    )
+    low = literal_rows(spark, ["upper", "pay"], [(Decimal(a), p) for a, p in LOW_BANDS])
+    low = low.withColumn("upper", F.col("upper").cast("decimal(18,2)"))
     return regular.unionByName(low)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.literals import literal_rows
+
 
 def lookup_with_default(rows: DataFrame, table: DataFrame, on: str, value: str, default: str) -> DataFrame:
     """Left join of a lookup table with unique keys; keys it lacks get the default.
@@ -26,8 +28,7 @@ def lookup_two_tier(
     ``rank`` is a unique number that orders the rows. Each row lists the terms it
     satisfies; only those pairs are combined, on the map side first.
     """
-    spark = rows.sparkSession
-    wanted = spark.createDataFrame([(t,) for t in terms], "term string")
+    wanted = literal_rows(rows.sparkSession, ["term"], [(t,) for t in terms])
     text = F.lower(F.col(value))
     listed = F.array(*[F.lit(t) for t in terms])
     hits = rows.select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import keyword_class
+from tallyloom.operators.literals import literal_rows
 
 # ---- filters and search ---------------------------------------------------
 
@@ -50,7 +51,7 @@ def sum_by_keyword(
     """Sum per keyword class; classes without rows are listed with zero."""
     names = [*classes, otherwise]
     sums = df.groupBy(keyword_class(F.col(text), classes, otherwise).alias("class")).agg(F.sum(value).alias("total"))
-    every = df.sparkSession.createDataFrame([(n,) for n in names], "class string")
+    every = literal_rows(df.sparkSession, ["class"], [(n,) for n in names])
     return every.join(sums, "class", "left").select("class", F.coalesce("total", F.lit(0)).alias("total"))
 
 

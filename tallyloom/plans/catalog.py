@@ -20,6 +20,7 @@ from tallyloom.operators import summary as sm
 from tallyloom.operators import tabular as tb
 from tallyloom.operators import topn as tn
 from tallyloom.operators import waterfall as wf
+from tallyloom.operators.literals import literal_rows
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.session import fill_cores, settle, tune, work_folder
 from tallyloom.sinks import outputs as out
@@ -469,7 +470,7 @@ def reward_by_keyword_class(spark, folder):
 @query
 def lookup_with_default(spark, folder):
     places = [("click", "Pointer"), ("view", "Screen"), ("purchase", "Till")]
-    table = spark.createDataFrame(places, "event_type string, place string")
+    table = literal_rows(spark, ["event_type", "place"], places)
     events = dv.table(spark, folder, "events").select("event_id", "event_type")
     return lk.lookup_with_default(events, table, "event_type", "place", "Unknown Planet")
 

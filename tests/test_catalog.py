@@ -1,9 +1,20 @@
+import contextlib
+import io
+
 import check
 import pytest
 
 import __spark_entry__ as entry_points
 
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+READS_FILE_HEADS = {"row_estimate"}
+
+
+def plan_of(df) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
 
 
 @pytest.fixture(scope="module")
@@ -19,8 +30,58 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, folder, con, name):
-    assert check.differences(QUERIES[name](spark, folder), con, SQL[name]) == []
+    df = QUERIES[name](spark, folder)
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert name in READS_FILE_HEADS or ("Python" not in plan and "InPandas" not in plan)
+    assert check.differences(df, con, SQL[name]) == []
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 1
+
+
+def test_scans_read_only_what_they_need(spark, folder):
+    plan = plan_of(QUERIES["deficit_by_resource"](spark, folder))
+    assert "ReadSchema: struct<l_linenumber:int,l_quantity:double>" in plan.replace("l_quantity:double,l_linenumber:int", "l_linenumber:int,l_quantity:double")
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,error)]" in plan_of(
+        QUERIES["filter_by_type"](spark, folder)
+    )
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_three_way_shares_one_shuffle_per_ledger(spark, folder, no_broadcast):
+    plan = plan_of(QUERIES["reconcile_three_way"](spark, folder)).split("\n\n")[0]
+    assert plan.count("SortMergeJoin") == 2
+    # Between the two joins there is neither an exchange nor a sort.
+    first = plan.index("SortMergeJoin")
+    between = plan[first : plan.index("SortMergeJoin", first + 1)]
+    assert "Exchange" not in between and "Sort (" not in between
+
+
+def test_waterfall_needs_no_shuffle(spark, folder):
+    from tallyloom.operators.waterfall import waterfall
+    from tallyloom.sources.derived import table
+    from pyspark.sql import functions as F
+
+    loans = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_totalprice").alias("loan"), F.lit(8000).alias("payment"), F.array(F.lit(10)).alias("due")
+    )
+    assert "Exchange" not in plan_of(waterfall(loans, "old", ["o_orderkey"]))
+
+
+def test_long_lists_are_cut_before_the_shuffle(spark):
+    from tallyloom.operators.topn import top_rows
+    from tallyloom.session import tune
+
+    tune(spark)
+    plan = plan_of(top_rows(spark.range(0, 10_000, 1, 8), ["id"], 5_000)).split("\n\n")[0]
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.rindex("WindowGroupLimit") > plan.rindex("Exchange")
