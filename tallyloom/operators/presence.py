@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,19 @@ def presence_buckets(ledgers: dict[str, DataFrame], key: str) -> DataFrame:
     return presence_flags(ledgers, key).groupBy(*names).agg(F.count(F.lit(1)).alias("keys"))
 
 
-def without_partner(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose key the other ledger does not hold; rows without a key count too."""
+def without_partner(rows: DataFrame, other: DataFrame, key: str, heavy: Sequence = ()) -> DataFrame:
+    """Rows whose key the other ledger does not hold; rows without a key count too.
+
+    Rows of ``heavy`` keys stay where they are: the other ledger's copy of those few
+    keys goes to them. All others meet by key.
+    """
     keys = other.where(F.col(key).isNotNull()).select(F.col(key).alias("_join")).distinct()
-    spread = rows.withColumn("_join", spread_nulls(key))
-    return spread.join(keys, "_join", "left_anti").drop("_join")
+
+    def missing(part: DataFrame, known: DataFrame) -> DataFrame:
+        return part.withColumn("_join", spread_nulls(key)).join(known, "_join", "left_anti").drop("_join")
+
+    if not heavy:
+        return missing(rows, keys)
+    is_heavy = F.coalesce(F.col(key).isin(*heavy), F.lit(False))
+    few = F.broadcast(keys.where(F.col("_join").isin(*heavy)))  # at most one row per heavy key
+    return missing(rows.where(~is_heavy), keys).unionByName(missing(rows.where(is_heavy), few))

@@ -290,11 +290,6 @@ def dashboard_totals(ab: DataFrame, sb: DataFrame) -> DataFrame:
     )
 
 
-def throughput(rows: int, seconds: float) -> float:
-    """Rows per second, as printed at the end of a run."""
-    return rows / max(seconds, 0.001)
-
-
 def summary_matrix(
     ab: DataFrame, sb: DataFrame | None, three: DataFrame | None, report: DataFrame
 ) -> DataFrame:

@@ -15,7 +15,6 @@ from tallyloom.operators import dedup as dd
 from tallyloom.operators import instalment as ins
 from tallyloom.operators import lookups as lk
 from tallyloom.operators import matching as mt
-from tallyloom.operators import presence as pr
 from tallyloom.operators import summary as sm
 from tallyloom.operators import tabular as tb
 from tallyloom.operators import topn as tn
@@ -194,14 +193,12 @@ def search_account(spark, folder):
 
 @query
 def unmatched_b(spark, folder):
-    r = ledgers(spark, folder)
-    return pr.without_partner(r.b, r.a, mt.KEY).select("acc_b", "acc_key", "date_b", "bal_b")
+    return ledgers(spark, folder).unmatched("b", "a").select("acc_b", "acc_key", "date_b", "bal_b")
 
 
 @query
 def unmatched_a(spark, folder):
-    r = ledgers(spark, folder)
-    return pr.without_partner(r.a, r.b, mt.KEY).select("acc_a", "acc_key", "day_a", "bal_a")
+    return ledgers(spark, folder).unmatched("a", "b").select("acc_a", "acc_key", "day_a", "bal_a")
 
 
 # ---- schedule and three ways ----------------------------------------------
@@ -234,8 +231,7 @@ def error_histogram_sb(spark, folder):
 
 @query
 def unmatched_s(spark, folder):
-    r = ledgers(spark, folder)
-    return pr.without_partner(r.s, r.b, mt.KEY).select("acc_s", "acc_key", "day_s", "bal_s")
+    return ledgers(spark, folder).unmatched("s", "b").select("acc_s", "acc_key", "day_s", "bal_s")
 
 
 @query
@@ -643,6 +639,7 @@ def edge_endpoints(spark, folder):
 def capability_systems(spark, folder):
     """Each nation's segments as a comma list, then one row per entry."""
     pairs = dv.table(spark, folder, "customer").select("c_nationkey", "c_mktsegment").distinct()
+    # A nation's list is as long as there are segments.
     lists = pairs.groupBy("c_nationkey").agg(
         F.array_join(F.sort_array(F.collect_set("c_mktsegment")), ", ").alias("segments")
     )

@@ -156,6 +156,11 @@ class Reconciliation:
     def dedup_report(self) -> DataFrame:
         return dd.dedup_report(self.typed)
 
+    def unmatched(self, ledger: str, other: str) -> DataFrame:
+        """Rows of one ledger (``a``, ``b``, ``s``) whose account another lacks."""
+        rows = getattr(self, ledger)
+        return pr.without_partner(rows, getattr(self, other), mt.KEY, self.heavy(ledger)[0])
+
     def presence(self) -> DataFrame:
         return pr.presence_buckets({"a": self.a, "b": self.b, "s": self.s}, mt.KEY)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import platform
+import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from tallyloom.operators import matching as mt
 from tallyloom.operators import summary as sm
 from tallyloom.operators.topn import MAX_RECORDS, REPORT_CAPS, SCATTER_ROWS, scatter_sample, top_rows
 from tallyloom.plans.reconcile import Reconciliation
+from tallyloom.session import settle
 from tallyloom.sources.files import digests
 
 VERSION = "1.0.0"
@@ -92,28 +95,46 @@ def read_payload(payload: DataFrame, schema: str) -> DataFrame:
     return payload.select(F.from_json("payload", schema, JSON_OPTIONS).alias("p")).select("p.*")
 
 
-def manifest(r: Reconciliation, inputs: dict[str, str], outputs: dict[str, str]) -> DataFrame:
-    """One row: version, input files with size and digest, outputs, statistics."""
-    spark = r.system.sparkSession
+def manifest_files(spark: SparkSession, inputs: dict[str, str]) -> DataFrame:
+    """One row per input file: ledger, name, size, short digest."""
+    parts = [digests(spark, path).withColumn("ledger", F.lit(name)) for name, path in inputs.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("ledger", "name", "bytes", "sha256_16")
+
 
-    def files(folder: str):
-        # One entry per input file.
-        listed = digests(spark, folder).agg(F.sort_array(F.collect_list(F.struct("name", "bytes", "sha256_16"))))
-        return listed.scalar()
+def manifest(
+    r: Reconciliation, inputs: dict[str, str], outputs: dict[str, str], seconds: float | None = None
+) -> DataFrame:
+    """One row: version, folders, statistics, throughput, environment.
 
-    folders = [F.struct(F.lit(p).alias("folder"), files(p).alias("files")).alias(n) for n, p in inputs.items()]
+    ``seconds`` is the time the comparisons took.
+    """
+    spark = r.system.sparkSession
     stats = {"dedup": r.dedup_report, "ab": r.ab_summary}
     if r.schedule is not None:
         stats |= {"sb": r.sb_summary, "three_way": r.three_summary}
-    return spark.range(1).select(
-        F.lit(VERSION).alias("version"),
-        F.current_timestamp().alias("generated_at"),
-        F.struct(*folders).alias("inputs"),
-        F.struct(*[F.lit(p).alias(n) for n, p in outputs.items()]).alias("outputs"),
-        F.struct(*[df.select(F.struct("*")).scalar().alias(n) for n, df in stats.items()]).alias("statistics"),
-        F.struct(F.lit(platform.python_version()).alias("python"), F.lit(spark.version).alias("spark")).alias(
-            "environment"
-        ),
+
+    def named(texts: dict[str, str]):
+        return F.struct(*[F.lit(text).alias(name) for name, text in texts.items()])
+
+    rows = F.col("statistics.ab.rows_a") + F.col("statistics.dedup.original_rows")
+    if r.schedule is not None:
+        rows = rows + F.col("statistics.sb.rows_s")
+    speed = F.struct(
+        rows.alias("rows"),
+        F.lit(seconds).cast("double").alias("seconds"),
+        (rows / F.greatest(F.lit(seconds).cast("double"), F.lit(0.001))).alias("rows_per_second"),
+    )
+    return (
+        spark.range(1)
+        .select(
+            F.lit(VERSION).alias("version"),
+            F.current_timestamp().alias("generated_at"),
+            named(inputs).alias("inputs"),
+            named(outputs).alias("outputs"),
+            F.struct(*[df.select(F.struct("*")).scalar().alias(n) for n, df in stats.items()]).alias("statistics"),
+            named({"python": platform.python_version(), "spark": spark.version}).alias("environment"),
+        )
+        .withColumn("throughput", speed)
     )
 
 
@@ -140,11 +161,16 @@ def run(
         keep=True,
         **options,
     )
+    begun = time.monotonic()
+    matrix = settle(r.matrix())
+    seconds = time.monotonic() - begun
     if not dry_run:
         written = write_lists(r, output, max_records)
         if with_report:
             written["report"] = os.path.join(output, "report")
             report_payload(r).write.mode("overwrite").text(written["report"])
         given = {n: p for n, p in folders.items() if p}
-        manifest(r, given, written).write.mode("overwrite").json(os.path.join(output, "manifest"))
-    return r.matrix()
+        manifest(r, given, written, seconds).write.mode("overwrite").json(os.path.join(output, "manifest"))
+        manifest_files(spark, given).write.mode("overwrite").json(os.path.join(output, "manifest_files"))
+    r.release()
+    return matrix

@@ -152,4 +152,6 @@ def _scan(spark, paths, encoding, header, before, layout, rejected) -> DataFrame
         cell(f"c{i}").alias(layout.columns[wanted]) for wanted, i in layout.resolve(header).items()
     ]
     more = [F.col(EXTRA).alias("beyond_header")] if rejected else []
-    return kept.select(*chosen, F.url_decode("source_file").alias("source_file"), *more)
+    # The scan reports names percent-escaped, with plus signs left alone.
+    name = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
+    return kept.select(*chosen, name.alias("source_file"), *more)

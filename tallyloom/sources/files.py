@@ -11,6 +11,7 @@ import csv
 import hashlib
 import io
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,10 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
 def _open(path: str):
     from pyarrow import fs
 
-    uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+    # Spark lists paths unescaped; a URI has its special characters escaped.
+    uri = quote(path, safe=":/@")
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
     system, inner = fs.FileSystem.from_uri(uri)
     return system.open_input_stream(inner)
 
@@ -93,11 +97,11 @@ def _profile(path: str, size: int, targets: Sequence[str], sample_bytes: int) ->
                 seen, lines = seen + len(chunk), lines + chunk.count(b"\n")
         encoding = guess_encoding(head, whole=len(head) == size)
         place, cells = find_header(head, encoding, targets)
-        per_row = seen / max(lines, 1)
+        lines = max(lines, 1)
         return {
             "path": path, "name": name, "bytes": size, "encoding": encoding, "header_row": place,
             "header": cells[-1] if cells else [], "before_header": cells[:-1], "sampled_rows": lines,
-            "bytes_per_row": per_row, "estimated_rows": int(size / per_row) if per_row else 0, "error": None,
+            "bytes_per_row": seen / lines, "estimated_rows": size * lines // seen if seen else 0, "error": None,
         }
     except OSError as problem:
         return {

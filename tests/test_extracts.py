@@ -77,6 +77,12 @@ def test_mixed_files_are_united(spark, place):
     ]
 
 
+@pytest.mark.parametrize("name", ["two words.csv", "50%+1.csv", "ไทย.csv", "a%20b.csv"])
+def test_odd_file_names(spark, place, name):
+    write(place, name, HEADER_B + "\n1,05/07/2567,10\n")
+    assert rows(dl.load_counterpart(spark, place), "acc_no", "source_file") == [("1", name)]
+
+
 def test_bad_lines(spark, place):
     write(place, "a.csv", "ACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n1,2024-07-05,10\n2,2024-07-05,20,oops\n3,2024-07-05\n")
     assert rows(dl.load_schedule(spark, place), "acc_no", "capital_remain") == [("1", "10"), ("3", None)]
@@ -123,8 +129,8 @@ def test_whole_run(spark, extracts, tmp_path):
     matrix = {r.metric: (r.a_vs_b, r.s_vs_b, r.three_way) for r in out.run(spark, extracts, target, with_report=True).collect()}
     assert matrix["matched_rows"] == (5, 3, 3) and matrix["perfect"] == (1, 2, 1)
     assert sorted(os.listdir(target)) == [
-        "conflicts", "debt_separation", "errors_ab", "errors_sb", "manifest", "report", "three_way_discrepancies",
-        "three_way_perfect",
+        "conflicts", "debt_separation", "errors_ab", "errors_sb", "manifest", "manifest_files", "report",
+        "three_way_discrepancies", "three_way_perfect",
     ]
     errors = spark.read.option("header", True).csv(os.path.join(target, "errors_ab"))
     assert errors.columns[0] == "acc_no" and errors.count() == 4
@@ -133,7 +139,10 @@ def test_whole_run(spark, extracts, tmp_path):
         assert f.read(3) == b"\xef\xbb\xbf"
     manifest = json.loads(spark.read.text(os.path.join(target, "manifest")).first()[0])
     assert manifest["statistics"]["ab"]["matched_rows"] == 5
-    assert all(len(f["sha256_16"]) == 16 for f in manifest["inputs"]["system"]["files"])
+    assert manifest["throughput"]["rows"] == 5 + 7 + 4 and manifest["throughput"]["rows_per_second"] > 0
+    files = spark.read.json(os.path.join(target, "manifest_files")).collect()
+    assert {f.ledger for f in files} == {"system", "counterpart", "schedule"}
+    assert all(len(f.sha256_16) == 16 for f in files)
     report = json.loads(spark.read.text(os.path.join(target, "report")).first()[0])
     assert len(report["records"]["errors_ab"]) == 4 and report["charts"]["quality"]["integrity"] == 25.0
     assert report["stats"]["balance_errors"]["p95"] == 4.325

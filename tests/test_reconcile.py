@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import one
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from tallyloom.operators import dedup as dd
 from tallyloom.operators import matching as mt
 from tallyloom.operators import summary as sm
 from tallyloom.plans.reconcile import Reconciliation
+from tallyloom.sources import derived as dv
 
 
 @pytest.fixture(scope="module")
@@ -154,3 +157,16 @@ def test_unreadable_balances_count_as_zero(spark, mini):
     bad = b.union(spark.createDataFrame([("4", "05/07/2567", "abc", "x")], b.schema))
     row = one(Reconciliation(a, bad, s).ab_summary)
     subset(row, bad_balances=1, matched_rows=6)
+
+
+def test_known_counts_of_the_derived_ledgers(spark):
+    """Counts worked out beforehand for the middle-sized tables."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("tables are not here")
+    orders = dv.table(spark, folder, "orders")
+    r = Reconciliation(dv.system_ledger(orders), dv.counterpart_ledger(orders), dv.schedule_ledger(orders))
+    subset(one(r.ab_summary), matched_rows=12384, perfect=6331, date_only=1582, balance_only=3577, both=894, debt_separation_cases=1126)
+    subset(one(r.sb_summary), matched_rows=10836, perfect=5539, date_only=1384, balance_only=2167, both=1746)
+    subset(one(r.three_summary), matched_rows=9288, perfect=4316, date_only=1078, balance_only=2289, both=1605)
+    subset(one(sm.balance_error_stats(r.ab)), p95=250.75, std=116.7292)
