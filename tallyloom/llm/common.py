@@ -1,0 +1,27 @@
+"""Helpers the operators of this folder share."""
+
+from __future__ import annotations
+
+import sys
+import types
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyloom.session import settle, shared_folder, work_folder
+
+__all__ = ["read", "remainder", "settle", "shared_folder", "work_folder", "worker_store"]
+
+
+def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def remainder(key: Column, parts: int) -> Column:
+    """crc32 of the key's text modulo ``parts``: the fold a row belongs to."""
+    return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(parts))
+
+
+def worker_store() -> dict:
+    """What one Python worker keeps from task to task (tokenizers, word caches)."""
+    return sys.modules.setdefault("_worker_store", types.ModuleType("_worker_store")).__dict__
