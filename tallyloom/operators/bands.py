@@ -33,6 +33,10 @@ def instalment_bands(spark: SparkSession) -> DataFrame:
     return regular.unionByName(low)
 
 
+#: Cells, and bands, up to which the grid is broadcast.
+MOST_CELLS = 100_000
+
+
 def instalment_payment(amount: Column) -> Column:
     """The band's payment in closed form: nothing for zero, null above the top band."""
     # A band reaches up to and including its upper amount.
@@ -60,8 +64,10 @@ def band_join(
     spread-out band table has at most ``top / cell`` rows more than there are bands;
     rows above the last band keep a null payload.
     """
-    if top / cell > 100_000:
+    if top / cell > MOST_CELLS:
         raise ValueError("cell is too small: the band grid would not stay small")
+    # The grid is broadcast only while the band table itself is small.
+    small = F.broadcast if bands.limit(MOST_CELLS + 1).count() <= MOST_CELLS else (lambda df: df)
     below = F.lag(upper).over(Window.orderBy(upper))  # the band table itself is small
     grid = (
         bands.withColumn("_lower", F.coalesce(below, F.lit(-1).cast("decimal(18,2)")))
@@ -82,4 +88,4 @@ def band_join(
         & (keyed[amount] > grid["_lower"])
         & (keyed[amount] <= grid["_upper"])
     )
-    return keyed.join(F.broadcast(grid), hit, "left").select(*[keyed[c] for c in rows.columns], *payload)
+    return keyed.join(small(grid), hit, "left").select(*[keyed[c] for c in rows.columns], *payload)

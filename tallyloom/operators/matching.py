@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import comparing as cmp
@@ -28,9 +28,13 @@ DEBT_REMARK = "แยกหนี้ - PRE_BALANCE < EXACT_PRE_BALANCE"  # fixed
 # ---- cleaned inputs -------------------------------------------------------
 
 
+def is_active(system: DataFrame) -> Column:
+    """True for rows of the active group; for all rows of a ledger without the flag."""
+    return ps.is_active_group("group_flag") if "group_flag" in system.columns else F.lit(True)
+
+
 def active_only(system: DataFrame) -> DataFrame:
-    """Rows of the active group; a ledger without the flag is kept whole."""
-    return system.where(ps.is_active_group("group_flag")) if "group_flag" in system.columns else system
+    return system.where(is_active(system))
 
 
 def clean_system(system: DataFrame) -> DataFrame:

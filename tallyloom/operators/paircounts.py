@@ -18,16 +18,20 @@ from tallyloom.functions.parsing import YEAR_RANGE
 from tallyloom.operators.matching import KEY
 
 
+#: Products of group sizes pass a bigint from some two million rows in each of three ledgers.
+WIDE = "decimal(38,0)"
+
+
 def _grouped(df: DataFrame, names: Sequence[str], n: str) -> DataFrame:
-    return df.groupBy(*names).agg(F.count(F.lit(1)).alias(n))
+    return df.groupBy(*names).agg(F.count(F.lit(1)).cast(WIDE).alias(n))
 
 
 def _total(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+    return F.coalesce(F.sum(value), F.lit(0)).cast(WIDE)
 
 
 def _rows_if(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+    return F.count_if(F.coalesce(condition, F.lit(False))).cast(WIDE)
 
 
 def _near(base: DataFrame, other: DataFrame, on: Sequence[str], tolerance: float, n: str) -> DataFrame:
@@ -40,7 +44,7 @@ def _near(base: DataFrame, other: DataFrame, on: Sequence[str], tolerance: float
     left = base.select(*on, "v").distinct().withColumn("_cell", F.explode(cells))
     right = other.withColumn("_cell", F.floor(F.col("w") / width))
     hits = left.join(right, [*on, "_cell"]).where(cmp.within(F.col("v"), F.col("w"), tolerance))
-    return hits.groupBy(*on, "v").agg(F.sum(n).alias(n))
+    return hits.groupBy(*on, "v").agg(F.sum(n).cast(WIDE).alias(n))
 
 
 def _agreeing(base: DataFrame, others: Sequence[DataFrame], on: Sequence[str], tolerance: float) -> DataFrame:
@@ -106,10 +110,10 @@ def heavy_ab_counts(
     parts = _pair_parts(base, _side(system, "day_a", year_range, w="bal_a"), tolerance)
     parts["exact"] = _agreeing(base, [_side(system, "day_a", year_range, w="exact_bal")], [KEY], tolerance)
     of_b = counterpart.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("nb"), _rows_if(~F.col("bad_balance_b")).alias("good_b")
+        F.count(F.lit(1)).cast(WIDE).alias("nb"), _rows_if(~F.col("bad_balance_b")).alias("good_b")
     )
     of_a = system.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("na"),
+        F.count(F.lit(1)).cast(WIDE).alias("na"),
         _rows_if(~F.col("bad_balance_a")).alias("good_a"),
         _rows_if(~cmp.within(F.col("bal_a"), F.col("exact_bal"), tolerance)).alias("apart"),
         _rows_if(F.col("bal_a") < F.col("exact_bal")).alias("below"),
@@ -140,10 +144,10 @@ def heavy_sb_counts(
     base = _side(counterpart, "day_b", year_range, v="bal_b")
     parts = _pair_parts(base, _side(schedule, "day_s", year_range, w="bal_s"), tolerance)
     of_b = counterpart.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("nb"), _rows_if(~F.col("bad_balance_b")).alias("good_b")
+        F.count(F.lit(1)).cast(WIDE).alias("nb"), _rows_if(~F.col("bad_balance_b")).alias("good_b")
     )
     of_s = schedule.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("ns"), _rows_if(~F.col("bad_balance_s")).alias("good_s")
+        F.count(F.lit(1)).cast(WIDE).alias("ns"), _rows_if(~F.col("bad_balance_s")).alias("good_s")
     )
     nb, ns = F.col("nb"), F.col("ns")
     row = of_b.join(of_s, KEY, "left").agg(

@@ -24,14 +24,14 @@ CHUNK = 100_000
 class SkewGuard:
     """When a key is heavy, and how far its rows are spread.
 
-    ``max_keys`` bounds what reaches the driver and the plan; ``tracked`` bounds the
-    sketch, which reports every key with more than about ``1/tracked`` of the rows.
+    A key is heavy from ``min_rows`` rows, what one task should hold, however many rows
+    there are. ``max_keys`` bounds what reaches the driver and the plan; ``tracked`` bounds
+    the sketch, which reports every key with more than about ``1/tracked`` of the rows.
     """
 
-    share: float = 0.002
     min_rows: int = 1_000_000
-    max_keys: int = 64
-    tracked: int = 4096
+    max_keys: int = 1024
+    tracked: int = 16_384
     salts: int = 16
 
 
@@ -39,7 +39,7 @@ DEFAULT_GUARD = SkewGuard()
 
 
 def heavy_keys(frames: Sequence[DataFrame], key: str, guard: SkewGuard = DEFAULT_GUARD) -> list[list]:
-    """Per frame, at most ``guard.max_keys`` keys that hold a large share of its rows.
+    """Per frame, at most ``guard.max_keys`` keys that hold more rows than a task should.
 
     One job over the key columns alone. Pass frames as early in their lineage as the
     key exists: which keys are reported steers the work, not the result.
@@ -52,13 +52,12 @@ def heavy_keys(frames: Sequence[DataFrame], key: str, guard: SkewGuard = DEFAULT
         *[
             F.expr(f"{call} filter (where side = {i})").alias(f"{name}{i}")
             for i in range(len(frames))
-            for name, call in (("n", "count(1)"), ("top", f"approx_top_k(k, {guard.max_keys}, {guard.tracked})"))
+            for name, call in (("top", f"approx_top_k(k, {guard.max_keys}, {guard.tracked})"),)
         ]
     ).first()
     heavy = []
     for i in range(len(frames)):
-        limit = max(guard.min_rows, guard.share * row[f"n{i}"])
-        heavy.append([e["item"] for e in (row[f"top{i}"] or []) if e["count"] >= limit])
+        heavy.append([e["item"] for e in (row[f"top{i}"] or []) if e["count"] >= guard.min_rows])
     return heavy
 
 

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import comparing as cmp
-from tallyloom.operators.matching import active_only, is_error
+from tallyloom.operators.matching import is_active, is_error
 from tallyloom.operators.quantiles import quantiles, value_counts
 from tallyloom.session import settle
-from tallyloom.operators.skew import COPIES, expand_copies
+from tallyloom.operators.skew import COPIES
 
 # The bonus in the integrity score, and the histogram's bins and cut.
 INTEGRITY_BONUS = 5
@@ -83,8 +83,7 @@ def ab_summary(system: DataFrame, counterpart: DataFrame, compared: DataFrame, *
         rows_where(matched & (F.col("bad_balance_a") | F.col("bad_balance_b"))).alias("bad_balances"),
     )
     merged = one_row(
-        system.agg(F.count(F.lit(1)).alias("rows_a")),
-        active_only(system).agg(F.count(F.lit(1)).alias("active_rows_a")),
+        system.agg(F.count(F.lit(1)).alias("rows_a"), F.count_if(is_active(system)).alias("active_rows_a")),
         _counterpart_rows(counterpart),
         add_rows([counts, *[m.select(*counts.columns) for m in more]]),
     )
@@ -188,13 +187,16 @@ def date_diff_stats(compared: DataFrame) -> DataFrame:
 
 def approximate_stats(compared: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """One-pass variant of ``balance_error_stats`` with sketched quantiles."""
-    gap = F.col("bal_diff")
-    marks = F.percentile_approx(gap, [0.5, 0.95, 0.99], accuracy)
-    row = expand_copies(compared.where(is_error())).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(gap).alias("mean"),
+    gap, weight = F.col("bal_diff"), F.col(COPIES)
+    marks = F.expr(f"percentile_approx(bal_diff, array(0.5, 0.95, 0.99), {accuracy})")
+    total = F.sum(weight)
+    mean = F.sum(gap * weight) / total
+    # Copies are weights; a sketch has none, so its ranks are those of the collapsed rows.
+    row = compared.where(is_error()).agg(
+        F.coalesce(total, F.lit(0)).alias("n"),
+        mean.alias("mean"),
         marks[0].alias("median"),
-        F.stddev_pop(gap).alias("std"),
+        F.sqrt(F.greatest(F.lit(0.0), F.sum(gap * gap * weight) / total - mean * mean)).alias("std"),
         F.min(gap).alias("min"),
         F.max(gap).alias("max"),
         marks[1].alias("p95"),
@@ -238,10 +240,13 @@ def error_histogram(compared: DataFrame, bins: int = HISTOGRAM_BINS, cut: float
     )
 
 
-def thin_bins(histogram: DataFrame, limit: int = 25) -> DataFrame:
-    """Every second bin where there are more than ``limit``, as the chart shows them."""
+def merged_bins(histogram: DataFrame, limit: int = 25) -> DataFrame:
+    """Neighbouring bins in pairs where there are more than ``limit``; every row stays counted."""
     many = histogram.agg((F.count(F.lit(1)) > limit).alias("many")).scalar()
-    return histogram.where(~many | (F.col("bin") % 2 == 1))
+    place = F.when(many, F.ceil(F.col("bin") / 2)).otherwise(F.col("bin")).cast("int")
+    return histogram.groupBy(place.alias("bin")).agg(
+        F.min("low_edge").alias("low_edge"), F.max("high_edge").alias("high_edge"), F.sum("rows").alias("rows")
+    )
 
 
 # ---- scores and report rows ----------------------------------------------

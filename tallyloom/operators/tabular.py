@@ -98,12 +98,9 @@ def explode_years(df: DataFrame, start: str, end: str, year: str = "year") -> Da
     return df.withColumn(year, F.explode(F.sequence(F.col(start), F.col(end))))
 
 
-def year_matrix(df: DataFrame, group: str, start: str, end: str, years: Sequence[int]) -> DataFrame:
-    """Number of intervals that cover each year, one column per year."""
-    covers = [
-        F.count_if((F.col(start) <= y) & (F.col(end) >= y)).alias(f"y{y}") for y in years
-    ]
-    return df.groupBy(group).agg(*covers)
+def year_matrix(df: DataFrame, group: str, start: str, end: str, count: str = "rows") -> DataFrame:
+    """Number of intervals that cover each year the data has, one row per group and year."""
+    return explode_years(df, start, end).groupBy(group, "year").agg(F.count(F.lit(1)).alias(count))
 
 
 # ---- series ---------------------------------------------------------------

@@ -1,47 +1,27 @@
-"""Capped listings in a defined order."""
+"""Ordered extracts, where a caller asks for one, and counts for a scatter chart."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows captured per list, and rows per list in the report.
-MAX_RECORDS = 100_000
-REPORT_CAPS = {
-    "errors_ab": 1000,
-    "errors_sb": 1000,
-    "debt_separation": 500,
-    "conflicts": 500,
-    "three_way_discrepancies": 500,
-    "three_way_perfect": 1000,
-}
-SCATTER_ROWS = 500
-
-ONE_STEP = 2_000
-FAN_IN = 64
-
-
-def top_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
-    """First ``n`` rows in the order given.
-
-    A short list is one step. For a long one every task first keeps its own best
-    rows (the rank limit moves below the exchange, see ``RUNTIME_CONF``), groups of
-    tasks merge theirs, and only then is one list made, so the last task sees
-    ``FAN_IN * n`` rows however many tasks there were.
+#: Width of a cell of the scatter chart, in money.
+SCATTER_CELL = 100
+
+
+def top_rows(df: DataFrame, order: Sequence[Column | str], n: int | None) -> DataFrame:
+    """The first ``n`` rows in the order given; all rows, as they lie, without an ``n``."""
+    return df if n is None else df.orderBy(*order).limit(n)
+
+
+def scatter_cells(rows: DataFrame, width: int = SCATTER_CELL) -> DataFrame:
+    """Error rows by cell of (balance gap, day gap): a chart's points with their weight.
+
+    ``x`` is the lower edge of the cell, ``y`` the day gap. Every row is counted.
     """
-    if n > ONE_STEP:
-        lane = F.pmod(F.spark_partition_id(), F.lit(FAN_IN))
-        rank = F.row_number().over(Window.partitionBy("_lane").orderBy(*order))
-        df = df.withColumn("_lane", lane).withColumn("_rank", rank).where(F.col("_rank") <= n)
-        df = df.drop("_lane", "_rank")
-    return df.orderBy(*order).limit(n)
-
-
-def scatter_sample(rows: DataFrame, n: int = SCATTER_ROWS) -> DataFrame:
-    """First error rows as (balance gap, day gap, account) points."""
-    order = ["acc_no", "date_b", "bal_diff", "date_diff_days"]
-    return top_rows(rows, order, n).select(
-        F.col("bal_diff").alias("x"), F.col("date_diff_days").alias("y"), "acc_no"
+    edge = F.floor(F.col("bal_diff") / width) * width
+    return rows.groupBy(edge.cast("double").alias("x"), F.col("date_diff_days").alias("y")).agg(
+        F.count(F.lit(1)).alias("rows")
     )

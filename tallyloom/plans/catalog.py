@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tallyloom.operators import tabular as tb
 from tallyloom.operators import topn as tn
 from tallyloom.operators import waterfall as wf
 from tallyloom.operators.literals import literal_rows
+from tallyloom.operators.skew import SkewGuard
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.session import fill_cores, settle, tune, work_folder
 from tallyloom.sinks import outputs as out
@@ -44,10 +46,10 @@ def query(build: Query) -> Query:
     return build
 
 
-def ledgers(spark: SparkSession, folder: str, **options) -> Reconciliation:
+def ledgers(spark: SparkSession, folder: str, hot: int | None = None, **options) -> Reconciliation:
     orders = fill_cores(dv.table(spark, folder, "orders"))
     return Reconciliation(
-        dv.system_ledger(orders), dv.counterpart_ledger(orders), dv.schedule_ledger(orders), **options
+        *(ledger(orders, hot) for ledger in (dv.system_ledger, dv.counterpart_ledger, dv.schedule_ledger)), **options
     )
 
 
@@ -111,8 +113,7 @@ def reconcile_ab(spark, folder):
 
 @query
 def discrepancies_ab(spark, folder):
-    rows = mt.ab_rows(ledgers(spark, folder).ab, errors_only=True)
-    return tn.top_rows(rows, rows.columns, tn.MAX_RECORDS)
+    return mt.ab_rows(ledgers(spark, folder).ab, errors_only=True)
 
 
 @query
@@ -152,7 +153,7 @@ def error_histogram(spark, folder):
 
 @query
 def error_histogram_thinned(spark, folder):
-    return sm.thin_bins(sm.error_histogram(ledgers(spark, folder).ab))
+    return sm.merged_bins(sm.error_histogram(ledgers(spark, folder).ab))
 
 
 @query
@@ -180,15 +181,14 @@ def severity_bands(spark, folder):
 
 
 @query
-def scatter_sample(spark, folder):
-    return tn.scatter_sample(mt.ab_rows(ledgers(spark, folder).ab, errors_only=True))
+def scatter_cells(spark, folder):
+    return tn.scatter_cells(mt.ab_rows(ledgers(spark, folder).ab, errors_only=True))
 
 
 @query
 def search_account(spark, folder):
     rows = mt.ab_rows(ledgers(spark, folder).ab, errors_only=True)
-    found = tb.search_column(rows, "acc_no", "99")
-    return tn.top_rows(found, ["acc_no", "date_b", "bal_diff", "date_a"], 500)
+    return tb.search_column(rows, "acc_no", "99")
 
 
 @query
@@ -246,10 +246,9 @@ def three_way_summary(spark, folder):
 
 @query
 def three_way_listing(spark, folder):
-    """Perfect rows first, then discrepancies, in one capped list."""
+    """Perfect rows first, then discrepancies, in one list sorted by ranges."""
     rows = mt.three_rows(ledgers(spark, folder).three)
-    first = F.when(F.col("kind") == "perfect", F.lit(0)).otherwise(F.lit(1))
-    return tn.top_rows(rows, [first, *mt.THREE_COLUMNS], tn.MAX_RECORDS)
+    return rows.orderBy(F.col("kind").desc(), *mt.THREE_COLUMNS)
 
 
 @query
@@ -449,8 +448,9 @@ def deficit_by_property(spark, folder):
 
 @query
 def filter_missions(spark, folder):
-    """Events whose property map asks for something."""
-    events = dv.table(spark, folder, "events").withColumn("needs", F.from_json("props", "map<string,bigint>"))
+    """Events whose property map asks for something; every third asks for nothing."""
+    asked = F.when(F.col("event_id") % 3 > 0, F.col("props")).otherwise(F.lit("{}"))
+    events = dv.table(spark, folder, "events").withColumn("needs", F.from_json(asked, "map<string,bigint>"))
     return tb.filter_deficit(events, "needs", "deficit").select("event_id", F.size("needs").alias("needs"))
 
 
@@ -571,7 +571,7 @@ def roadmap_years(spark, folder):
 
 @query
 def roadmap_year_matrix(spark, folder):
-    return tb.year_matrix(_part_intervals(spark, folder), "p_type", "start", "end", range(1995, 2002))
+    return tb.year_matrix(_part_intervals(spark, folder), "p_type", "start", "end", "parts")
 
 
 def _yearly(spark, folder) -> DataFrame:
@@ -677,35 +677,177 @@ def scan_schedule(spark, folder):
 
 @query
 def row_estimate(spark, folder):
-    """Estimated data rows of the system extract; exact where the sample covers the files."""
+    """Data rows of the system extract, from the lines of all its bytes."""
+    path = _extract(spark, ledgers(spark, folder).system, dl.SYSTEM, "system")
+    totals = fl.folder_totals(fl.line_counts(spark, path))
+    return totals.select((F.col("lines") - F.col("files")).alias("data_rows"))
+
+
+def _files(spark, lines: DataFrame, heads: list[str], name: str, files: int = 3) -> str:
+    """Text files that begin with the lines of ``heads``; ``lines`` has (k, value)."""
+    path = work_folder(spark, name)
+    first = literal_rows(spark, ["place", "value"], list(enumerate(heads)))
+    first = first.withColumn("file", F.explode(F.sequence(F.lit(0), F.lit(files - 1))))
+    rest = lines.select(F.lit(len(heads)).alias("place"), "value", F.pmod("k", F.lit(files)).cast("int").alias("file"))
+    both = first.unionByName(rest).repartitionById(files, F.col("file")).sortWithinPartitions("place")
+    both.select("value").write.text(path)
+    return path
+
+
+def _schedule_lines(spark, folder, more: Column | None = None) -> DataFrame:
+    """(k, value): the schedule's rows as lines, ``more`` behind them."""
+    cells = [F.col(c) for c in dl.SCHEDULE.columns.values()]
+    line = F.concat_ws(",", *cells)
+    numbered = ledgers(spark, folder).schedule.withColumn("k", F.regexp_extract("acc_no", r"(\d+)$", 1).cast("bigint"))
+    return numbered.select("k", (F.concat(line, more) if more is not None else line).alias("value"))
+
+
+@query
+def scan_late_header(spark, folder):
+    """The schedule below two title rows, one of which looks like data."""
+    heads = ["monthly report", "", "7,2024-01-01,5", ",".join(dl.SCHEDULE.columns)]
+    return dl.load_schedule(spark, _files(spark, _schedule_lines(spark, folder), heads, "late"))
+
+
+@query
+def rejected_rows(spark, folder):
+    """Rows with a field too many: every tenth of the schedule."""
+    more = F.when(F.col("k") % 10 == 0, F.lit(",beyond")).otherwise(F.lit(""))
+    path = _files(spark, _schedule_lines(spark, folder, more), [",".join(dl.SCHEDULE.columns)], "rejected")
+    return dl.rejected_lines(spark, path, dl.SCHEDULE).drop("source_file")
+
+
+@query
+def scan_quoted_text(spark, folder):
+    """The system ledger with a line break inside its dates."""
+    broken = F.replace("first_payment_date", F.lit(" "), F.lit("\n"))
+    ledger = ledgers(spark, folder).system.withColumn("first_payment_date", broken)
+    return dl.load_system(spark, _extract(spark, ledger, dl.SYSTEM, "quoted"))
+
+
+def _counterpart_extract(spark, folder, name: str, suffix: str = "", charset: str = "UTF-8") -> str:
+    path = work_folder(spark, name)
+    ledger = ledgers(spark, folder).counterpart
+    heads = {alias: head + suffix for head, alias in dl.COUNTERPART.columns.items()}
+    if charset != "UTF-8":
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    out.write_csv(ledger.select(*[F.col(a).alias(h) for a, h in heads.items()]), path, False, charset)
+    return path
+
+
+@query
+def scan_mapped_columns(spark, folder):
+    """The counterpart's extract with longer column names, found by their beginning."""
+    return dl.load_counterpart(spark, _counterpart_extract(spark, folder, "mapped", " (ใหม่)")).drop("source_file")
+
+
+@query
+def scan_code_pages(spark, folder):
+    """The counterpart's extract in a Thai code page."""
+    path = _counterpart_extract(spark, folder, "pages", charset="x-windows-874")
+    return dl.load_counterpart(spark, path).drop("source_file")
+
+
+@query
+def file_inventory(spark, folder):
+    """Files and bytes of the system extract, and the bytes its digests have read."""
     path = _extract(spark, ledgers(spark, folder).system, dl.SYSTEM, "system")
-    totals = fl.folder_totals(fl.profile(spark, path, list(dl.SYSTEM.columns)))
-    return totals.select((F.col("estimated_rows") - F.col("files")).alias("data_rows"))
+    listed = fl.inventory(spark, path).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    digested = fl.digests(spark, path).agg(
+        F.count_if(F.length("sha256_16") == 16).alias("digests"), F.sum("bytes").alias("digested")
+    )
+    both = listed.select("*", digested.select("digests").scalar().alias("digests"), digested.select("digested").scalar().alias("digested"))
+    return both.select((F.col("files") == F.col("digests")).alias("all_digested"), (F.col("bytes") == F.col("digested")).alias("same_bytes"))
 
 
 @query
 def written_lists(spark, folder):
-    """Rows of each result list after writing the lists and reading them back."""
+    """Each result list after writing the lists and reading them back: rows and content."""
     path = work_folder(spark, "lists")
     r = ledgers(spark, folder, keep=True)
-    written = out.write_lists(r, path)
-    r.release()
-    counts = None
+    try:
+        written = out.write_lists(r, path)
+    finally:
+        r.release()
+    amounts = {"debt_separation": "balance_b", "conflicts": "loan_balance"}
+    parts = []
     for name, place in written.items():
-        rows = spark.read.option("header", True).csv(place).agg(F.count(F.lit(1)).alias("rows"))
-        rows = rows.select(F.lit(name).alias("list"), "rows")
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts
+        rows = spark.read.option("header", True).csv(place)
+        account = F.col(rows.columns[0]) if "acc_no" not in rows.columns else F.col("acc_no")
+        parts.append(
+            rows.agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.count_distinct(account).alias("accounts"),
+                F.min(account).alias("first_account"),
+                F.max(account).alias("last_account"),
+                F.coalesce(F.sum(F.col(amounts.get(name, "bal_b")).cast("double").cast("decimal(18,2)")), F.lit(0)).cast("double").alias("amount"),
+            ).select(F.lit(name).alias("list"), "*")
+        )
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _report(spark, folder, schema: str) -> DataFrame:
+    payload = _settled(ledgers(spark, folder, keep=True), out.report_payload)
+    return out.read_payload(payload, schema)
 
 
 @query
 def report_lists(spark, folder):
-    """Entries of each list in the report document, decoded again from its JSON."""
-    names = list(tn.REPORT_CAPS)
-    fields = ", ".join(f"{n}: array<struct<acc_no: string>>" for n in names)
-    payload = _settled(ledgers(spark, folder, keep=True), out.report_payload)
-    report = out.read_payload(payload, f"records struct<{fields}>")
-    sizes = F.array(
-        *[F.struct(F.lit(n).alias("list"), F.size(f"records.{n}").cast("bigint").alias("rows")) for n in names]
+    """Size of each list as the report document names it, decoded again from its JSON."""
+    names = ["errors_ab", "errors_sb", "debt_separation", "conflicts", "three_way_perfect", "three_way_discrepancies"]
+    report = _report(spark, folder, f"list_rows struct<{', '.join(f'{n}: bigint' for n in names)}>")
+    sizes = F.array(*[F.struct(F.lit(n).alias("list"), F.col(f"list_rows.{n}").alias("rows")) for n in names])
+    return report.select(F.inline(sizes))
+
+
+@query
+def report_values(spark, folder):
+    """Statistics, chart series and totals of the report document, decoded from its JSON."""
+    share = "array<struct<mismatch: string, rows: bigint>>"
+    bins = "array<struct<bin: int, rows: bigint>>"
+    report = _report(
+        spark,
+        folder,
+        "stats struct<ab: struct<matched_rows: bigint, unmatched_b: bigint, bad_balances: bigint>, "
+        "sb: struct<matched_rows: bigint, unmatched_b: bigint, bad_balances: bigint>, three_way: struct<perfect: bigint>, "
+        "totals: struct<total_rows: bigint, error_rows: bigint>>, "
+        f"charts struct<classes_ab: {share}, classes_sb: {share}, classes_three_way: {share}, "
+        f"histogram_ab: {bins}, histogram_sb: {bins}, balance_errors_sb: struct<n: bigint, mean: double, p99: double>>",
+    )
+    single = [
+        "stats.ab.matched_rows", "stats.ab.unmatched_b", "stats.ab.bad_balances", "stats.sb.matched_rows",
+        "stats.sb.unmatched_b", "stats.sb.bad_balances", "stats.three_way.perfect", "stats.totals.total_rows",
+        "stats.totals.error_rows", "charts.balance_errors_sb.n", "charts.balance_errors_sb.mean", "charts.balance_errors_sb.p99",
+    ]
+    values = [F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in single]
+    for name in ("ab", "sb", "three_way"):
+        of = f"charts.classes_{name}"
+        for k in ("perfect", "date_only", "balance_only", "both"):
+            rows = F.element_at(F.map_from_arrays(f"{of}.mismatch", f"{of}.rows"), k)
+            values.append(F.struct(F.lit(f"{of}.{k}").alias("name"), rows.cast("double").alias("value")))
+    for name in ("ab", "sb"):
+        total = F.aggregate(f"charts.histogram_{name}.rows", F.lit(0).cast("bigint"), lambda a, b: a + b)
+        values.append(F.struct(F.lit(f"histogram_{name}").alias("name"), total.cast("double").alias("value")))
+    return report.select(F.inline(F.array(*values)))
+
+
+# ---- accounts that hold a large part of the rows ---------------------------
+
+
+@query
+def summary_ab_hot(spark, folder):
+    """Every third order under one account, counted by group instead of by pair."""
+    return _plain_counts(ledgers(spark, folder, hot=3, guard=SkewGuard(min_rows=50)).ab_summary)
+
+
+@query
+def three_way_hot(spark, folder):
+    """Every hundredth order under one account in all three ledgers."""
+    return _plain_counts(ledgers(spark, folder, hot=100, guard=SkewGuard(min_rows=10)).three_summary)
+
+
+def _plain_counts(summary: DataFrame) -> DataFrame:
+    """Counters as bigint; they are wider where groups are counted by products."""
+    return summary.select(
+        *[F.col(n).cast("bigint").alias(n) if kind.startswith("decimal") else F.col(n) for n, kind in summary.dtypes]
     )
-    return report.select(F.explode(sizes).alias("s")).select("s.*")

@@ -13,18 +13,22 @@ A as (
   from orders),
 B0 as (
   select o_orderkey k,
-         case when o_orderkey % 13 = 0 then 'B' else '' end || cast(o_orderkey as varchar) acc_no,
+         case when o_orderkey % 97 = 0 then null when o_orderkey % 101 = 0 then '000'
+              else case when o_orderkey % 13 = 0 then 'B' else '' end || cast(o_orderkey as varchar) end acc_no,
          cast(o_orderdate as date) + case when o_orderkey % 5 = 0 then 30 else 0 end dt,
          cast(cast(o_totalprice as decimal(18,2))
               + case when o_orderkey % 3 = 0 then 250.75 else 0.00 end as decimal(18,2)) bal
   from orders),
 B1 as (
-  select acc_no, dt, bal, 'part1.csv' source_file from B0
-  union all select acc_no, dt, bal, 'part2.csv' from B0 where k % 19 = 0
-  union all select acc_no, dt, cast(bal + 1 as decimal(18,2)), 'part2.csv' from B0 where k % 23 = 0),
+  select k, acc_no, dt, bal, 'part1.csv' source_file from B0
+  union all select k, acc_no, dt, bal, 'part2.csv' from B0 where k % 19 = 0
+  union all select k, acc_no, dt, cast(bal + 1 as decimal(18,2)), 'part2.csv' from B0 where k % 23 = 0),
+BT as (
+  select acc_no, case when k % 89 = 0 then '30/02/2567'
+                      else strftime(dt, '%d/%m') || '/' || cast(year(dt) + 543 as varchar) end start_date_be,
+         case when k % 83 = 0 then 'N/A' else cast(bal as varchar) end balance_text, source_file from B1),
 B as (
-  select acc_no, strftime(dt, '%d/%m') || '/' || cast(year(dt) + 543 as varchar) start_date_be,
-         cast(cast(bal as varchar) as double) loan_balance, source_file from B1),
+  select acc_no, start_date_be, try_cast(balance_text as double) loan_balance, source_file from BT),
 D as (select distinct acc_no, start_date_be, loan_balance from B),
 S as (
   select ' 00' || case when o_orderkey % 4 = 0 then 'S' else '' end || cast(o_orderkey as varchar) acc_no,
@@ -42,7 +46,7 @@ CB as (
   select ltrim(trim(acc_no), '0') acc_key, acc_no acc_b, start_date_be date_b,
          try_cast(concat(cast(split_part(start_date_be, '/', 3) as int) - 543, '-',
                   split_part(start_date_be, '/', 2), '-', split_part(start_date_be, '/', 1)) as date) day_b,
-         loan_balance bal_b
+         coalesce(loan_balance, 0) bal_b, loan_balance is null bad_b
   from D),
 CS as (
   select ltrim(trim(acc_no), '0') acc_key, acc_no acc_s,
@@ -88,8 +92,6 @@ COMPARED = (
 _AB_ROW = """acc_b acc_no, coalesce(cast(day_a as varchar), '') date_a, date_b, date_match, date_diff_days,
   bal_a, bal_b, bal_match, bal_diff, bal_diff_pct, exact_bal, exact_vs_b_diff, exact_vs_pre_diff,
   is_debt_separation, mismatch"""
-_AB_ORDER = """acc_no, date_a, date_b, date_match, date_diff_days, bal_a, bal_b, bal_match, bal_diff,
-  bal_diff_pct, exact_bal, exact_vs_b_diff, exact_vs_pre_diff, is_debt_separation, mismatch"""
 _SB_ROW = """acc_b acc_no, coalesce(cast(day_s as varchar), '') date_s, date_b, date_match, date_diff_days,
   bal_s, bal_b, bal_match, bal_diff, bal_diff_pct, mismatch"""
 _T_ROW = """case when mismatch = 'perfect' then 'perfect' else 'discrepancy' end kind, acc_a acc_no,
@@ -112,10 +114,10 @@ _AB_SUMMARY = f"""
   select (select count(*) from A) rows_a, (select count(*) from A where group_flag = '1') active_rows_a,
     (select count(*) from D) rows_b, (select count(*) from D where acc_no is null) rows_b_no_key,
     (select count(*) from CB where acc_key = '') rows_b_empty_key,
-    (select count(*) from CB where acc_key not in (select acc_key from CA)) unmatched_b, {_COUNTS},
+    (select count(*) from CB where not exists (select 1 from CA where CA.acc_key = CB.acc_key)) unmatched_b, {_COUNTS},
     count(*) filter (where abs(exact_vs_b_diff) > 0.01::double) exact_vs_b_mismatches,
     count(*) filter (where abs(exact_vs_pre_diff) > 0.01::double) exact_vs_pre_mismatches,
-    count(*) filter (where is_debt_separation) debt_separation_cases, 0 bad_balances
+    count(*) filter (where is_debt_separation) debt_separation_cases, count(*) filter (where bad_b) bad_balances
   from AB)"""
 
 _SB_SUMMARY = f"""
@@ -123,8 +125,8 @@ _SB_SUMMARY = f"""
   select (select count(*) from S) rows_s,
     (select count(*) from D) rows_b, (select count(*) from D where acc_no is null) rows_b_no_key,
     (select count(*) from CB where acc_key = '') rows_b_empty_key,
-    (select count(*) from CB where acc_key not in (select acc_key from CS)) unmatched_b, {_COUNTS},
-    0 bad_balances
+    (select count(*) from CB where not exists (select 1 from CS where CS.acc_key = CB.acc_key)) unmatched_b, {_COUNTS},
+    count(*) filter (where bad_b) bad_balances
   from SB)"""
 
 _T_SUMMARY = f"""
@@ -138,8 +140,8 @@ def _with(body: str) -> str:
     return f"with {COMPARED} {body}"
 
 
-def _stats(table: str) -> str:
-    return _with(
+def _stats_body(table: str) -> str:
+    return (
         f"""select count(*) n, round(avg(bal_diff), 4) mean, round(quantile_cont(bal_diff, 0.5), 4) median,
         round(stddev_pop(bal_diff), 4) std, round(min(bal_diff), 4) "min", round(max(bal_diff), 4) "max",
         round(quantile_cont(bal_diff, 0.95), 4) p95, round(quantile_cont(bal_diff, 0.99), 4) p99
@@ -147,9 +149,13 @@ def _stats(table: str) -> str:
     )
 
 
-def _histogram(table: str, thin: str = "") -> str:
-    return _with(
-        f""", E as (select bal_diff v from {table} where mismatch <> 'perfect'),
+def _stats(table: str) -> str:
+    return _with(_stats_body(table))
+
+
+def _histogram_body(table: str) -> str:
+    return (
+        f"""with E as (select bal_diff v from {table} where mismatch <> 'perfect'),
         K as (select v from E where abs(v) < (select quantile_cont(abs(v), 0.99) from E)),
         R as (select case when min(v) = max(v) then min(v) - 0.5 else min(v) end lo,
                      case when min(v) = max(v) then max(v) + 0.5 else max(v) end hi from K),
@@ -158,10 +164,14 @@ def _histogram(table: str, thin: str = "") -> str:
         select cast(g.bin as int) bin, round(lo + (hi - lo) / 50 * (g.bin - 1), 4) low_edge,
                round(lo + (hi - lo) / 50 * g.bin, 4) high_edge, coalesce(n, 0) "rows"
         from generate_series(1, 50) g(bin) cross join R left join N on N.bin = g.bin
-        where lo is not null {thin}"""
+        where lo is not null"""
     )
 
 
+def _histogram(table: str) -> str:
+    return _with(f"select * from ({_histogram_body(table)})")
+
+
 _DUES = """dues as (select * from (values
   (1, 0.015), (2, 0.025), (3, 0.030), (4, 0.035), (5, 0.040), (6, 0.045), (7, 0.050), (8, 0.060),
   (9, 0.070), (10, 0.080), (11, 0.090), (12, 0.100), (13, 0.110), (14, 0.120)) d(year, share)),
@@ -267,19 +277,18 @@ ORACLE = {
     "dedup_report": f"""with {LEDGERS}, G as (
         select acc_no, count(*) r, count(distinct (start_date_be, loan_balance)) p from B group by 1)
         select cast(sum(r) as bigint) original_rows, cast(sum(p) as bigint) kept_rows,
-          cast(sum(r) - sum(p) as bigint) removed_rows, count(*) filter (where p > 1) conflict_accounts,
-          cast(coalesce(sum(r) filter (where p > 1), 0) as bigint) conflict_records from G""",
+          cast(sum(r) - sum(p) as bigint) removed_rows,
+          count(*) filter (where p > 1 and acc_no is not null) conflict_accounts,
+          cast(coalesce(sum(r) filter (where p > 1 and acc_no is not null), 0) as bigint) conflict_records from G""",
     "conflict_accounts": f"""with {LEDGERS}
         select acc_no, count(*) "rows", count(distinct (start_date_be, loan_balance)) pairs
-        from B group by 1 having count(distinct (start_date_be, loan_balance)) > 1""",
+        from B where acc_no is not null group by 1 having count(distinct (start_date_be, loan_balance)) > 1""",
     "conflict_records": f"""with {LEDGERS} select * from B where acc_no in (
         select acc_no from B group by 1 having count(distinct (start_date_be, loan_balance)) > 1)""",
     "filter_active_group": f"with {LEDGERS} select * from A where try_cast(group_flag as bigint) = 1",
     "normalize_key": f"with {LEDGERS} select acc_no, regexp_replace(trim(acc_no), '^0+', '') acc_key from S",
     "reconcile_ab": _with(f"select {_AB_ROW} from AB"),
-    "discrepancies_ab": _with(
-        f"select {_AB_ROW} from AB where mismatch <> 'perfect' order by {_AB_ORDER} limit 100000"
-    ),
+    "discrepancies_ab": _with(f"select {_AB_ROW} from AB where mismatch <> 'perfect'"),
     "classify_ab": _with(f"select {_COUNTS} from AB"),
     "summary_ab": _with(_AB_SUMMARY),
     "exact_balance_checks": _with(
@@ -298,7 +307,8 @@ ORACLE = {
     ),
     "error_histogram": _histogram("AB"),
     "error_histogram_sb": _histogram("SB"),
-    "error_histogram_thinned": _histogram("AB", "and g.bin % 2 = 1"),
+    "error_histogram_thinned": f"""select cast(ceil(bin / 2.0) as int) bin, min(low_edge) low_edge,
+        max(high_edge) high_edge, cast(sum("rows") as bigint) "rows" from ({_histogram("AB")}) group by 1""",
     "quality_metrics": _with(
         f"""select round(least(100.0::double, perfect * 100.0::double / matched_rows + 5), 1) integrity,
         round(matched_rows * 100.0::double / rows_b, 1) coverage,
@@ -320,14 +330,11 @@ ORACLE = {
         case when is_debt_separation then 'debt_separation' else 'plain' end row_class
         from AB where mismatch <> 'perfect'"""
     ),
-    "scatter_sample": _with(
-        """select bal_diff x, date_diff_days y, acc_no from (select acc_b acc_no, * from AB
-        where mismatch <> 'perfect') order by acc_no, date_b, bal_diff, date_diff_days limit 500"""
-    ),
-    "search_account": _with(
-        f"""select * from (select {_AB_ROW} from AB where mismatch <> 'perfect' and acc_b like '%99%')
-        order by acc_no, date_b, bal_diff, date_a limit 500"""
+    "scatter_cells": _with(
+        """select cast(floor(bal_diff / 100) * 100 as double) x, date_diff_days y, count(*) "rows" from AB
+        where mismatch <> 'perfect' group by 1, 2"""
     ),
+    "search_account": _with(f"select {_AB_ROW} from AB where mismatch <> 'perfect' and acc_b like '%99%'"),
     "unmatched_b": f"""with {LEDGERS} select acc_b, acc_key, date_b, bal_b from CB
         where not exists (select 1 from CA where CA.acc_key = CB.acc_key)""",
     "unmatched_a": f"""with {LEDGERS} select acc_a, acc_key, day_a, bal_a from CA
@@ -339,13 +346,10 @@ ORACLE = {
     "summary_sb": _with(_SB_SUMMARY),
     "reconcile_three_way": _with(f"select {_T_ROW} from T"),
     "three_way_summary": _with(_T_SUMMARY),
-    "three_way_listing": _with(
-        f"""select * from (select {_T_ROW} from T) order by kind = 'discrepancy', acc_no, date_a, date_b, date_s,
-        bal_a_pre, bal_a_exact, bal_b, bal_s limit 100000"""
-    ),
+    "three_way_listing": _with(f"select {_T_ROW} from T"),
     "presence_buckets": f"""with {LEDGERS}, P as (
         select acc_key, bool_or(l = 'a') in_a, bool_or(l = 'b') in_b, bool_or(l = 's') in_s from (
-          select acc_key, 'a' l from CA union all select acc_key, 'b' from CB union all select acc_key, 's' from CS)
+          select acc_key, 'a' l from CA union all select acc_key, 'b' from CB where acc_key is not null union all select acc_key, 's' from CS)
         group by 1)
         select in_a, in_b, in_s, count(*) "keys" from P group by 1, 2, 3""",
     "dashboard_totals": _with(
@@ -356,7 +360,7 @@ ORACLE = {
     "summary_matrix": _with(
         f""", X as (select * from ({_AB_SUMMARY})), Y as (select * from ({_SB_SUMMARY})),
         Z as (select * from ({_T_SUMMARY})),
-        N as (select count(*) n from (select acc_no from D group by 1 having count(*) > 1))
+        N as (select count(*) n from (select acc_no from D where acc_no is not null group by 1 having count(*) > 1))
         select 'source_rows' metric, X.rows_a a_vs_b, Y.rows_s s_vs_b, null::bigint three_way from X, Y
         union all select 'filtered_rows', active_rows_a, null, null from X
         union all select 'counterpart_rows', rows_b, rows_b, null from X
@@ -409,7 +413,7 @@ ORACLE = {
         select resource, cast(sum(cast(json_extract(props, '$."' || resource || '"') as bigint)) as bigint) total
         from E group by 1""",
     "filter_missions": """select event_id, cast(len(json_keys(props)) as int) needs from events
-        where len(json_keys(props)) > 0""",
+        where event_id % 3 > 0 and len(json_keys(props)) > 0""",
     "reward_by_keyword_class": """with C as (select * from (values ('Ring'), ('Widget'), ('Gear'), ('Misc')) v("class")),
         P as (select case when p_name like '%ring%' then 'Ring' when p_name like '%widget%' or p_name like '%gizmo%'
           then 'Widget' when p_name like '%gear%' then 'Gear' else 'Misc' end "class", p_size from part)
@@ -441,9 +445,8 @@ ORACLE = {
     "roadmap_by_category": f"""with {_SPANS} select p_type, count(*) parts, cast(min(s) as int) "start",
         cast(max(e) as int) "end", cast(sum(e - s + 1) as bigint) as years from I group by 1""",
     "roadmap_years": f"""with {_SPANS} select p_partkey, p_type, cast(unnest(generate_series(s, e)) as int) as year from I""",
-    "roadmap_year_matrix": f"""with {_SPANS} select p_type, """
-    + ", ".join(f"count(*) filter (where {y} between s and e) y{y}" for y in range(1995, 2002))
-    + " from I group by 1",
+    "roadmap_year_matrix": f"""with {_SPANS} select p_type, cast(y as int) as year, count(*) parts
+        from (select p_type, unnest(generate_series(s, e)) y from I) group by 1, 2""",
     "kpi_long": f"""with {_YEARLY} select year, 'revenue' metric, revenue "value" from Y
         union all select year, 'orders', orders from Y""",
     "kpi_zipped": f"""with {_YEARLY} select year, 'revenue' metric, revenue "value" from Y
@@ -467,42 +470,99 @@ ORACLE["summary_ab_by_account"] = (
     + """, CA as (select * exclude n from (select *, row_number() over (partition by acc_key
            order by day_a, bal_a, exact_bal, acc_a) n from CA1) where n = 1),
          CB as (select * exclude n from (select *, row_number() over (partition by acc_key
-           order by day_b, bal_b, acc_b, date_b) n from CB1) where n = 1)"""
+           order by day_b nulls first, bal_b, acc_b, date_b) n from CB1) where n = 1)"""
     + COMPARED[len(LEDGERS) :]
-    + _AB_SUMMARY.replace("(select count(*) from D)", "(select count(*) from CB)")
+    + _AB_SUMMARY.replace("(select count(*) from D)", "(select count(*) from CB)").replace(
+        "(select count(*) from D where acc_no is null)", "(select count(*) from CB where acc_key is null)"
+    )
 )
 
 _LISTS = [
-    ("errors_ab", "AB where mismatch <> 'perfect'", 1000),
-    ("errors_sb", "SB where mismatch <> 'perfect'", 1000),
-    ("debt_separation", "AB where is_debt_separation", 500),
+    ("errors_ab", "AB where mismatch <> 'perfect'", "acc_b", "bal_b"),
+    ("errors_sb", "SB where mismatch <> 'perfect'", "acc_b", "bal_b"),
+    ("debt_separation", "AB where is_debt_separation", "acc_b", "bal_b"),
     (
         "conflicts",
         "B where acc_no in (select acc_no from B group by 1 "
         "having count(distinct (start_date_be, loan_balance)) > 1)",
-        500,
+        "acc_no",
+        "loan_balance",
     ),
-    ("three_way_perfect", "T where mismatch = 'perfect'", 1000),
-    ("three_way_discrepancies", "T where mismatch <> 'perfect'", 500),
+    ("three_way_perfect", "T where mismatch = 'perfect'", "acc_a", "bal_b"),
+    ("three_way_discrepancies", "T where mismatch <> 'perfect'", "acc_a", "bal_b"),
 ]
 
+_LIST_SIZES = _with(" union all ".join(f"""select '{n}' list, count(*) "rows" from {s}""" for n, s, _, _ in _LISTS))
+_LIST_CONTENT = _with(
+    " union all ".join(
+        f"""select '{n}' list, count(*) "rows", count(distinct {account}) accounts, min({account}) first_account,
+        max({account}) last_account, cast(coalesce(sum(cast({amount} as decimal(18,2))), 0) as double) amount from {s}"""
+        for n, s, account, amount in _LISTS
+    )
+)
+
+
+def _named(values: dict[str, str]) -> str:
+    return " union all ".join(f"select '{n}' as name, cast(({v}) as double) as value" for n, v in values.items())
+
+
+_REPORT_VALUES = _with(
+    f""", XA as (select * from ({_AB_SUMMARY})), XS as (select * from ({_SB_SUMMARY})),
+    ES as ({_stats_body("SB")}), HA as ({_histogram_body("AB")}), HS as ({_histogram_body("SB")}) """
+    + _named(
+        {
+            **{f"stats.{x}.{c}": f"select {c} from X{x[0].upper()}" for x in ("ab", "sb") for c in ("matched_rows", "unmatched_b", "bad_balances")},
+            "stats.three_way.perfect": "select count(*) from T where mismatch = 'perfect'",
+            "stats.totals.total_rows": "select XA.rows_a + XA.rows_b + XS.rows_s from XA, XS",
+            "stats.totals.error_rows": """select XA.date_only + XA.balance_only + XA."both" + XS.date_only
+                + XS.balance_only + XS."both" from XA, XS""",
+            **{f"charts.balance_errors_sb.{c}": f"select {c} from ES" for c in ("n", "mean", "p99")},
+            **{
+                f"charts.classes_{name}.{k}": f"select count(*) from {table} where mismatch = '{k}'"
+                for name, table in (("ab", "AB"), ("sb", "SB"), ("three_way", "T"))
+                for k in ("perfect", "date_only", "balance_only", "both")
+            },
+            "histogram_ab": 'select sum("rows") from HA',
+            "histogram_sb": 'select sum("rows") from HS',
+        }
+    )
+)
 
-def _list_sizes(capped: bool) -> str:
-    return _with(
-        " union all ".join(
-            f"""select '{name}' list, least(count(*), {cap if capped else 100_000}) "rows" from {source}"""
-            for name, source, cap in _LISTS
-        )
+_COUNTERPART_CELLS = f"""with {LEDGERS} select acc_no, start_date_be,
+    case when balance_text <> 'N/A' then balance_text end loan_balance from BT"""
+
+
+def _hot(every: int, body: str) -> str:
+    """The same, with every ``every``-th order under one account in each ledger."""
+    ledgers = LEDGERS
+    is_hot = f"case when o_orderkey % {every} = 0 then 'H1'"
+    plain = "lpad(cast(o_orderkey as varchar), 10, '0')"
+    ledgers = ledgers.replace(f"{plain} acc_no", f"{is_hot} else {plain} end acc_no")
+    ledgers = ledgers.replace("case when o_orderkey % 97 = 0 then null", f"{is_hot} when o_orderkey % 97 = 0 then null")
+    ledgers = ledgers.replace(
+        "' 00' || case when o_orderkey % 4 = 0 then 'S' else '' end || cast(o_orderkey as varchar) acc_no",
+        f"""' 00' || {is_hot}
+            else case when o_orderkey % 4 = 0 then 'S' else '' end || cast(o_orderkey as varchar) end acc_no""",
     )
+    return f"with {ledgers}{COMPARED[len(LEDGERS):]} {body}"
 
 
 ORACLE |= {
     "scan_system": f"with {LEDGERS} select * from A",
-    "scan_counterpart": f"""with {LEDGERS} select acc_no,
-        strftime(dt, '%d/%m') || '/' || cast(year(dt) + 543 as varchar) start_date_be,
-        cast(bal as varchar) loan_balance from B1""",
+    "scan_counterpart": _COUNTERPART_CELLS,
+    "scan_mapped_columns": _COUNTERPART_CELLS,
+    "scan_code_pages": _COUNTERPART_CELLS,
+    "scan_late_header": f"with {LEDGERS} select * from S",
+    "scan_quoted_text": f"""with {LEDGERS} select * replace (replace(first_payment_date, ' ', chr(10))
+        as first_payment_date) from A""",
+    "rejected_rows": f"""with {LEDGERS} select *, 'beyond' beyond_header from S
+        where cast(regexp_extract(acc_no, '([0-9]+)$', 1) as bigint) % 10 = 0""",
+    "file_inventory": "select count(*) > 0 all_digested, count(*) > 0 same_bytes from orders",
     "scan_schedule": f"with {LEDGERS} select * from S",
     "row_estimate": "select count(*) data_rows from orders",
-    "written_lists": _list_sizes(capped=False),
-    "report_lists": _list_sizes(capped=True),
+    "written_lists": _LIST_CONTENT,
+    "report_lists": _LIST_SIZES,
+    "report_values": _REPORT_VALUES,
+    "summary_ab_hot": _hot(3, _AB_SUMMARY),
+    "three_way_hot": _hot(100, _T_SUMMARY),
 }

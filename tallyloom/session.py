@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +15,6 @@ RUNTIME_CONF = {
     # Small inputs stay spread over the cores; large ones never come near this size.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rank limits up to this size are applied before rows are shuffled.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Split skewed join partitions even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
@@ -52,13 +49,11 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which all executors see.
 
-    Only a local session may fall back to the machine's own temporary folder.
+    Where none is named, a folder in the warehouse, which they see as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
@@ -76,10 +71,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bytes up to which an input counts as small.
+SMALL_INPUT = 64 << 20
+
+
 def fill_cores(df: DataFrame) -> DataFrame:
-    """Spread a small input over the idle cores before work that is heavy per row.
+    """Spread an input of a few megabytes over the cores before work that is heavy per row.
 
-    A large input has more splits than cores and is returned as it is, unshuffled.
+    So little is not split by itself and cheap to shuffle on any cluster; a larger input is
+    returned as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_INPUT else df

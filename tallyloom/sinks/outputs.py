@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import platform
 import time
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import dedup as dd
 from tallyloom.operators import matching as mt
 from tallyloom.operators import summary as sm
-from tallyloom.operators.topn import MAX_RECORDS, REPORT_CAPS, SCATTER_ROWS, scatter_sample, top_rows
+from tallyloom.operators.topn import scatter_cells, top_rows
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.session import settle
 from tallyloom.sources.files import digests
@@ -37,54 +38,97 @@ def record_lists(r: Reconciliation) -> dict[str, DataFrame]:
     return lists
 
 
-def write_csv(df: DataFrame, path: str, spreadsheet: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, spreadsheet: bool = True, charset: str = "UTF-8") -> None:
     """One folder of CSV files, replaced as a whole by the output committer.
 
     With ``spreadsheet`` the first header name starts with a byte order mark.
     """
     if spreadsheet:
         df = df.withColumnRenamed(df.columns[0], BYTE_ORDER_MARK + df.columns[0])
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", charset)
     # Cells keep their blanks: tidying is the reader's business.
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def write_lists(r: Reconciliation, folder: str, max_records: int = MAX_RECORDS) -> dict[str, str]:
-    """Every list is written, empty or not, so no stale file outlives a run."""
-    paths = {}
+class Staged:
+    """Outputs written beside their places and moved there together at the end.
+
+    A run that fails before ``publish`` leaves the outputs of the run before as they were.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.stage = f"{self.folder}/_staged-{uuid.uuid4().hex[:12]}"
+        self.names: list[str] = []
+
+    def path(self, name: str) -> str:
+        self.names.append(name)
+        return f"{self.stage}/{name}"
+
+    def publish(self) -> dict[str, str]:
+        """Name to final path of every output."""
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path_of(self.stage).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for name in self.names:
+            final = path_of(f"{self.folder}/{name}")
+            files.delete(final, True)
+            if not files.rename(path_of(f"{self.stage}/{name}"), final):
+                raise OSError(f"{name} cannot be moved into {self.folder}")
+        files.delete(path_of(self.stage), True)
+        return {name: f"{self.folder}/{name}" for name in self.names}
+
+
+def stage_lists(r: Reconciliation, staged: Staged, max_records: int | None = None) -> None:
+    """Every list is written, empty or not, so no stale file outlives a run.
+
+    Lists are whole; ``max_records`` is for callers who want only the first rows.
+    """
     for name, rows in record_lists(r).items():
-        paths[name] = os.path.join(folder, name)
-        write_csv(top_rows(rows, rows.columns, max_records), paths[name])
-    return paths
+        write_csv(top_rows(rows, rows.columns, max_records), staged.path(name))
+
+
+def write_lists(r: Reconciliation, folder: str, max_records: int | None = None) -> dict[str, str]:
+    staged = Staged(r.system.sparkSession, folder)
+    stage_lists(r, staged, max_records)
+    return staged.publish()
 
 
-def report_payload(r: Reconciliation, caps: dict[str, int] = REPORT_CAPS) -> DataFrame:
-    """One row with the report as JSON: summaries, capped lists, chart series."""
+def report_payload(r: Reconciliation) -> DataFrame:
+    """One row with the report as JSON: summaries, size of each list, chart series.
+
+    The lists themselves grow with the ledgers; they are the files of ``write_lists``.
+    """
     def row(df: DataFrame):
         return df.select(F.struct("*").alias("r")).scalar()
 
-    def listed(df: DataFrame, n: int):
-        return top_rows(df, df.columns, n).agg(F.collect_list(F.struct("*")).alias("l")).scalar()
+    def series(df: DataFrame):
+        # Histograms and shares have a fixed number of rows.
+        return df.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("l")).scalar()
+
+    def compared(name: str, frame: DataFrame, counted: list[DataFrame]) -> list:
+        return [
+            row(sm.balance_error_stats(frame)).alias(f"balance_errors_{name}"),
+            series(sm.error_histogram(frame)).alias(f"histogram_{name}"),
+            series(sm.class_shares(sm.class_counts(*counted))).alias(f"classes_{name}"),
+        ]
 
-    lists = [listed(df, caps[name]).alias(name) for name, df in record_lists(r).items()]
-    histogram = sm.error_histogram(r.ab).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("l")).scalar()
-    points = scatter_sample(mt.ab_rows(r.ab, errors_only=True), SCATTER_ROWS)
+    lists = [df.agg(F.count(F.lit(1)).alias("n")).scalar().alias(name) for name, df in record_lists(r).items()]
+    parts = compared("ab", r.ab, r.ab_counted)
     stats = [row(r.dedup_report).alias("dedup"), row(r.ab_summary).alias("ab")]
     if r.schedule is not None:
-        stats += [row(r.sb_summary).alias("sb"), row(r.three_summary).alias("three_way")]
-    stats += [
-        row(sm.balance_error_stats(r.ab)).alias("balance_errors"),
-        row(sm.date_diff_stats(r.ab)).alias("date_gaps"),
-    ]
-    charts = [
-        row(sm.quality_metrics(r.ab_summary)).alias("quality"),
-        histogram.alias("histogram"),
-        points.agg(F.collect_list(F.struct("*")).alias("l")).scalar().alias("scatter"),
-    ]
+        stats += [
+            row(r.sb_summary).alias("sb"),
+            row(r.three_summary).alias("three_way"),
+            row(sm.dashboard_totals(r.ab_summary, r.sb_summary)).alias("totals"),
+        ]
+        parts += compared("sb", r.sb, r.sb_counted)
+        parts.append(series(sm.class_shares(sm.class_counts(*r.three_counted))).alias("classes_three_way"))
+    stats.append(row(sm.date_diff_stats(r.ab)).alias("date_gaps"))
+    charts = [row(sm.quality_metrics(r.ab_summary)).alias("quality"), *parts]
     document = F.struct(
         F.lit(VERSION).alias("version"),
         F.struct(*stats).alias("stats"),
-        F.struct(*lists).alias("records"),
+        F.struct(*lists).alias("list_rows"),
         F.struct(*charts).alias("charts"),
     )
     return r.system.sparkSession.range(1).select(F.to_json(document, JSON_OPTIONS).alias("payload"))
@@ -142,7 +186,7 @@ def run(
     spark: SparkSession,
     folders: dict[str, str],
     output: str,
-    max_records: int = MAX_RECORDS,
+    max_records: int | None = None,
     dry_run: bool = False,
     with_report: bool = False,
     **options,
@@ -161,16 +205,22 @@ def run(
         keep=True,
         **options,
     )
-    begun = time.monotonic()
-    matrix = settle(r.matrix())
-    seconds = time.monotonic() - begun
-    if not dry_run:
-        written = write_lists(r, output, max_records)
+    try:
+        begun = time.monotonic()
+        matrix = settle(r.matrix())
+        seconds = time.monotonic() - begun
+        if dry_run:
+            return matrix
+        staged = Staged(spark, output)
+        stage_lists(r, staged, max_records)
         if with_report:
-            written["report"] = os.path.join(output, "report")
-            report_payload(r).write.mode("overwrite").text(written["report"])
+            report_payload(r).write.text(staged.path("report"))
+            scatter_cells(mt.ab_rows(r.ab, errors_only=True)).write.json(staged.path("scatter"))
         given = {n: p for n, p in folders.items() if p}
-        manifest(r, given, written, seconds).write.mode("overwrite").json(os.path.join(output, "manifest"))
-        manifest_files(spark, given).write.mode("overwrite").json(os.path.join(output, "manifest_files"))
-    r.release()
-    return matrix
+        written = {name: os.path.join(output, name) for name in staged.names}
+        manifest(r, given, written, seconds).write.json(staged.path("manifest"))
+        manifest_files(spark, given).write.json(staged.path("manifest_files"))
+        staged.publish()
+        return matrix
+    finally:
+        r.release()

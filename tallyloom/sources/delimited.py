@@ -1,7 +1,7 @@
 """Ledger extracts as delimited text: mixed code pages, late headers, bad lines.
 
-One profiling job tells how each file is written. Files written alike are read by one
-scan, and the scans are united by column name.
+One profiling job reads every file once and tells how it is written. Files written alike
+are read by one scan, and the scans are united by column name.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.parsing import cell
@@ -26,11 +27,9 @@ CHARSETS = {
     "utf-16": "UTF-16",
     "iso-8859-11": "x-iso-8859-11",
     "cp874": "x-windows-874",
-    "tis-620": "TIS-620",
     "latin-1": "ISO-8859-1",
 }
 EXTRA = "_beyond_header"
-SEPARATOR = "\u0001"
 
 
 @dataclass(frozen=True)
@@ -81,8 +80,9 @@ def read_extract(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
     """All usable files of a folder, cells as text, with the file each row came from.
 
     Lines with more fields than the header are left out (``rejected_lines`` lists
-    them); short lines are filled with nulls; a file without the key column is skipped
-    with a warning. Columns no file has are absent.
+    them); short lines are filled with nulls; line breaks inside quotes belong to their
+    cell; a file without the key column is skipped with a warning (``skipped_files`` lists
+    them). Columns no file has are absent.
     """
     return _united(spark, folder, layout, rejected=False)
 
@@ -104,49 +104,58 @@ def load_schedule(spark: SparkSession, folder: str) -> DataFrame:
     return read_extract(spark, folder, SCHEDULE).drop("source_file")
 
 
+def skipped_files(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
+    """(name, reason) of the files ``read_extract`` leaves out."""
+
+    @F.pandas_udf("boolean")
+    def lacks_key(headers: pd.Series) -> pd.Series:
+        return pd.Series([layout.key not in layout.resolve(list(h)) for h in headers], dtype=bool)
+
+    files = profile(spark, folder, list(layout.columns)).where(lacks_key("header"))
+    return files.select("name", F.lit(f"no column {layout.key}").alias("reason"))
+
+
 def _united(spark, folder, layout, rejected) -> DataFrame:
     # One short row per file; Spark's own file listing is no smaller.
-    found = profile(spark, folder, list(layout.columns), sample_bytes=1).collect()
+    found = profile(spark, folder, list(layout.columns)).collect()
     groups: dict[tuple, list[str]] = {}
     for file in sorted(found, key=lambda f: f["name"]):
-        if file["error"]:
-            log.warning("%s cannot be read: %s", file["name"], file["error"])
-        elif layout.key not in layout.resolve(file["header"]):
+        if layout.key not in layout.resolve(file["header"]):
             log.warning("%s has no column %s and is skipped", file["name"], layout.key)
         else:
-            before = tuple(tuple(c) for c in file["before_header"])
-            groups.setdefault((file["encoding"], tuple(file["header"]), before), []).append(file["path"])
+            how = (file["encoding"], tuple(file["header"]), file["quoted_breaks"], file["leading_rows"])
+            groups.setdefault(how, []).append(file["path"])
     if not groups:
         raise FileNotFoundError(f"no usable data file in {folder}")
-    scans = [
-        _scan(spark, paths, encoding, header, before, layout, rejected)
-        for (encoding, header, before), paths in groups.items()
-    ]
+    scans = [_scan(spark, paths, *how, layout, rejected) for how, paths in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def _scan(spark, paths, encoding, header, before, layout, rejected) -> DataFrame:
+def _scan(spark, paths, encoding, header, quoted_breaks, leading, layout, rejected) -> DataFrame:
     charset = CHARSETS[encoding]
     if charset not in ("UTF-8", "UTF-16", "ISO-8859-1"):
         # Spark reads these code pages only with the JVM's full charset list.
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     names = [f"c{i}" for i in range(len(header))]
+    late = leading > 1
     reader = (
         spark.read.schema(", ".join(f"{n} string" for n in [*names, EXTRA]))
         .option("mode", "PERMISSIVE")
         .option("encoding", charset)
         .option("escape", '"')
-        .option("multiLine", charset == "UTF-16")  # such files cannot be split by line
-        .option("header", not before)
-    )
-    rows = reader.csv(paths).withColumns(
-        {"source_file": F.col("_metadata.file_name"), "_start": F.col("_metadata.file_block_start")}
+        # A quoted line break, or two-byte characters, forbid splitting a file by line.
+        .option("multiLine", quoted_breaks or charset == "UTF-16")
+        .option("header", not late)
     )
-    if before:
-        # A late header: the lines up to it sit in the file's first block.
-        leading = [SEPARATOR.join((list(line) + [""] * len(names))[: len(names)]) for line in (*before, header)]
-        line = F.concat_ws(SEPARATOR, *[F.coalesce(F.col(n), F.lit("")) for n in names])
-        rows = rows.where((F.col("_start") > 0) | ~line.isin(leading))
+    rows = reader.csv(paths).withColumn("source_file", F.col("_metadata.file_name"))
+    if late:
+        # The rows up to the header are the first of the file's first block, by position.
+        rows = rows.withColumns(
+            {"_path": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()}
+        )
+        place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
+        first = rows.where("_start = 0").withColumn("_place", place).where(F.col("_place") > leading).drop("_place")
+        rows = first.unionByName(rows.where("_start > 0"))
     kept = rows.where(F.col(EXTRA).isNotNull() if rejected else F.col(EXTRA).isNull())
     chosen: list[Column] = [
         cell(f"c{i}").alias(layout.columns[wanted]) for wanted, i in layout.resolve(header).items()

@@ -32,11 +32,19 @@ def _date() -> Column:
     return F.col("o_orderdate").cast("date")
 
 
-def system_ledger(orders: DataFrame) -> DataFrame:
+#: The account that takes every ``hot``-th order, where one is asked for.
+HOT = "H1"
+
+
+def _account(number: Column, hot: int | None) -> Column:
+    return F.when(_every(hot), F.lit(HOT)).otherwise(number) if hot else number
+
+
+def system_ledger(orders: DataFrame, hot: int | None = None) -> DataFrame:
     balance = _money(F.col("o_totalprice"))
     extra = F.when(_every(11), F.lit(100)).otherwise(F.lit(0))
     return orders.select(
-        F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("acc_no"),
+        _account(F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), hot).alias("acc_no"),
         F.when(_every(7), F.lit("0")).otherwise(F.lit("1")).alias("group_flag"),
         F.concat(_date().cast("string"), F.lit(" 00:00:00")).alias("first_payment_date"),
         balance.cast("string").alias("pre_balance"),
@@ -44,9 +52,12 @@ def system_ledger(orders: DataFrame) -> DataFrame:
     )
 
 
-def counterpart_ledger(orders: DataFrame) -> DataFrame:
+def counterpart_ledger(orders: DataFrame, hot: int | None = None) -> DataFrame:
     key = F.col("o_orderkey")
     account = F.when(_every(13), F.concat(F.lit("B"), key.cast("string"))).otherwise(key.cast("string"))
+    # Some rows have no account, an account of zeros, an unreadable balance or no such day.
+    account = F.when(_every(97), F.lit(None)).when(_every(101), F.lit("000")).otherwise(account)
+    account = _account(account, hot)
     shifted = F.when(_every(5), F.date_add(_date(), 30)).otherwise(_date())
     gap = F.when(_every(3), F.lit("250.75")).otherwise(F.lit("0.00")).cast("decimal(18,2)")
     balance = _money(_money(F.col("o_totalprice")) + gap)
@@ -61,23 +72,25 @@ def counterpart_ledger(orders: DataFrame) -> DataFrame:
         F.when(_every(23), F.array(copy("part2.csv", 1))).otherwise(F.array()),
     )
     return (
-        orders.select(account.alias("acc_no"), shifted.alias("dt"), balance.alias("bal"), F.explode(copies).alias("c"))
+        orders.select(key.alias("k"), account.alias("acc_no"), shifted.alias("dt"), balance.alias("bal"), F.explode(copies).alias("c"))
         .select(
             "acc_no",
-            buddhist_text("dt").alias("start_date_be"),
-            _money(F.col("bal") + F.col("c.more")).cast("string").alias("loan_balance"),
+            F.when(F.col("k") % 89 == 0, F.lit("30/02/2567")).otherwise(buddhist_text("dt")).alias("start_date_be"),
+            F.when(F.col("k") % 83 == 0, F.lit("N/A"))
+            .otherwise(_money(F.col("bal") + F.col("c.more")).cast("string"))
+            .alias("loan_balance"),
             F.col("c.file").alias("source_file"),
         )
     )
 
 
-def schedule_ledger(orders: DataFrame) -> DataFrame:
+def schedule_ledger(orders: DataFrame, hot: int | None = None) -> DataFrame:
     key = F.col("o_orderkey")
     account = F.when(_every(4), F.concat(F.lit("S"), key.cast("string"))).otherwise(key.cast("string"))
     due = F.when(_every(6), F.date_add(_date(), 15)).otherwise(_date())
     extra = F.when(_every(9), F.lit(500)).otherwise(F.lit(0))
     return orders.select(
-        F.concat(F.lit(" 00"), account).alias("acc_no"),
+        F.concat(F.lit(" 00"), _account(account, hot)).alias("acc_no"),
         F.when(key % 4 == 1, F.date_format(due, "yyyy-MM-dd"))
         .when(key % 4 == 2, F.date_format(due, "dd/MM/yyyy"))
         .otherwise(F.date_format(due, "yyyy/MM/dd"))

@@ -1,6 +1,6 @@
 """What lies in a folder of extracts: inventory, profile, digests.
 
-Only file names pass through the driver. Heads and digests are read on the executors,
+Only file names pass through the driver. Profiles and digests are read on the executors,
 file by file, in bounded chunks.
 """
 
@@ -13,37 +13,39 @@ import io
 from collections.abc import Iterator, Sequence
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# File patterns, head sizes, code pages tried after strict UTF-8, and
-# what an unreadable file is estimated at.
+# File patterns, byte order marks, the code pages tried after strict UTF-8,
+# and the bytes only the first of them has (euro sign, ellipsis, curly quotes, dashes).
 PATTERN = "*.{csv,CSV,txt,TXT}"
-HEAD_BYTES = 65_536
-HEAD_LINES = 10
-SAMPLE_BYTES = 50 * 1024 * 1024
-CODE_PAGES = ["iso-8859-11", "cp874", "tis-620", "latin-1"]
+CODE_PAGES = ["iso-8859-11", "cp874", "latin-1"]
+ONLY_CP874 = {0x80, 0x85, *range(0x91, 0x98)}
 BYTE_ORDER_MARKS = [(codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")]
-UNREADABLE_ROWS = 1_000_000
+#: Bytes of a file in which its header is looked for, and bytes read at a time.
+HEAD_BYTES = 1024 * 1024
 CHUNK = 1024 * 1024
 
 PROFILE_SCHEMA = (
-    "path string, name string, bytes bigint, encoding string, header_row int, header array<string>, "
-    "before_header array<array<string>>, sampled_rows bigint, bytes_per_row double, estimated_rows bigint, "
-    "error string"
+    "path string, name string, bytes bigint, encoding string, quoted_breaks boolean, leading_rows int, "
+    "header array<string>, lines bigint"
 )
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Data files of one folder, not below it, by name. No content is read."""
+    """Data files of one folder, not below it. No content is read.
+
+    Not in order: a sort would gather the files in few tasks, and what reads them follows.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", PATTERN).load(folder)
     return files.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),
-    ).orderBy("name")
+    )
 
 
 def _open(path: str):
@@ -57,83 +59,103 @@ def _open(path: str):
     return system.open_input_stream(inner)
 
 
-def guess_encoding(head: bytes, whole: bool = False) -> str:
-    """Byte order mark, else strict UTF-8, else the first code page that decodes.
+def guess_encoding(head: bytes, is_utf8: bool, present: set[int]) -> str:
+    """Byte order mark, else strict UTF-8, else the code page that has all the file's bytes.
 
-    A head that is not the whole file is cut at its last line end, so that it does not
-    stop inside a character.
+    ``is_utf8`` and ``present`` are of the whole file, ``head`` is its beginning. The two
+    Thai code pages agree but for the bytes only one has.
     """
     for mark, name in BYTE_ORDER_MARKS:
         if head.startswith(mark):
             return name
-    if not whole and b"\n" in head:
-        head = head[: head.rindex(b"\n") + 1]
-    for name in ["utf-8", *CODE_PAGES]:
+    if is_utf8:
+        return "utf-8"
+    order = sorted(CODE_PAGES[:2], key=lambda name: (name == "cp874") != bool(present & ONLY_CP874))
+    for name in [*order, CODE_PAGES[-1]]:
         try:
-            head.decode(name)
+            bytes(sorted(present)).decode(name)
             return name
-        except (UnicodeDecodeError, LookupError):
+        except UnicodeDecodeError:
             continue
-    return "latin-1"
-
-
-def find_header(head: bytes, encoding: str, targets: Sequence[str]) -> tuple[int, list[list[str]]]:
-    """Place of the header among the first lines, and the cells of the lines up to it."""
-    lines = io.StringIO(head.decode(encoding, errors="replace")).readlines()[:HEAD_LINES]
-    place = next((i for i, line in enumerate(lines) if any(t in line for t in targets)), 0)
-    return place, [next(csv.reader([line.rstrip("\r\n")]), []) for line in lines[: place + 1]]
-
-
-def _profile(path: str, size: int, targets: Sequence[str], sample_bytes: int) -> dict:
-    name = path.rsplit("/", 1)[-1]
-    try:
-        with _open(path) as stream:
-            head = stream.read(min(HEAD_BYTES, size))
-            seen, lines = len(head), head.count(b"\n")
-            while seen < min(sample_bytes, size):
-                chunk = stream.read(min(CHUNK, sample_bytes - seen))
-                if not chunk:
-                    break
-                seen, lines = seen + len(chunk), lines + chunk.count(b"\n")
-        encoding = guess_encoding(head, whole=len(head) == size)
-        place, cells = find_header(head, encoding, targets)
-        lines = max(lines, 1)
-        return {
-            "path": path, "name": name, "bytes": size, "encoding": encoding, "header_row": place,
-            "header": cells[-1] if cells else [], "before_header": cells[:-1], "sampled_rows": lines,
-            "bytes_per_row": seen / lines, "estimated_rows": size * lines // seen if seen else 0, "error": None,
-        }
-    except OSError as problem:
-        return {
-            "path": path, "name": name, "bytes": 0, "encoding": None, "header_row": 0, "header": [],
-            "before_header": [], "sampled_rows": 0, "bytes_per_row": 0.0, "estimated_rows": UNREADABLE_ROWS,
-            "error": str(problem),
-        }
-
-
-def profile(
-    spark: SparkSession, folder: str, targets: Sequence[str] = (), sample_bytes: int = SAMPLE_BYTES
-) -> DataFrame:
-    """Per file: encoding, place and cells of the header, and a row estimate.
-
-    The estimate divides the size by the mean row length of the first ``sample_bytes``.
+    return CODE_PAGES[-1]
+
+
+def find_header(head: bytes, encoding: str, targets: Sequence[str]) -> tuple[int, list[str]]:
+    """Rows up to and with the header, blank lines aside, and the header's cells.
+
+    Without a line that holds a wanted name, the first row is the header.
+    """
+    rows = [line for line in io.StringIO(head.decode(encoding, errors="replace")).readlines() if line.strip()]
+    place = next((i for i, line in enumerate(rows) if any(t in line for t in targets)), 0)
+    cells = next(csv.reader([rows[place].rstrip("\r\n")]), []) if rows else []
+    return place + 1, cells
+
+
+def _profile(path: str, size: int, targets: Sequence[str]) -> dict:
+    """One pass over all bytes, a chunk at a time."""
+    decoder, is_utf8 = codecs.getincrementaldecoder("utf-8")(), True
+    present = np.zeros(256, dtype=bool)
+    head, lines, quotes, broken, last = b"", 0, 0, False, 10
+    with _open(path) as stream:
+        while chunk := stream.read(CHUNK):
+            head = head + chunk[: HEAD_BYTES - len(head)] if len(head) < HEAD_BYTES else head
+            codes = np.frombuffer(chunk, dtype=np.uint8)
+            present |= np.bincount(codes, minlength=256) > 0
+            ends = np.flatnonzero(codes == 10)
+            before = quotes + np.searchsorted(np.flatnonzero(codes == 34), ends)
+            # A line that ends inside quotes has an odd number of them in front of its end.
+            broken = broken or bool((before & 1).any())
+            lines, quotes, last = lines + len(ends), quotes + int((codes == 34).sum()), int(codes[-1])
+            if is_utf8:
+                try:
+                    decoder.decode(chunk)
+                except UnicodeDecodeError:
+                    is_utf8 = False
+    if is_utf8:
+        try:
+            decoder.decode(b"", final=True)
+        except UnicodeDecodeError:
+            is_utf8 = False
+    encoding = guess_encoding(head, is_utf8, set(np.flatnonzero(present).tolist()))
+    leading, cells = find_header(head, encoding, targets)
+    return {
+        "path": path, "name": path.rsplit("/", 1)[-1], "bytes": size, "encoding": encoding,
+        "quoted_breaks": broken and encoding != "utf-16", "leading_rows": leading, "header": cells,
+        "lines": lines + (last != 10),
+    }
+
+
+def profile(spark: SparkSession, folder: str, targets: Sequence[str] = ()) -> DataFrame:
+    """Per file, from all its bytes: encoding, line breaks inside quotes, header, lines.
+
+    A file that cannot be read ends the job: a result without it would be incomplete.
     """
     targets = list(targets)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [_profile(p, int(n), targets, sample_bytes) for p, n in zip(batch["path"], batch["bytes"])]
+            rows = [_profile(p, int(n), targets) for p, n in zip(batch["path"], batch["bytes"])]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PROFILE_SCHEMA.split(", ")])
 
     return inventory(spark, folder).select("path", "bytes").mapInPandas(run, PROFILE_SCHEMA)
 
 
-def folder_totals(profiled: DataFrame) -> DataFrame:
-    return profiled.agg(
+def folder_totals(files: DataFrame) -> DataFrame:
+    """Files, bytes and lines of a ``line_counts`` or ``profile`` frame."""
+    return files.agg(
         F.count(F.lit(1)).alias("files"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum("estimated_rows"), F.lit(0)).alias("estimated_rows"),
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
+    )
+
+
+def line_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, bytes, lines) of each file, counted over all its bytes, split by split."""
+    lines = spark.read.option("pathGlobFilter", PATTERN).text(folder)
+    counted = lines.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count(F.lit(1)).alias("lines")
     )
+    return counted.select(F.element_at(F.split("path", "/"), -1).alias("name"), "bytes", "lines")
 
 
 def _digest(path: str) -> str:

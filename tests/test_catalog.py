@@ -5,9 +5,10 @@ import check
 import pytest
 
 import __spark_entry__ as entry_points
+from tallyloom.plans.catalog import QUERIES
+from tallyloom.plans.oracle import ORACLE as SQL
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
-READS_FILE_HEADS = {"row_estimate"}
+READS_FILE_BYTES = {"file_inventory"}
 
 
 def plan_of(df) -> str:
@@ -26,6 +27,8 @@ def con(folder):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
+    assert not any(word in SQL[name].lower().split() for name in QUERIES for word in ("limit", "least(count(*),"))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -33,7 +36,7 @@ def test_query_equals_its_sql(spark, folder, con, name):
     df = QUERIES[name](spark, folder)
     plan = plan_of(df)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert name in READS_FILE_HEADS or ("Python" not in plan and "InPandas" not in plan)
+    assert name in READS_FILE_BYTES or ("Python" not in plan and "InPandas" not in plan)
     assert check.differences(df, con, SQL[name]) == []
 
 
@@ -77,11 +80,15 @@ def test_waterfall_needs_no_shuffle(spark, folder):
     assert "Exchange" not in plan_of(waterfall(loans, "old", ["o_orderkey"]))
 
 
-def test_long_lists_are_cut_before_the_shuffle(spark):
-    from tallyloom.operators.topn import top_rows
-    from tallyloom.session import tune
+def test_lists_have_no_limit(spark, folder):
+    for name in ("discrepancies_ab", "three_way_listing", "search_account", "scatter_cells"):
+        assert "Limit" not in plan_of(QUERIES[name](spark, folder))
 
-    tune(spark)
-    plan = plan_of(top_rows(spark.range(0, 10_000, 1, 8), ["id"], 5_000)).split("\n\n")[0]
-    assert plan.count("WindowGroupLimit") == 2
-    assert plan.rindex("WindowGroupLimit") > plan.rindex("Exchange")
+
+def test_digests_are_not_gathered_in_one_task(spark, tmp_path):
+    from tallyloom.sources import files as fl
+
+    for k in range(60):
+        (tmp_path / f"f{k:02}.csv").write_bytes(b"x\n" * 200_000)
+    df = fl.digests(spark, str(tmp_path))
+    assert "Exchange" not in plan_of(df) and df.rdd.getNumPartitions() > 1

@@ -33,30 +33,80 @@ def test_inventory(spark, place):
         write(place, name, "x\n")
     os.mkdir(os.path.join(place, "below"))
     write(os.path.join(place, "below"), "f.csv", "x\n")
-    assert [r.name for r in fl.inventory(spark, place).collect()] == ["a.TXT", "b.csv", "c.CSV", "e.txt"]
+    assert sorted(r.name for r in fl.inventory(spark, place).collect()) == ["a.TXT", "b.csv", "c.CSV", "e.txt"]
 
 
 def test_profile_and_totals(spark, place):
     write(place, "a.csv", "ACC_NO,X\n" + "1234567,89\n" * 100)
     write(place, "b.csv", "title\n\nACC_NO,X\n1,2\n")
     found = {r.name: r for r in fl.profile(spark, place, ["ACC_NO"]).collect()}
-    assert (found["a.csv"].header_row, found["a.csv"].estimated_rows, found["a.csv"].header) == (0, 101, ["ACC_NO", "X"])
-    assert (found["b.csv"].header_row, found["b.csv"].before_header) == (2, [["title"], []])
-    part = fl.profile(spark, place, ["ACC_NO"], sample_bytes=1).where("name = 'a.csv'").first()
-    assert 95 <= part.estimated_rows <= 105
-    totals = one(fl.folder_totals(fl.profile(spark, place)))
-    assert (totals["files"], totals["estimated_rows"]) == (2, 105)
+    assert (found["a.csv"].leading_rows, found["a.csv"].lines, found["a.csv"].header) == (1, 101, ["ACC_NO", "X"])
+    assert (found["b.csv"].leading_rows, found["b.csv"].header) == (2, ["ACC_NO", "X"])
+    write(place, "c.csv", "no line end")
+    for counted in (fl.profile(spark, place), fl.line_counts(spark, place)):
+        totals = one(fl.folder_totals(counted))
+        assert (totals["files"], totals["lines"]) == (3, 106)
 
 
 def test_guess_encoding():
     thai = "เลขบัญชี,1\n"
-    assert fl.guess_encoding(b"\xef\xbb\xbfx") == "utf-8-sig"
-    assert fl.guess_encoding(thai.encode("utf-16")) == "utf-16"
-    assert fl.guess_encoding(thai.encode("utf-8")) == "utf-8"
-    assert fl.guess_encoding(b"plain\n") == "utf-8"
-    assert fl.guess_encoding(thai.encode("iso-8859-11")) == "iso-8859-11"
-    assert fl.guess_encoding(thai.encode("utf-8") + "ก".encode("utf-8")[:2]) == "utf-8"
-    assert fl.guess_encoding(b"caf\xff\n") == "latin-1"
+
+    def guess(data):
+        try:
+            data.decode("utf-8")
+            sound = True
+        except UnicodeDecodeError:
+            sound = False
+        return fl.guess_encoding(data[:8], sound, set(data))
+
+    assert guess(b"\xef\xbb\xbfx") == "utf-8-sig"
+    assert guess(thai.encode("utf-16")) == "utf-16"
+    assert guess(thai.encode("utf-8")) == "utf-8"
+    assert guess(b"plain\n") == "utf-8"
+    assert guess(thai.encode("iso-8859-11")) == "iso-8859-11"
+    assert guess((thai + "“€”").encode("cp874")) == "cp874"
+    assert guess(b"caf\xff\n") == "latin-1"
+
+
+def test_encoding_is_that_of_all_bytes(spark, place):
+    head = HEADER_B.encode("ascii", "ignore") + b"ACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n"
+    with open(os.path.join(place, "a.csv"), "wb") as f:
+        f.write(head[head.index(b"ACC_NO") :] + b"1,2024-07-05,10\n" * 120_000 + "ก“9,2024-07-05,10\n".encode("cp874"))
+    got = dl.load_schedule(spark, place).where("acc_no != '1'")
+    assert rows(got, "acc_no") == [("ก“9",)]
+
+
+def test_leading_rows_go_by_position(spark, place):
+    text = "7,2024-01-01,5\n\nACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n7,2024-01-01,5\n8,2024-01-02,6\n7,2024-01-01,5\n"
+    write(place, "a.csv", text)
+    write(place, "b.csv", "t\n" * 30 + text[text.index("ACC") :])
+    want = [("7", "5")] * 4 + [("8", "6")] * 2
+    assert rows(dl.load_schedule(spark, place), "acc_no", "capital_remain") == want
+    assert dl.rejected_lines(spark, place, dl.SCHEDULE).count() == 0
+
+
+@pytest.mark.parametrize("title", ["", "title\n"])
+def test_line_breaks_inside_quotes(spark, place, title):
+    write(place, "a.csv", title + 'ACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n"x\ny",2024-07-05,10\n2,2024-07-05,20\n')
+    write(place, "b.csv", 'ACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n"3",2024-07-05,"3,0"\n')
+    assert rows(dl.load_schedule(spark, place), "acc_no", "capital_remain") == [("2", "20"), ("3", "3,0"), ("x\ny", "10")]
+    assert dl.rejected_lines(spark, place, dl.SCHEDULE).count() == 0
+
+
+def test_skipped_and_unreadable_files(spark, place):
+    write(place, "a.csv", "ACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n1,2024-07-05,10\n")
+    write(place, "b.csv", "something,else\n1,2\n")
+    assert rows(dl.skipped_files(spark, place, dl.SCHEDULE), "name", "reason") == [("b.csv", "no column ACC_NO")]
+    with pytest.raises(OSError):
+        fl._profile(os.path.join(place, "gone.csv"), 1, [])
+
+
+def test_titles_of_one_length_share_a_scan(spark, place):
+    for k in range(12):
+        write(place, f"{k}.csv", f"report {k}\nACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n{k},2024-07-05,10\n")
+    got = dl.load_schedule(spark, place)
+    assert got.count() == 12
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan csv") <= 2
 
 
 @pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "utf-16", "iso-8859-11", "cp874"])
@@ -129,7 +179,7 @@ def test_whole_run(spark, extracts, tmp_path):
     matrix = {r.metric: (r.a_vs_b, r.s_vs_b, r.three_way) for r in out.run(spark, extracts, target, with_report=True).collect()}
     assert matrix["matched_rows"] == (5, 3, 3) and matrix["perfect"] == (1, 2, 1)
     assert sorted(os.listdir(target)) == [
-        "conflicts", "debt_separation", "errors_ab", "errors_sb", "manifest", "manifest_files", "report",
+        "conflicts", "debt_separation", "errors_ab", "errors_sb", "manifest", "manifest_files", "report", "scatter",
         "three_way_discrepancies", "three_way_perfect",
     ]
     errors = spark.read.option("header", True).csv(os.path.join(target, "errors_ab"))
@@ -144,8 +194,8 @@ def test_whole_run(spark, extracts, tmp_path):
     assert {f.ledger for f in files} == {"system", "counterpart", "schedule"}
     assert all(len(f.sha256_16) == 16 for f in files)
     report = json.loads(spark.read.text(os.path.join(target, "report")).first()[0])
-    assert len(report["records"]["errors_ab"]) == 4 and report["charts"]["quality"]["integrity"] == 25.0
-    assert report["stats"]["balance_errors"]["p95"] == 4.325
+    assert report["list_rows"]["errors_ab"] == 4 and report["charts"]["quality"]["integrity"] == 25.0
+    assert report["charts"]["balance_errors_ab"]["p95"] == 4.325
 
 
 def test_dry_run_writes_nothing(spark, extracts, tmp_path):
@@ -159,3 +209,22 @@ def test_payload_round_trip(spark, mini):
     payload = out.report_payload(Reconciliation(*mini))
     row = out.read_payload(payload, "version string, stats struct<ab: struct<matched_rows: bigint>>").first()
     assert row.stats.ab.matched_rows == 5
+
+
+def test_lists_are_whole(spark, tmp_path):
+    """More errors than any capture limit of a single machine."""
+    keys = spark.range(120_000).select(F.col("id").cast("string").alias("acc_no"))
+    a = keys.select("acc_no", F.lit("2024-07-05").alias("first_payment_date"), F.lit("10").alias("pre_balance"))
+    b = keys.select("acc_no", F.lit("05/07/2567").alias("start_date_be"), F.lit("11").alias("loan_balance"), F.lit("p").alias("source_file"))
+    written = out.write_lists(Reconciliation(a, b), str(tmp_path / "lists"))
+    assert spark.read.option("header", True).csv(written["errors_ab"]).count() == 120_000
+
+
+def test_failed_run_leaves_the_last_results(spark, tmp_path):
+    target = str(tmp_path / "lists")
+    staged = out.Staged(spark, target)
+    spark.range(3).write.json(staged.path("one"))
+    assert staged.publish() == {"one": f"{target}/one"}
+    again = out.Staged(spark, target)
+    spark.range(5).write.json(again.path("one"))  # never published
+    assert spark.read.json(f"{target}/one").count() == 3

@@ -20,7 +20,7 @@ from tallyloom.operators.skew import (
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.sources import derived as dv
 
-EAGER = SkewGuard(min_rows=20, share=0.05, salts=4)
+EAGER = SkewGuard(min_rows=20, salts=4)
 
 
 def frames(spark):
@@ -127,10 +127,26 @@ def test_counters_of_a_heavy_key_equal_brute_force(spark, tolerance):
         spark.createDataFrame(b, "acc_no string, start_date_be string, loan_balance string, source_file string"),
         spark.createDataFrame(s, "acc_no string, due_payment_date string, capital_remain string"),
     )
-    guarded = Reconciliation(*raw, tolerance=tolerance, guard=SkewGuard(min_rows=3, share=0.01, salts=3))
+    guarded = Reconciliation(*raw, tolerance=tolerance, guard=SkewGuard(min_rows=3, salts=3))
     plain = Reconciliation(*raw, tolerance=tolerance, guard=None)
     assert "hot" in guarded.heavy("a")[0] and "only_b" in guarded.heavy("b")[0]
     for name in ("ab_summary", "sb_summary", "three_summary"):
         assert one(getattr(guarded, name)) == one(getattr(plain, name))
     assert one(sm.balance_error_stats(guarded.ab)) == one(sm.balance_error_stats(plain.ab))
     assert one(sm.date_diff_stats(guarded.ab)) == one(sm.date_diff_stats(plain.ab))
+
+
+def test_counters_of_one_account_pass_a_bigint(spark):
+    """2.2 million rows of one account in each ledger: their product is above 2^63."""
+    from tallyloom.operators import paircounts as pc
+
+    n = 2_200_000
+    day = "date'2024-07-05'"
+    rows = spark.range(n)
+    a = rows.selectExpr("'1' acc_key", f"{day} day_a", "10.0D bal_a", "10.0D exact_bal", "false bad_balance_a")
+    b = rows.selectExpr("'1' acc_key", f"{day} day_b", "if(id < 1000000, 10.0D, 99.0D) bal_b", "false bad_balance_b")
+    s = rows.selectExpr("'1' acc_key", f"{day} day_s", "10.0D bal_s", "false bad_balance_s")
+    row = pc.heavy_three_counts(a, b, s, 0.01).first()
+    assert int(row.matched_rows) == n**3 and int(row.perfect) == 1_000_000 * n * n
+    two = pc.heavy_ab_counts(a, b, 0.01).first()
+    assert int(two.matched_rows) == n * n and int(two.perfect) == 1_000_000 * n

@@ -54,9 +54,9 @@ def test_histogram_matches_numpy(spark, seed):
     assert [r["rows"] for r in rows] == counts.tolist()
     assert [r.low_edge for r in rows] == pytest.approx(edges[:-1].tolist(), abs=1e-3)
     assert rows[-1].high_edge == pytest.approx(edges[-1], abs=1e-3)
-    assert [r.bin for r in sm.thin_bins(sm.error_histogram(as_compared(spark, gaps))).orderBy("bin").collect()] == list(
-        range(1, 51, 2)
-    )
+    merged = sm.merged_bins(sm.error_histogram(as_compared(spark, gaps))).orderBy("bin").collect()
+    assert [r.bin for r in merged] == list(range(1, 26))
+    assert [r["rows"] for r in merged] == (counts[0::2] + counts[1::2]).tolist()
 
 
 def test_histogram_of_one_value(spark):
