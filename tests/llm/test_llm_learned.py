@@ -1,0 +1,202 @@
+import os
+import random
+import sys
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_tables import LONG, no_documents, odd_documents
+from tallyloom.llm import decontaminate, language, toxicity
+from tallyloom.llm.queries import QUERIES
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang")
+    held = QUERIES["op4_language"](spark, MIDDLE).filter("held_out").join(docs, "doc_id").collect()
+    assert len(held) > 200
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.93
+    sure = [r for r in held if r.accepted]
+    assert len(sure) > 0.8 * len(held) and sum(r.lang == r.lang_pred for r in sure) / len(sure) > 0.96
+    assert all(0 <= r.score <= 1 for r in held)
+
+
+def test_language_odd_cases(spark, folder):
+    contents = language.learn(spark.read.parquet(f"{folder}/documents.parquet"))
+    docs = odd_documents(spark)
+    rows = docs.withColumn("found", language.language(F.col("text"), contents)).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        known = r.text is not None and any(c.isalpha() for c in r.text)
+        assert (r.found.lang_pred == "und") != known and 0 <= r.found.score <= 1
+        assert known or (r.found.score == 0 and not r.found.accepted)
+    assert docs.limit(0).select(language.language(F.col("text"), contents)).collect() == []
+    assert language.learn(no_documents(spark)) == {}
+    assert {r[0].lang_pred for r in docs.select(language.language(F.col("text"), {})).collect()} == {"und"}
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 20)
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 300)
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    sample = language.training_sample(docs.unionAll(docs))
+    assert set(sample) == {"de", "en", "es", "fr"}
+    assert all(5 < len(texts) <= 20 and len(set(texts)) == len(texts) for texts in sample.values())
+    assert max(len(t) for texts in sample.values() for t in texts) == 300
+
+
+def test_narrow_margins_are_not_accepted():
+    model = language.Dictionaries({"x": b"the same content " * 40, "y": b"the same content " * 40})
+    assert model.decide("the same content again")[0::2] == ("x", False)
+
+
+def test_toxicity_held_out(spark):
+    labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")
+    rows = QUERIES["op7_toxicity"](spark, MIDDLE).join(labels, "doc_id").filter("held_out").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    clean = [r for r in rows if r.toxic == 0]
+    assert sum(r.predicted for r in toxic) >= 0.7 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.03 * len(clean)
+    better = np.mean([t.score > c.score for t in toxic for c in clean])
+    assert better > 0.85
+
+
+def test_toxicity_odd_cases(spark, folder):
+    docs = odd_documents(spark)
+    label_rows = [(1, 1, "x"), (1, 0, "x"), (2, 0, None), (None, 1, "x"), (3, None, "x"), (4, 7, "x")]
+    labels = spark.createDataFrame(label_rows, "doc_id long, toxic int, text string")
+    model = toxicity.learn(docs, labels, F.lit(True))
+    scores = docs.select(toxicity.toxicity(F.col("text"), model).alias("s")).collect()
+    assert len(scores) == docs.count() and all(0 <= r.s <= 1 for r in scores)
+    assert toxicity.learn(docs, labels.limit(0), F.lit(True)) is None
+    assert toxicity.learn(no_documents(spark), labels, F.lit(True)) is None
+    assert {r.s for r in docs.select(toxicity.toxicity(F.col("text"), None).alias("s")).collect()} == {0.0}
+
+
+def test_no_score_depends_on_labels_of_other_folds(spark, folder):
+    """Held-out labels turned round change nothing."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    usable = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(3)) != 1
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    turned = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = toxicity.learn(docs, labels, usable), toxicity.learn(docs, turned, usable)
+    assert (a is None) == (b is None)
+    if a:
+        assert a.by_number() == b.by_number() and a.bias == b.bias
+
+
+def test_risk_stays_non_negative():
+    """With two clusters, one of them confirmed, the fit separates them."""
+    rng = np.random.default_rng(1)
+    positive = np.array([True] * 200 + [False] * 800)
+    toxic = np.concatenate([np.ones(200, bool), np.arange(800) < 80])
+    sets = [np.flatnonzero(rng.random(6) < (0.7 if t else 0.05)) for t in toxic]
+    model = toxicity.fit(sets, positive, np.arange(6), 0.1)
+    score = toxicity._sigmoid(np.array([model.weights[s].sum() for s in sets]) + model.bias)
+    assert score[200:][toxic[200:]].mean() > 0.6 > 0.2 > score[200:][~toxic[200:]].mean()
+
+
+def vocabulary(rng, size):
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 9))) for _ in range(size)]
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Items, and documents with verbatim, changed and unrelated passages."""
+    rng = random.Random(11)
+    rare, common = vocabulary(rng, 4000), vocabulary(rng, 30)
+
+    def text(n):
+        return [rng.choice(common) if rng.random() < 0.5 else rng.choice(rare) for _ in range(n)]
+
+    items = [text(rng.randint(15, 60)) for _ in range(60)]
+    docs, truth = [], set()
+    for k in range(400):
+        words = text(rng.randint(30, 300))
+        if k % 4 == 0:
+            i = rng.randrange(len(items))
+            inside = list(items[i])
+            if k % 8 == 0:  # a paraphrase: a tenth of the words replaced, two put in
+                for at in rng.sample(range(len(inside) - 6), max(1, len(inside) // 10)):
+                    inside[at] = rng.choice(rare)
+                inside.insert(3, "really")
+                inside.insert(9, "quite")
+            at = rng.randint(0, len(words))
+            words[at:at] = inside
+            truth.add((k, i))
+        docs.append((k, " ".join(w.capitalize() if rng.random() < 0.1 else w for w in words) + ".", "x"))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    return spark.createDataFrame(docs, "doc_id long, text string, body string"), benchmark, truth
+
+
+def test_planted_passages(spark, planted):
+    docs, benchmark, truth = planted
+    out = decontaminate.with_matches(docs, benchmark)
+    assert out.columns == [*docs.columns, "matches"] and out.count() == docs.count()
+    found = {(r.doc_id, m.item_id) for r in out.collect() for m in r.matches}
+    assert len(found & truth) >= 0.95 * len(truth)
+    assert found <= truth
+
+
+def test_blocks_of_items_find_the_same(spark, planted, monkeypatch):
+    docs, benchmark, truth = planted
+    monkeypatch.setattr(decontaminate, "ITEMS", 25)
+    blocks = list(decontaminate.item_blocks(benchmark, items=25))
+    assert len(blocks) > 1 and sorted(i for b in blocks for i in b.ids) == list(range(60))
+
+
+def test_candidate_recall_against_brute_force(spark, planted):
+    """Of the pairs that pass the checks anywhere, the latent search finds nine tenths."""
+    docs, benchmark, _ = planted
+    (items,) = decontaminate.item_blocks(benchmark)
+    index = decontaminate.build_index(docs, items)
+    bodies = [r.text.lower().encode() for r in docs.orderBy("doc_id").collect()]
+    got = {(d, r[0]) for d, rows in enumerate(decontaminate.contained_items(bodies, index)) for r in rows}
+    want = set()
+    for d, body in enumerate(bodies):
+        numbers = np.array([items.vocabulary.get(w, -1) for w in decontaminate.words_of(body)])
+        for i, words in enumerate(items.words):
+            for at in range(0, len(numbers), decontaminate.BLOCK):
+                near = numbers[max(0, at - len(words)) : at + 2 * decontaminate.BLOCK + len(words)]
+                share = decontaminate.common_subsequence(items.masks[i], len(words), near[near >= 0]) / len(words)
+                if share >= decontaminate.LCS_SHARE:
+                    want.add((d, i))
+    assert len(want) > 80 and len(got & want) >= 0.9 * len(want)
+
+
+def test_common_subsequence_against_table():
+    rng = random.Random(2)
+    for _ in range(200):
+        a = [rng.randrange(6) for _ in range(rng.randint(1, 14))]
+        b = [rng.randrange(6) for _ in range(rng.randint(0, 20))]
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert decontaminate.common_subsequence(decontaminate.positions(a), len(a), np.array(b, int)) == table[-1][-1]
+
+
+def test_benchmark_passages_of_the_table(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").collect()
+    items = spark.read.parquet(f"{MIDDLE}/benchmark.parquet").collect()
+    plain = lambda t: " ".join(t.lower().split())
+    truth = {(d.doc_id, i.item_id) for d in docs for i in items if plain(i.text) in plain(d.text)}
+    found = {(r.doc_id, r.item_id) for r in QUERIES["op8_decontaminate"](spark, MIDDLE).collect()}
+    assert truth and found == truth
+
+
+def test_decontaminate_odd_cases(spark, planted):
+    _, benchmark, _ = planted
+    odd = odd_documents(spark)
+    more = benchmark.unionAll(spark.createDataFrame([(None, "no number but some words here"), (1, None), (2, ""), (3, "too few")], benchmark.schema))
+    out = decontaminate.with_matches(odd.withColumn("matches", F.lit(1)), more)
+    assert out.count() == odd.count() and all(r.matches == [] for r in out.collect())
+    held = decontaminate.with_matches(odd, spark.createDataFrame([(5, " ".join(LONG.split()[:30]))], "item_id long, text string"))
+    assert [(r.doc_id, len(r.matches)) for r in held.collect() if r.matches] == [(6, 1)]
+    assert {tuple(r.matches) for r in decontaminate.with_matches(odd, benchmark.limit(0)).collect()} == {()}
+    assert decontaminate.with_matches(no_documents(spark), benchmark).collect() == []
