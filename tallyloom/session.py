@@ -65,6 +65,12 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate files, wherever it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a small, often used frame once and cut its lineage there."""
     shared_folder(df.sparkSession)
