@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontaminate, line_frequency, packing, simhash, toxicity
-from tallyloom.llm.common import read, work_folder
+from tallyloom.llm.common import drop_folder, read, work_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -64,9 +64,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = work_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before:
+            drop_folder(spark, before)
+        before = folder
     return docs

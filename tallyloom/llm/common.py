@@ -8,9 +8,9 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import settle, shared_folder, work_folder
+from tallyloom.session import drop_folder, settle, work_folder
 
-__all__ = ["read", "remainder", "settle", "shared_folder", "work_folder", "worker_store"]
+__all__ = ["drop_folder", "read", "remainder", "settle", "work_folder", "worker_store"]
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PHRASE = re.compile(r"[^.,;:!?]{0,160}[.,;:!?]*\s*")
-#: Documents of one stretch of the order in which neighbours are compared.
-STRETCH = 10_000
+#: Documents of one stretch of the order in which neighbours are compared, and the stretches
+#: beyond which they rather grow: their bounds are the only thing the driver holds.
+STRETCH, MOST_STRETCHES = 10_000, 50_000
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, sections long, paragraphs long, leaves long, edit_at long"
@@ -125,7 +126,7 @@ def in_stretches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     ids = rows.select("doc_id").filter("doc_id is not null")
     total, top = ids.agg(F.count("doc_id"), F.max("doc_id")).first()
-    parts = max(1, -(-total // STRETCH))
+    parts = min(MOST_STRETCHES, max(1, -(-total // STRETCH)))
     shares = [k / parts for k in range(1, parts)]
     inner = []
     if shares:

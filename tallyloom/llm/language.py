@@ -9,7 +9,8 @@ dictionaries give to another language are left out of the final ones, as labels
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any
 learned language everything is ``und``; texts of any length are compressed whole; rows with a
-null language or text are not learned from; equal texts get equal results; of equal sums the
+null language or text are not learned from, nor languages beyond the ``MOST_LANGUAGES`` most
+frequent; equal texts get equal results; of equal sums the
 smaller language name wins.
 """
 
@@ -26,6 +27,8 @@ from pyspark.sql import Window as W
 
 SAMPLE_TEXTS = 200
 SAMPLE_CHARS = 2_000
+#: Languages learned, the most frequent first: every text is compressed once for each.
+MOST_LANGUAGES = 200
 #: Bytes of a dictionary, and of a text block compressed against it at this level.
 DICTIONARY_BYTES = 32_768
 BLOCK_BYTES = 4_096
@@ -40,7 +43,7 @@ def training_sample(rows: DataFrame, text: str = "text", lang: str = "lang") ->
     """At most SAMPLE_TEXTS excerpts a language; which ones depends on the texts alone."""
     known = rows.select(F.col(lang).alias("l"), F.col(text).alias("t")).filter("l is not null and length(t) > 0")
     known = known.withColumn("h", F.xxhash64("t"))
-    sizes = known.groupBy("l").agg(F.approx_count_distinct("h").alias("n"))
+    sizes = known.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.col("n").desc(), "l").limit(MOST_LANGUAGES)
     # A third more than wanted, so that the count's error hardly ever leaves too few.
     share = F.least(F.lit(1.0), F.lit(1.4 * SAMPLE_TEXTS) / F.col("n"))
     picked = (

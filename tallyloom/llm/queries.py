@@ -17,7 +17,7 @@ from tallyloom.llm import (
     url_rules,
     warc,
 )
-from tallyloom.llm.common import read, remainder, work_folder
+from tallyloom.llm.common import drop_folder, read, remainder, work_folder
 
 
 def op1_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,10 +46,13 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
-    archives = warc.write_archives(warc.records_of(read(spark, folder, "pages")), work_folder(spark, "warc"))
-    return warc.read_archives(spark, archives).select(
-        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    archives = work_folder(spark, "warc")
+    try:
+        warc.write_archives(warc.records_of(read(spark, folder, "pages")), archives)
+        headers = warc.read_archives(spark, archives)  # read at once
+    finally:
+        drop_folder(spark, archives)
+    return headers.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_token_lengths(spark: SparkSession, folder: str) -> DataFrame:

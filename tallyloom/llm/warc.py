@@ -27,8 +27,8 @@ from tallyloom.llm.common import settle
 
 #: Payload bytes from which a repeated payload is replaced by a revisit.
 MIN_BYTES = 1_000
-#: Records of one archive file, which is read by one task.
-FILE_RECORDS = 20_000
+#: Mean payload bytes, and records at most, of one archive file, which is read by one task.
+FILE_BYTES, FILE_RECORDS = 64 << 20, 20_000
 DATE = "2024-01-01T00:00:00Z"
 ID_PREFIX = "urn:record:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -113,9 +113,11 @@ def write_archives(records: DataFrame, folder: str, min_bytes: int = MIN_BYTES,
         F.lit("\r\n"),
         block,
     )
+    mean = records.agg(F.avg("payload_bytes")).first()[0] or 1.0
+    most = max(1, min(FILE_RECORDS, int(FILE_BYTES / max(mean, 1.0))))
     # The text writer puts the record separator behind every row.
     rows.select(text.alias("value")).write.option("lineSep", END).option("compression", "gzip").option(
-        "maxRecordsPerFile", FILE_RECORDS
+        "maxRecordsPerFile", most
     ).text(folder)
     return folder
 
