@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import settle
 
 THRESHOLD = 0.7
-MAX_POSITIVE, MAX_UNLABELLED = 8_000, 16_000
+MAX_POSITIVE, MAX_UNLABELLED = 5_000, 10_000
 WORD_BITS = 20
-FEATURES = 4_096
+FEATURES = 2_048
 #: Beginnings of words that are features beside the whole word.
 PREFIXES = (4, 5)
 #: Standard errors by which a feature must be over-represented; share and number of confirmed
@@ -138,8 +138,8 @@ def fit(sets: list[np.ndarray], positive: np.ndarray, features: np.ndarray, prio
     ``sets`` has, for each row, the positions of its features.
     """
     sizes = np.array([len(s) for s in sets])
-    column = np.concatenate([*sets, np.zeros(0, dtype=np.int64)]).astype(np.int64)
-    row = np.repeat(np.arange(len(sets)), sizes)
+    column = np.concatenate([*sets, np.zeros(0, dtype=np.int32)]).astype(np.int32)
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     n1, n0 = max(1, int(positive.sum())), max(1, int((~positive).sum()))
     theta = np.zeros(len(features) + 1)
     theta[-1] = np.log(max(prior, 1e-4) / max(1 - prior, 1e-4))
