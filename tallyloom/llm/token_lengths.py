@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tallyloom.llm.common import settle
 from tallyloom.llm.encoding import Encoder, tokenizer_path
 
 #: Lengths of a band.
@@ -34,10 +35,10 @@ def token_count(text: Column, path: str | None = None) -> Column:
 
 
 def length_histogram(docs: DataFrame, text: str = "text", groups: list[str] | None = None, path: str | None = None) -> DataFrame:
-    """(groups…, length, docs): how many documents have each encoded length."""
+    """(groups…, length, docs): how many documents have each encoded length, computed once."""
     groups = groups or []
     sized = docs.select(*groups, token_count(F.col(text), path).alias("length"))
-    return sized.groupBy(*groups, "length").agg(F.count(F.lit(1)).alias("docs"))
+    return settle(sized.groupBy(*groups, "length").agg(F.count(F.lit(1)).alias("docs")))
 
 
 def limits_answered(histogram: DataFrame, groups: list[str] | None = None) -> DataFrame:
