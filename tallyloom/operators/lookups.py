@@ -34,14 +34,14 @@ def lookup_two_tier(
     hits = rows.select(
         F.col(rank).alias("rank"),
         text.alias("text"),
+        F.col(value).alias("found"),
         F.explode(F.filter(listed, lambda t: F.contains(text, F.lower(t)))).alias("term"),
     )
-    exact = F.col("text") == F.lower("term")
-    best = hits.groupBy("term").agg(
-        F.min(F.when(exact, F.col("rank"))).alias("exact"), F.min("rank").alias("partial")
+    apart = F.col("text") != F.lower("term")
+    best = hits.groupBy("term").agg(F.min(F.struct(apart.alias("apart"), "rank", "found")).alias("best"))
+    found = best.select(
+        "term", "best.found", F.col("best.rank").alias(rank), (~F.col("best.apart")).alias("is_exact")
     )
-    chosen = best.select("term", F.coalesce("exact", "partial").alias(rank), F.col("exact").isNotNull().alias("is_exact"))
-    found = rows.join(chosen, rank).select("term", F.col(value).alias("found"), rank, "is_exact")
     return wanted.join(found, "term", "left").select(
         "term", F.coalesce("found", F.lit(default)).alias("found"), rank, F.coalesce("is_exact", F.lit(False)).alias("is_exact")
     )

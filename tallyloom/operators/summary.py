@@ -218,11 +218,11 @@ def error_histogram(compared: DataFrame, bins: int = HISTOGRAM_BINS, cut: float
     sizes = value_counts(counts, F.abs("v"), F.col("n"))
     limit = quantiles(sizes, {"limit": cut}).scalar()
     kept = counts.where(F.abs("v") < limit)
-    ends = kept.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     # A single value still gets a bin of its own width.
-    flat = F.col("lo") == F.col("hi")
-    low = ends.select(F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
-    high = ends.select(F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))).scalar()
+    lo, hi = F.min("v"), F.max("v")
+    half = F.when(lo == hi, F.lit(0.5)).otherwise(F.lit(0.0))
+    ends = kept.agg(F.struct((lo - half).alias("low"), (hi + half).alias("high")).alias("ends")).scalar()
+    low, high = ends["low"], ends["high"]
 
     slot = F.least(F.floor((F.col("v") - low) * bins / (high - low)), F.lit(bins - 1)) + 1
     filled = kept.groupBy(slot.cast("int").alias("bin")).agg(F.sum("n").alias("rows"))

@@ -124,9 +124,13 @@ def last_value(long: DataFrame, order: str) -> DataFrame:
 
 
 def year_ordinal(df: DataFrame, year: str, keys: Sequence[str]) -> DataFrame:
-    """Year of the plan, counted from the first year of each key."""
-    first = df.groupBy(*keys).agg(F.min(year).alias("_first"))
-    return df.join(first, list(keys)).withColumn("ordinal", F.col(year) - F.col("_first") + 1).drop("_first")
+    """Each key's years, counted from its first; one shuffle.
+
+    A key has no more years than the calendar of the data, so its set stays small.
+    """
+    sets = df.groupBy(*keys).agg(F.collect_set(year).alias("_years"))
+    ordinal = F.col(year) - F.array_min("_years") + 1
+    return sets.withColumn(year, F.explode("_years")).withColumn("ordinal", ordinal).drop("_years")
 
 
 # ---- positions and nesting ------------------------------------------------

@@ -604,7 +604,7 @@ def kpi_last_value(spark, folder):
 
 @query
 def year_ordinal(spark, folder):
-    years = dv.table(spark, folder, "orders").select("o_custkey", F.year("o_orderdate").alias("year")).distinct()
+    years = dv.table(spark, folder, "orders").select("o_custkey", F.year("o_orderdate").alias("year"))
     return tb.year_ordinal(years, "year", ["o_custkey"])
 
 

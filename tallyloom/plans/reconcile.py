@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from tallyloom.operators import paircounts as pc
 from tallyloom.operators import presence as pr
 from tallyloom.operators import summary as sm
 from tallyloom.operators.skew import DEFAULT_GUARD, SkewGuard, heavy_keys
+from tallyloom.session import drop_folder, work_folder
 
 
 class Reconciliation:
@@ -23,8 +23,9 @@ class Reconciliation:
 
     ``system``, ``counterpart`` and ``schedule`` are raw text ledgers. ``grain`` is
     ``row`` (every joined row counts) or ``account`` (one row per key and ledger).
-    With ``keep`` the cleaned and compared frames are persisted, for runs that make
-    several reports from them.
+    With ``keep`` the cleaned ledgers are written once to the shared folder, for runs that
+    make several reports from them; ``release`` removes them, and frames built on them end
+    there. Compared frames can be far longer than the ledgers and are never kept.
     """
 
     def __init__(
@@ -43,50 +44,57 @@ class Reconciliation:
         self.system, self.counterpart, self.schedule = system, counterpart, schedule
         self.tolerance, self.grain, self.first_due_only = tolerance, grain, first_due_only
         self.guard, self.keep = guard, keep
-        self._kept: list[DataFrame] = []
+        self._landed: list[str] = []
         self._heavy: dict[str, list] = {}
 
-    def _hold(self, df: DataFrame) -> DataFrame:
-        if self.keep:
-            self._kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return df
+    def _land(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.keep:
+            return df
+        spark = df.sparkSession
+        folder = work_folder(spark, f"ledger-{name}")
+        self._landed.append(folder)
+        df.write.parquet(folder)
+        return spark.read.parquet(folder)
 
     def release(self) -> None:
-        while self._kept:
-            self._kept.pop().unpersist()
+        while self._landed:
+            drop_folder(self.system.sparkSession, self._landed.pop())
 
     # ---- cleaned ledgers
 
     @cached_property
     def typed(self) -> DataFrame:
-        return self._hold(dd.typed_counterpart(self.counterpart))
+        return self._land(dd.typed_counterpart(self.counterpart), "typed")
 
     @cached_property
     def a(self) -> DataFrame:
         cleaned = mt.clean_system(self.system)
-        return self._hold(self._grained(cleaned, "day_a", "bal_a", "exact_bal", "acc_a"))
+        return self._land(self._grained(cleaned, "day_a", "bal_a", "exact_bal", "acc_a"), "a")
 
     @cached_property
     def b(self) -> DataFrame:
         cleaned = mt.clean_counterpart(dd.dedup(self.typed))
-        return self._hold(self._grained(cleaned, "day_b", "bal_b", "acc_b"))
+        return self._land(self._grained(cleaned, "day_b", "bal_b", "acc_b"), "b")
 
     @cached_property
     def s(self) -> DataFrame:
         first = self.first_due_only or self.grain == "account"
-        return self._hold(mt.clean_schedule(self.schedule, first))
+        return self._land(mt.clean_schedule(self.schedule, first), "s")
 
     def _grained(self, cleaned: DataFrame, *order: str) -> DataFrame:
         return mt.one_per_account(cleaned, *order) if self.grain == "account" else cleaned
 
     def heavy(self, *names: str) -> list[list]:
-        """Heavy keys of the ledgers named, from the raw account columns alone."""
+        """Heavy keys of the ledgers named, from the account columns alone."""
         if self.guard is None or self.grain == "account":
             return [[] for _ in names]
         raw = {"a": self.system, "b": self.counterpart, "s": self.schedule}
         missing = [n for n in names if n not in self._heavy]
         if missing:
-            keys = [raw[n].select(ps.account_key("acc_no").alias(mt.KEY)) for n in missing]
+            if self.keep:
+                keys = [getattr(self, n).select(mt.KEY) for n in missing]
+            else:
+                keys = [raw[n].select(ps.account_key("acc_no").alias(mt.KEY)) for n in missing]
             self._heavy.update(zip(missing, heavy_keys(keys, mt.KEY, self.guard)))
         return [self._heavy[n] for n in names]
 
@@ -103,15 +111,15 @@ class Reconciliation:
 
     @cached_property
     def ab(self) -> DataFrame:
-        return self._hold(self._compare_ab(self.a, self.b, self.heavy("b", "a")))
+        return self._compare_ab(self.a, self.b, self.heavy("b", "a"))
 
     @cached_property
     def sb(self) -> DataFrame:
-        return self._hold(self._compare_sb(self.s, self.b, self.heavy("b", "s")))
+        return self._compare_sb(self.s, self.b, self.heavy("b", "s"))
 
     @cached_property
     def three(self) -> DataFrame:
-        return self._hold(self._compare_three(self.a, self.b, self.s, self.heavy("a", "b", "s")))
+        return self._compare_three(self.a, self.b, self.s, self.heavy("a", "b", "s"))
 
     # ---- what the counters read
     #
