@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 from tallyloom.llm.common import worker_store
 
@@ -60,7 +62,7 @@ class _Chunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         core = chunk.rstrip(".,;:!?")
         low = core.lower()
-        if low.isalpha() and max(low) < PLAIN_LETTERS:
+        if low.isalpha() and (low.isascii() or max(low) < PLAIN_LETTERS):
             tail = chunk[len(core) :]
             ids = self.word(low) + (self[tail] if tail else b"")
         else:
@@ -71,7 +73,10 @@ class _Chunks(dict):
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 class Encoder:
