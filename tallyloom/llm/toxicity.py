@@ -40,7 +40,7 @@ LEAST_Z, LEAST_SHARE, LEAST_DOCS = 4.0, 0.005, 2
 ROUNDS, RATE, DECAY = 300, 0.1, 1e-4
 PUNCTUATION = ".,;:!?\"'()[]|"
 #: Words a task remembers the number of.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class WordNumbers(dict):
