@@ -143,6 +143,35 @@ def test_planted_passages(spark, planted):
     assert found <= truth
 
 
+def test_item_in_a_third_of_the_documents(spark):
+    """Neither an item in very many documents nor one of common words alone is lost."""
+    rng = random.Random(7)
+    rare, common = vocabulary(rng, 4000), vocabulary(rng, 12)
+    text = lambda n: [rng.choice(common) if rng.random() < 0.5 else rng.choice(rare) for _ in range(n)]
+    items = [rng.choices(rare, k=30), text(30), rng.choices(common, k=20), text(6)]
+    docs, truth = [], set()
+    for k in range(1_500):
+        words = text(rng.randint(30, 60))
+        i = 0 if k % 3 == 0 else 1 if k % 3 == 1 else 2 if k % 30 == 2 else 3 if k % 30 == 5 else None
+        if i is not None:
+            at = rng.randint(0, len(words))
+            words[at:at] = items[i]
+            truth.add((k, i))
+        docs.append((k, " ".join(words)))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.with_matches(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    assert {(r.doc_id, m.item_id) for r in rows for m in r.matches} == truth
+
+
+def test_runs_in_portions_find_the_same(monkeypatch):
+    rng = random.Random(9)
+    items = decontaminate.Items([0, 1, 2], [" ".join(rng.choices("abcdef", k=n)) for n in (40, 9, 60)])
+    numbers = np.array([rng.randrange(-1, 6) for _ in range(3_000)])
+    whole = sorted(zip(*(p.tolist() for p in items.runs.places(numbers))))
+    monkeypatch.setattr(decontaminate, "RUN_PAIRS", 50)
+    assert whole and sorted(zip(*(p.tolist() for p in items.runs.places(numbers)))) == whole
+
+
 def test_blocks_of_items_find_the_same(spark, planted, monkeypatch):
     docs, benchmark, truth = planted
     monkeypatch.setattr(decontaminate, "ITEMS", 25)
