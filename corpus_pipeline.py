@@ -1,6 +1,7 @@
 """Documents to training sequences in five stages, each written and read again.
 
-toxicity drops what the classifier rejects, lines takes boilerplate lines out of the rest,
+toxicity drops what the classifier rejects, lines takes boilerplate lines out of the rest
+(copies on a host are one page there, as they are still in the table),
 near_duplicates keeps one document of each group, decontamination drops documents that hold a
 benchmark item, packing lays out what is left as token sequences.
 
@@ -31,7 +32,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(line_frequency.drop_boilerplate(docs))
+    return _documents(line_frequency.drop_boilerplate(docs, copies_once=True))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ Defined cases: a null text stays null and counts as a page; a null host is no si
 lines stay; blank lines are never boilerplate; a line repeated on one page counts once;
 lines are compared without blanks, tabs and carriage returns at their ends; a host needs
 ``min_pages`` pages with the line, so that small sites keep their text; repeated rows are
-pages of their own; an empty table gives an empty result. Other columns pass through.
+pages of their own, but with ``copies_once`` a host's pages of the same lines in the same order
+are one page, so that a text does not become boilerplate by its copies; an empty table gives an
+empty result. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -34,15 +36,23 @@ def _digest(line: Column) -> Column:
 
 
 def boilerplate_lines(
-    docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False
 ) -> DataFrame:
     """(site, digest, pages, site_pages) of every line over the ratio."""
     pages = docs.select(F.col(host).alias("site"), F.col(text).alias("body")).filter("site is not null")
-    totals = pages.groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
     lines = F.filter(F.split("body", "\n"), lambda line: _bare(line) != "")
+    digests = F.array_distinct(F.transform(lines, _digest))
+    if copies_once:
+        content = F.array_join(F.transform(lines, _bare), "\n")
+        # Below the explode, or it would be computed once a line.
+        pages = pages.withColumn("page", F.unhex(F.md5(F.coalesce(content, F.lit("")).cast("binary"))))
+        counted = pages.select("site", "page").distinct()
+        held = pages.select("site", "page", F.explode(digests).alias("digest")).distinct()
+    else:
+        counted, held = pages, pages.select("site", F.explode(digests).alias("digest"))
+    totals = counted.groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
     counts = (
-        pages.select("site", F.explode(F.array_distinct(F.transform(lines, _digest))).alias("digest"))
-        .groupBy("site", "digest")
+        held.groupBy("site", "digest")
         .agg(F.count(F.lit(1)).alias("pages"))
         .filter(F.col("pages") >= min_pages)
     )
@@ -50,13 +60,13 @@ def boilerplate_lines(
 
 
 def drop_boilerplate(
-    docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False
 ) -> DataFrame:
     """Every row with boilerplate lines taken out of its text, and ``lines_dropped``.
 
     A host has at most (mean lines of a page / ratio) flagged lines, so one array holds them.
     """
-    flagged = settle(boilerplate_lines(docs, text, host, ratio, min_pages).select("site", "digest"))
+    flagged = settle(boilerplate_lines(docs, text, host, ratio, min_pages, copies_once).select("site", "digest"))
     flags = flagged.groupBy(F.col("site").alias("__site")).agg(F.collect_set("digest").alias("__flags"))
     if flagged.count() <= BROADCAST_LINES:
         flags = F.broadcast(flags)

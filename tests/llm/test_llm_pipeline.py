@@ -42,6 +42,22 @@ def test_stages_take_effect_and_keep_clean_documents(spark):
     assert {r.doc_id for r in rows} == {r.doc_id for r in free.collect()}
 
 
+def test_copies_of_a_clean_document_keep_its_text(spark, folder):
+    """A third of the rows are copies of one document; the lines of every page still go."""
+    clean = "\n".join(f"A clean line number {k} with words of its own." for k in range(6))
+    rows = []
+    for k in range(300):
+        own = clean + "  \n\n" * (k % 2) if k % 3 == 0 else f"Page {k} tells of thing {k * 7}.\nAnd of {k * 13}, which no other has."
+        rows.append((k, f"Home | About\n{own}", "en", f"h{k // 3 % 2}", len(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    lines = cp.without_boilerplate(spark, docs, folder).checkpoint()
+    texts = {r.doc_id: r.text for r in lines.collect()}
+    assert len(texts) == 300 and not any("Home | About" in t for t in texts.values())
+    assert all(t.strip() == rows[k][1].removeprefix("Home | About\n").strip() for k, t in texts.items())
+    kept = [r.text.strip() for r in cp.without_near_duplicates(spark, lines, folder).collect()]
+    assert kept.count(clean) == 1 and "" not in kept
+
+
 @pytest.mark.parametrize("name,stage", cp.STAGES)
 def test_stage_takes_odd_and_empty_tables(spark, folder, name, stage):
     out = stage(spark, odd_documents(spark), folder)
