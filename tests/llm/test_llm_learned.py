@@ -163,6 +163,20 @@ def test_item_in_a_third_of_the_documents(spark):
     assert {(r.doc_id, m.item_id) for r in rows for m in r.matches} == truth
 
 
+def test_answers_that_are_short_or_cut_off(spark):
+    """A short last sentence may be missing, a longer one where all else is there."""
+    rng = random.Random(8)
+    rare = vocabulary(rng, 3000)
+    sentence = lambda n: " ".join(rng.choices(rare, k=n)) + "."
+    bodies, answers = [sentence(30) + " " + sentence(12) for _ in range(3)], [sentence(2), sentence(6), sentence(12)]
+    bodies[1] = sentence(70)
+    docs = [(k, f"{sentence(40)} {bodies[k % 3]} {sentence(40)}") for k in range(30)]
+    benchmark = spark.createDataFrame([(i, f"{b} {a}") for i, (b, a) in enumerate(zip(bodies, answers))], "item_id long, text string")
+    rows = decontaminate.with_matches(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    # The third item's answer has twelve of 54 words: without it the item is not there.
+    assert {(r.doc_id, m.item_id) for r in rows for m in r.matches} == {(k, k % 3) for k in range(30) if k % 3 != 2}
+
+
 def test_runs_in_portions_find_the_same(monkeypatch):
     rng = random.Random(9)
     items = decontaminate.Items([0, 1, 2], [" ".join(rng.choices("abcdef", k=n)) for n in (40, 9, 60)])
