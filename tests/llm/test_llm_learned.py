@@ -1,6 +1,7 @@
 import os
 import random
 import sys
+from functools import partial
 
 import numpy as np
 import pytest
@@ -177,6 +178,25 @@ def test_answers_that_are_short_or_cut_off(spark):
     assert {(r.doc_id, m.item_id) for r in rows for m in r.matches} == {(k, k % 3) for k in range(30) if k % 3 != 2}
 
 
+def test_basis_sample_takes_a_text_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SAMPLE_DOCS", 60)
+    docs = spark.range(4_000).selectExpr("concat('Text ', id % 200) as text")
+    texts = [bytes(r.body) for r in decontaminate.basis_sample(docs, "text").collect()]
+    assert 30 < len(texts) < 90 and len(set(texts)) == len(texts)
+
+
+def test_one_index_at_a_time(spark, planted, monkeypatch):
+    docs, benchmark, truth = planted
+    monkeypatch.setattr(decontaminate, "item_blocks", partial(decontaminate.item_blocks, items=25))
+    out = decontaminate.with_matches(docs, benchmark)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("find(") == 1
+    assert out.columns == [*docs.columns, "matches"]
+    rows = out.collect()
+    found = [(r.doc_id, m.item_id) for r in rows for m in r.matches]
+    assert len(rows) == docs.count() and len(set(found)) == len(found)
+    assert len(truth & set(found)) >= 0.95 * len(truth) and set(found) <= truth
+
+
 def test_runs_in_portions_find_the_same(monkeypatch):
     rng = random.Random(9)
     items = decontaminate.Items([0, 1, 2], [" ".join(rng.choices("abcdef", k=n)) for n in (40, 9, 60)])
