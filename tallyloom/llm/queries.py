@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
     decontaminate,
     fingerprint,
     language,
+    lexical_search,
     line_frequency,
     packing,
+    personal_data,
     simhash,
     token_lengths,
     toxicity,
@@ -83,6 +85,33 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def personal_data_digest(docs: DataFrame) -> DataFrame:
+    """Counts of the base kinds, their digest, and all spans as text."""
+    found = personal_data.find_personal_data(docs.select("doc_id", "text"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def held(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *map(held, personal_data.BASE_KINDS),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    )
+
+
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data_digest(read(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -96,6 +125,8 @@ QUERIES = {
         op8_decontaminate,
         op9_packing,
         op10_simhash,
+        op11_lexical_search,
+        op13_personal_data,
     )
 }
 
@@ -165,4 +196,33 @@ select p.page_id, p.payload_bytes, p.payload_digest,
 from p left join o on p.payload_digest = o.payload_digest
 """
 
-ORACLE = {"op2_line_frequency": _OP2, "op3_url_rules": _OP3, "op5_warc": _OP5}
+_TERMS = f"regexp_extract_all(translate(text, '{url_rules.UPPER}', '{url_rules.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+_OP11 = f"""
+with docs as (
+  select row_number() over () as r, doc_id, {_TERMS} as terms from documents
+), sized as (
+  select r, doc_id, len(terms) as n, terms from docs where len(terms) > 0
+), whole as (
+  select count(*) as docs_n, sum(n)::bigint as terms_n from sized
+), held as (
+  select r, doc_id, n, term, count(*) as tf from (select r, doc_id, n, unnest(terms) as term from sized) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * docs_n + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from held, whole group by term, docs_n
+), asked as (
+  select distinct i, item_id, term from (
+    select i, item_id, unnest({_TERMS}) as term from (select row_number() over () as i, item_id, text from benchmark)
+  )
+), scored as (
+  select i, item_id, r, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs_n) // terms_n)))))::bigint as score
+  from asked join held using (term) join weights using (term), whole group by all
+), ranked as (
+  select item_id, row_number() over (partition by i order by score desc, doc_id)::int as rank, doc_id, score
+  from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= {lexical_search.BEST}
+"""
+
+ORACLE = {"op11_lexical_search": _OP11, "op2_line_frequency": _OP2, "op3_url_rules": _OP3, "op5_warc": _OP5}
