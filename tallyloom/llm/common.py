@@ -13,7 +13,13 @@ from tallyloom.session import drop_folder, settle, work_folder
 __all__ = ["drop_folder", "read", "remainder", "settle", "work_folder", "worker_store"]
 
 
+#: Rows that go to a Python worker at a time: long texts make batches large.
+BATCH_ROWS = 2_000
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table; Python workers of the session take rows BATCH_ROWS at a time from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -15,12 +15,19 @@ from array import array
 from tallyloom.llm.common import worker_store
 
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks and words a worker remembers (about 200 bytes each).
-REMEMBERED = 400_000
+#: Bytes of chunks and words that a worker remembers, and the longest that it does.
+REMEMBERED, LONGEST = 48 << 20, 64
+#: What an entry takes beside its letters and ids: the heads of two objects and a place in the table.
+ENTRY = 130
+#: Places of the table that tells chunks seen before, less one.
+SEEN_MASK = (1 << 21) - 1
 #: Characters that Python takes for blanks and the tokenizer does not.
 ODD_BLANKS = re.compile("[\x1c-\x1f]")
 #: Letters up to here are lowered one by one and need no normal form.
 PLAIN_LETTERS = "ɐ"
+ODD_LETTERS = re.compile(f"[{PLAIN_LETTERS}-\U0010ffff]")
+#: A full stop or comma that belongs to the mark before it.
+MARKS = re.compile(r"(?:[^\w\s]|_)[.,]")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -37,37 +44,44 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Chunks(dict):
-    """ids by chunk; a chunk not seen before is encoded and, while there is room, kept."""
+    """ids by chunk, within REMEMBERED bytes.
+
+    A chunk is kept when it (or, rarely, another in its place of ``seen``) is asked for again, so
+    that those seen once take no room; nothing longer than LONGEST is kept.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
         self.letters = _byte_letters()
+        self.seen = bytearray(SEEN_MASK + 1)
+        self.bytes = 0
 
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def word(self, low: str) -> bytes:
-        ids = self.words.get(low)
-        if ids is None:
-            shown = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
-            ids = _packed([t.id for t in self.tokenizer.model.tokenize(shown)])
-            if len(self.words) < REMEMBERED:
-                self.words[low] = ids
-        return ids
+        shown = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
+        return _packed([t.id for t in self.tokenizer.model.tokenize(shown)])
 
     def __missing__(self, chunk: str) -> bytes:
-        core = chunk.rstrip(".,;:!?")
-        low = core.lower()
-        if low.isalpha() and (low.isascii() or max(low) < PLAIN_LETTERS):
-            tail = chunk[len(core) :]
-            ids = self.word(low) + (self[tail] if tail else b"")
+        if chunk.isalpha() and chunk.islower() and (chunk.isascii() or max(chunk) < PLAIN_LETTERS):
+            ids = self.word(chunk)
         else:
-            ids = self.whole(chunk)
-        if len(self) < REMEMBERED:
+            core = chunk.rstrip(".,;:!?")
+            low = core.lower()
+            if low != chunk and low.isalpha() and (low.isascii() or max(low) < PLAIN_LETTERS):
+                tail = chunk[len(core) :]
+                ids = self[low] + (self[tail] if tail else b"")
+            else:
+                ids = self.whole(chunk)
+        place = hash(chunk) & SEEN_MASK
+        if not self.seen[place]:
+            self.seen[place] = 1
+        elif len(chunk) <= LONGEST and self.bytes < REMEMBERED:
+            self.bytes += ENTRY + len(chunk) + len(ids)
             self[chunk] = ids
         return ids
 
@@ -93,4 +107,8 @@ class Encoder:
             return b""
         if ODD_BLANKS.search(text):
             return self.chunks.whole(text)
+        if not ODD_LETTERS.search(text):
+            # Between a letter or digit and a mark a chunk may be cut, and marks are few.
+            low = text.lower()
+            text = low if MARKS.search(low) else low.replace(".", " .").replace(",", " ,")
         return b"".join(map(self.chunks.__getitem__, text.split()))

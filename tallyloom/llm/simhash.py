@@ -247,17 +247,28 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(
+def hexadecimal(fingerprint: Column) -> Column:
+    return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
+
+
+def groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, distance: int = DISTANCE, place: int = PLACE
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row."""
+    """(doc_id, fingerprint, component_id, root) of every row; a fingerprint of the component is its root."""
     rows = settle(docs.select(F.col(key).alias("doc_id"), fingerprint(F.col(text), size).alias("fp")))
     prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     linked = components(links(prints.select("fp"), distance, place))
     named = prints.join(linked, prints["fp"] == linked["node"])
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(names, "root").select("fp", "component_id")
-    every = prints.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(every, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    named = named.join(names, "root").select("fp", "component_id", "root")
+    every = prints.join(named, "fp", "left").select(
+        "fp", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
+    return rows.join(every, "fp").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id", "root")
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, distance: int = DISTANCE, place: int = PLACE
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row."""
+    return groups(docs, key, text, size, distance, place).drop("root")

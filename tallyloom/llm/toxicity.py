@@ -6,7 +6,7 @@ would turn negative, the step goes the other way, so that the classifier cannot
 calling all unlabelled text clean. Labels of clean documents are used for the prior alone.
 
 The fit takes a bounded sample: ``MAX_POSITIVE`` confirmed documents and ``MAX_UNLABELLED``
-others, by hash of their id, and of their features (hashed to 2^20 numbers) the ``FEATURES``
+others at most, by hash of their id and text (copies of a row count once), and of their features (hashed to 2^20 numbers) the ``FEATURES``
 that are most over-represented in the confirmed ones. Scores read whole texts of all rows.
 
 Defined cases: a null text counts as empty; an empty text scores by the bias alone; without
@@ -39,18 +39,22 @@ PREFIXES = (4, 5)
 LEAST_Z, LEAST_SHARE, LEAST_DOCS = 4.0, 0.005, 2
 ROUNDS, RATE, DECAY = 300, 0.1, 1e-4
 PUNCTUATION = ".,;:!?\"'()[]|"
-#: Words a task remembers the number of.
-REMEMBERED = 200_000
+#: Bytes of words that a task remembers the numbers of, the longest word that it does, and what
+#: an entry takes beside its letters.
+REMEMBERED, LONGEST, ENTRY = 24 << 20, 64, 250
 
 
 class WordNumbers(dict):
-    """Feature numbers of a word, written as it stands in the text."""
+    """Feature numbers of a word, written as it stands in the text, within REMEMBERED bytes."""
+
+    bytes = 0
 
     def __missing__(self, raw: str) -> tuple[int, ...]:
         word = raw.strip(PUNCTUATION).lower()
         parts = [word, *(f"{word[:k]}*" for k in PREFIXES if len(word) >= k)] if word else []
         numbers = tuple(zlib.crc32(p.encode()) & ((1 << WORD_BITS) - 1) for p in parts)
-        if len(self) < REMEMBERED:
+        if len(raw) <= LONGEST and self.bytes < REMEMBERED:
+            self.bytes += ENTRY + len(raw)
             self[raw] = numbers
         return numbers
 
@@ -68,6 +72,21 @@ class Model:
         return dict(zip(self.numbers.tolist(), self.weights.tolist()))
 
 
+def bounded(rows: DataFrame, order: Column, most: int, keep: str) -> DataFrame:
+    """(order, keep) of the ``most`` rows that come first by a 64-bit hash; copies count once.
+
+    The hash thins the rows to about that many, spread over the tasks; these are computed once,
+    and only their hashes are put in order to find the last one.
+    """
+    hashed = rows.select(order.alias("order"), keep)
+    count = hashed.agg(F.approx_count_distinct("order")).first()[0]
+    if count > most:
+        hashed = hashed.filter(F.col("order") < min(2**63 - 1, int(1.2 * most / count * 2**64) - 2**63))
+    few = settle(hashed.groupBy("order").agg(F.min(keep).alias(keep)))
+    last = few.select("order").orderBy("order").limit(most).agg(F.max("order")).first()[0]
+    return few.filter(F.col("order") <= F.lit(last))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, key: str, text: str, label: str) -> tuple[DataFrame, float]:
     """(positive, words) of the sample, and the share of confirmed rows among the labelled.
 
@@ -82,22 +101,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, key: str,
         .filter("usable")
     )
     total, positive = known.agg(F.count("y"), F.sum("y")).first()
-    positive = positive or 0
-    prior = positive / total if total else 0.0
-    order = F.pmod(F.xxhash64("id"), F.lit(1_000_003))
-    chosen = (
-        known.filter(F.col("y") == 1)
-        .filter(order < 1_000_003 * min(1.0, 1.2 * MAX_POSITIVE / max(1, positive)))
-        .select("id")
-        .limit(2 * MAX_POSITIVE)
-    )
+    prior = (positive or 0) / total if total else 0.0
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("body"))
     held = rows.filter("id is not null").withColumn("usable", usable).filter("usable").drop("usable")
-    count = held.select("id").count()
-    others = held.filter(order < 1_000_003 * min(1.0, MAX_UNLABELLED / max(1, count)))
     # At most 2 * MAX_POSITIVE ids are broadcast.
-    confirmed = held.join(F.broadcast(chosen), "id", "left_semi")
-    sample = confirmed.select(F.lit(1).alias("positive"), "body").unionAll(others.select(F.lit(0).alias("positive"), "body"))
+    chosen = bounded(known.filter(F.col("y") == 1), F.xxhash64("id"), 2 * MAX_POSITIVE, "id")
+    confirmed = held.join(F.broadcast(chosen.select("id")), "id", "left_semi")
+    order = F.xxhash64("id", "body")
+    taken = [
+        bounded(part, order, most, "body").select(F.lit(label).alias("positive"), "body")
+        for label, part, most in ((1, confirmed, MAX_POSITIVE), (0, held, MAX_UNLABELLED))
+    ]
+    sample = taken[0].unionAll(taken[1])
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = WordNumbers()
@@ -176,7 +191,7 @@ def learn(
             at = [np.flatnonzero(np.isin(features, w, assume_unique=True)).astype(np.int32) for w in batch["words"]]
             yield pd.DataFrame({"positive": batch["positive"], "at": at})
 
-    # At most 2 * MAX_POSITIVE and about MAX_UNLABELLED rows of at most FEATURES numbers.
+    # At most MAX_POSITIVE and MAX_UNLABELLED rows of at most FEATURES numbers.
     found = rows.mapInPandas(positions, "positive int, at array<int>").toPandas().sort_values("positive", kind="stable")
     return fit(list(found["at"]), found["positive"].to_numpy() == 1, features, prior)
 

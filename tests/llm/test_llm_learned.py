@@ -91,6 +91,28 @@ def test_no_score_depends_on_labels_of_other_folds(spark, folder):
         assert a.by_number() == b.by_number() and a.bias == b.bias
 
 
+def test_sample_is_bounded_whatever_is_repeated(spark, monkeypatch):
+    """A third of the rows under one id, and a third one row many times."""
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 100)
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 300)
+    rows = [(k, f"plain text {k}") for k in range(2_000)] + [(0, f"other text {k}") for k in range(2_000)] + [(1, "the same")] * 2_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(k, int(k < 150)) for k in range(300)], "doc_id long, toxic int")
+    sample, prior = toxicity.training_rows(docs, labels, F.lit(True), "doc_id", "text", "toxic")
+    sizes = {r.positive: r["count"] for r in sample.groupBy("positive").count().collect()}
+    assert sizes == {1: 100, 0: 300} and prior == 0.5
+    bodies = [tuple(r.words) for r in sample.collect()]
+    assert bodies.count(tuple(sorted(toxicity.WordNumbers().of("the same")))) <= 2
+
+
+def test_word_numbers_stay_within_their_bytes(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 100_000)
+    numbers = toxicity.WordNumbers()
+    for k in range(5_000):
+        assert len(numbers.of(f"word{k} {'long' * 5_000}{k}")) == 6
+    assert numbers.bytes <= 101_000 and 100 < len(numbers) and max(map(len, numbers)) <= toxicity.LONGEST
+
+
 def test_risk_stays_non_negative():
     """With two clusters, one of them confirmed, the fit separates them."""
     rng = np.random.default_rng(1)

@@ -58,6 +58,14 @@ def test_copies_of_a_clean_document_keep_its_text(spark, folder):
     assert kept.count(clean) == 1 and "" not in kept
 
 
+def test_one_id_with_different_texts_keeps_each(spark, folder):
+    a, b = "one text about harbours and boats at sea", "something else entirely on mountain railways today"
+    rows = [(1, b, "en", "x", 0), (1, a, "en", "x", 0), (1, a, "en", "x", 0), (2, a, "en", "x", 0), (3, b, "en", "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    kept = cp.without_near_duplicates(spark, docs, folder)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, a), (1, b)]
+
+
 @pytest.mark.parametrize("name,stage", cp.STAGES)
 def test_stage_takes_odd_and_empty_tables(spark, folder, name, stage):
     out = stage(spark, odd_documents(spark), folder)
