@@ -6,8 +6,8 @@ near_duplicates keeps one document of each group, decontamination drops document
 benchmark item, packing lays out what is left as token sequences.
 
 Defined cases: a null text is an empty one for every stage and stays null; documents without
-an id have no group and are kept; of rows repeated with one id one stays; a stage on an empty
-table gives an empty table.
+an id have no group and are kept; of rows with one id, one stays for each group whose smallest
+id it is; a stage on an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontaminate, line_frequency, packing, simhash, toxicity
-from tallyloom.llm.common import drop_folder, read, work_folder
+from tallyloom.llm.common import drop_folder, read, settle, work_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -36,11 +36,19 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    # Both sides meet by doc_id, and rows of one id stay where they met.
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return _documents(kept.unionByName(docs.filter("doc_id is null")))
+    """The document of each group whose id is the smallest; of equal ids, the least text."""
+    groups = simhash.groups(docs)
+    first = groups.filter("doc_id = component_id").distinct()
+    least = F.min(F.struct("text", "lang", "source")).alias("row")
+    # Rows of an id meet once by the id; those of an id with several texts also by their fingerprint.
+    mixed = settle(groups.groupBy("doc_id").agg(F.count_distinct("fingerprint").alias("n")).filter("n > 1").select("doc_id"))
+    single = first.join(mixed, "doc_id", "left_anti").select("doc_id")
+    kept = docs.join(single, "doc_id", "left_semi").groupBy("doc_id").agg(least)
+    if not mixed.isEmpty():
+        several = docs.join(mixed, "doc_id", "left_semi").withColumn("fingerprint", simhash.hexadecimal(simhash.fingerprint(F.col("text"))))
+        several = several.join(first, ["doc_id", "fingerprint"]).groupBy("doc_id", "root").agg(least)
+        kept = kept.unionAll(several.select("doc_id", "row"))
+    return _documents(kept.select("doc_id", "row.*").unionByName(docs.filter("doc_id is null").select("doc_id", "text", "lang", "source")))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
