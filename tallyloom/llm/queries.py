@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
+    alignment,
     decontaminate,
     fingerprint,
     language,
@@ -89,6 +90,10 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignments(read(spark, folder, "documents"))
+
+
 def personal_data_digest(docs: DataFrame) -> DataFrame:
     """Counts of the base kinds, their digest, and all spans as text."""
     found = personal_data.find_personal_data(docs.select("doc_id", "text"))
@@ -126,6 +131,7 @@ QUERIES = {
         op9_packing,
         op10_simhash,
         op11_lexical_search,
+        op12_alignment,
         op13_personal_data,
     )
 }
