@@ -25,9 +25,11 @@ from tallyloom.operators.skew import SkewGuard
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.session import fill_cores, settle, tune, work_folder
 from tallyloom.sinks import outputs as out
+from tallyloom.sinks import versions as vs
 from tallyloom.sources import delimited as dl
 from tallyloom.sources import derived as dv
 from tallyloom.sources import files as fl
+from tallyloom.sources import rejects as rj
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -694,12 +696,15 @@ def _files(spark, lines: DataFrame, heads: list[str], name: str, files: int = 3)
     return path
 
 
+def _numbered_schedule(spark, folder) -> DataFrame:
+    return ledgers(spark, folder).schedule.withColumn("k", F.regexp_extract("acc_no", r"(\d+)$", 1).cast("bigint"))
+
+
 def _schedule_lines(spark, folder, more: Column | None = None) -> DataFrame:
     """(k, value): the schedule's rows as lines, ``more`` behind them."""
     cells = [F.col(c) for c in dl.SCHEDULE.columns.values()]
     line = F.concat_ws(",", *cells)
-    numbered = ledgers(spark, folder).schedule.withColumn("k", F.regexp_extract("acc_no", r"(\d+)$", 1).cast("bigint"))
-    return numbered.select("k", (F.concat(line, more) if more is not None else line).alias("value"))
+    return _numbered_schedule(spark, folder).select("k", (F.concat(line, more) if more is not None else line).alias("value"))
 
 
 @query
@@ -717,6 +722,35 @@ def rejected_rows(spark, folder):
     return dl.rejected_lines(spark, path, dl.SCHEDULE).drop("source_file")
 
 
+def _faulty_schedule(spark, folder, name: str) -> str:
+    """The schedule with a line of each fault among ten, in three files."""
+    cells = [F.col(c) for c in dl.SCHEDULE.columns.values()]
+    line, place = F.concat_ws(",", *cells), F.col("k") % 10
+    faulty = (
+        F.when(place == 0, F.concat(line, F.lit(",beyond")))
+        .when(place == 1, F.concat_ws(",", *cells[:-1]))
+        .when(place == 2, F.concat(cells[0], F.lit(',"'), F.concat_ws(",", *cells[1:])))
+        .when(place == 3, F.concat(line.cast("binary"), F.lit(b"\xff")).cast("string"))
+        .otherwise(line)
+    )
+    lines = _numbered_schedule(spark, folder).select("k", faulty.alias("value"))
+    # The mark says what the bytes are meant to be; without it the odd byte is a letter of a code page.
+    return _files(spark, lines, [out.BYTE_ORDER_MARK + ",".join(dl.SCHEDULE.columns)], name)
+
+
+@query
+def scan_strict(spark, folder):
+    """The lines without fault of a schedule in which four lines of ten have one."""
+    return rj.read_strict(spark, _faulty_schedule(spark, folder, "strict"), dl.SCHEDULE).drop("source_file")
+
+
+@query
+def rejects_by_reason(spark, folder):
+    """Kept and rejected lines of the same files; they add up to the lines."""
+    counted = rj.rejects_by_reason(spark, _faulty_schedule(spark, folder, "reasons"), dl.SCHEDULE)
+    return counted.groupBy("reason").agg(F.sum("rows").alias("rows"))
+
+
 @query
 def scan_quoted_text(spark, folder):
     """The system ledger with a line break inside its dates."""
@@ -760,15 +794,7 @@ def file_inventory(spark, folder):
     return both.select((F.col("files") == F.col("digests")).alias("all_digested"), (F.col("bytes") == F.col("digested")).alias("same_bytes"))
 
 
-@query
-def written_lists(spark, folder):
-    """Each result list after writing the lists and reading them back: rows and content."""
-    path = work_folder(spark, "lists")
-    r = ledgers(spark, folder, keep=True)
-    try:
-        written = out.write_lists(r, path)
-    finally:
-        r.release()
+def _list_content(spark, written: dict[str, str]) -> DataFrame:
     amounts = {"debt_separation": "balance_b", "conflicts": "loan_balance"}
     parts = []
     for name, place in written.items():
@@ -786,6 +812,32 @@ def written_lists(spark, folder):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@query
+def written_lists(spark, folder):
+    """Each result list after writing the lists and reading them back: rows and content."""
+    path = work_folder(spark, "lists")
+    r = ledgers(spark, folder, keep=True)
+    try:
+        written = out.write_lists(r, path)
+    finally:
+        r.release()
+    return _list_content(spark, written)
+
+
+@query
+def published_lists(spark, folder):
+    """The lists of the current version, read through its mark, after a run that failed half-way."""
+    path = work_folder(spark, "versions")
+    r = ledgers(spark, folder, keep=True)
+    try:
+        out.write_lists(r, path, versioned=True)
+        broken = vs.Versions(spark, path).begin()
+        out.write_csv(r.typed, broken.path("errors_ab"))  # never published
+    finally:
+        r.release()
+    return _list_content(spark, vs.Versions(spark, path).outputs())
+
+
 def _report(spark, folder, schema: str) -> DataFrame:
     payload = _settled(ledgers(spark, folder, keep=True), out.report_payload)
     return out.read_payload(payload, schema)

@@ -557,10 +557,16 @@ ORACLE |= {
         as first_payment_date) from A""",
     "rejected_rows": f"""with {LEDGERS} select *, 'beyond' beyond_header from S
         where cast(regexp_extract(acc_no, '([0-9]+)$', 1) as bigint) % 10 = 0""",
+    "scan_strict": f"""with {LEDGERS} select * from S
+        where cast(regexp_extract(acc_no, '([0-9]+)$', 1) as bigint) % 10 > 3""",
+    "rejects_by_reason": f"""with {LEDGERS} select case cast(regexp_extract(acc_no, '([0-9]+)$', 1) as bigint) % 10
+          when 0 then 'long_line' when 1 then 'short_line' when 2 then 'open_quote' when 3 then 'undecodable' else 'kept' end reason,
+          count(*) "rows" from S group by 1""",
     "file_inventory": "select count(*) > 0 all_digested, count(*) > 0 same_bytes from orders",
     "scan_schedule": f"with {LEDGERS} select * from S",
     "row_estimate": "select count(*) data_rows from orders",
     "written_lists": _LIST_CONTENT,
+    "published_lists": _LIST_CONTENT,
     "report_lists": _LIST_SIZES,
     "report_values": _REPORT_VALUES,
     "summary_ab_hot": _hot(3, _AB_SUMMARY),

@@ -17,6 +17,7 @@ from tallyloom.operators import summary as sm
 from tallyloom.operators.topn import scatter_cells, top_rows
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.session import settle
+from tallyloom.sinks.versions import Version, Versions
 from tallyloom.sources.files import digests
 
 VERSION = "1.0.0"
@@ -51,9 +52,10 @@ def write_csv(df: DataFrame, path: str, spreadsheet: bool = True, charset: str =
 
 
 class Staged:
-    """Outputs written beside their places and moved there together at the end.
+    """Outputs written beside their places and moved there at the end, one after another.
 
-    A run that fails before ``publish`` leaves the outputs of the run before as they were.
+    A run that fails before ``publish`` leaves the outputs of the run before as they were;
+    ``versions.Versions`` holds that for a failure at any point.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -78,7 +80,7 @@ class Staged:
         return {name: f"{self.folder}/{name}" for name in self.names}
 
 
-def stage_lists(r: Reconciliation, staged: Staged, max_records: int | None = None) -> None:
+def stage_lists(r: Reconciliation, staged: Staged | Version, max_records: int | None = None) -> None:
     """Every list is written, empty or not, so no stale file outlives a run.
 
     Lists are whole; ``max_records`` is for callers who want only the first rows.
@@ -87,8 +89,13 @@ def stage_lists(r: Reconciliation, staged: Staged, max_records: int | None = Non
         write_csv(top_rows(rows, rows.columns, max_records), staged.path(name))
 
 
-def write_lists(r: Reconciliation, folder: str, max_records: int | None = None) -> dict[str, str]:
-    staged = Staged(r.system.sparkSession, folder)
+def staging(spark: SparkSession, folder: str, versioned: bool) -> Staged | Version:
+    """Where a run writes: beside fixed places, or as a version that becomes current at once."""
+    return Versions(spark, folder).begin() if versioned else Staged(spark, folder)
+
+
+def write_lists(r: Reconciliation, folder: str, max_records: int | None = None, versioned: bool = False) -> dict[str, str]:
+    staged = staging(r.system.sparkSession, folder, versioned)
     stage_lists(r, staged, max_records)
     return staged.publish()
 
@@ -189,12 +196,14 @@ def run(
     max_records: int | None = None,
     dry_run: bool = False,
     with_report: bool = False,
+    versioned: bool = False,
     **options,
 ) -> DataFrame:
     """The whole program: read the extracts, compare, write; gives the summary matrix.
 
     ``folders`` names the extracts ``system``, ``counterpart`` and, if there is one,
-    ``schedule``. A dry run writes nothing.
+    ``schedule``. A dry run writes nothing. With ``versioned`` all outputs become current at
+    once and are read through ``Versions``; else each is moved to its fixed place in turn.
     """
     from tallyloom.sources.delimited import load_counterpart, load_schedule, load_system
 
@@ -211,13 +220,13 @@ def run(
         seconds = time.monotonic() - begun
         if dry_run:
             return matrix
-        staged = Staged(spark, output)
+        staged = staging(spark, output, versioned)
         stage_lists(r, staged, max_records)
         if with_report:
             report_payload(r).write.text(staged.path("report"))
             scatter_cells(mt.ab_rows(r.ab, errors_only=True)).write.json(staged.path("scatter"))
         given = {n: p for n, p in folders.items() if p}
-        written = {name: os.path.join(output, name) for name in staged.names}
+        written = {name: os.path.join(staged.stage if versioned else output, name) for name in record_lists(r)}
         manifest(r, given, written, seconds).write.json(staged.path("manifest"))
         manifest_files(spark, given).write.json(staged.path("manifest_files"))
         staged.publish()

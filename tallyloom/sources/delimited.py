@@ -115,7 +115,28 @@ def skipped_files(spark: SparkSession, folder: str, layout: Layout) -> DataFrame
     return files.select("name", F.lit(f"no column {layout.key}").alias("reason"))
 
 
-def _united(spark, folder, layout, rejected) -> DataFrame:
+@dataclass(frozen=True)
+class FileGroup:
+    """Files that are written alike."""
+
+    paths: list[str]
+    encoding: str
+    header: tuple[str, ...]
+    quoted_breaks: bool
+    leading_rows: int
+
+    @property
+    def charset(self) -> str:
+        return CHARSETS[self.encoding]
+
+    @property
+    def whole_records(self) -> bool:
+        """A quoted line break, or two-byte characters, forbid splitting a file by line."""
+        return self.quoted_breaks or self.charset == "UTF-16"
+
+
+def file_groups(spark: SparkSession, folder: str, layout: Layout) -> list[FileGroup]:
+    """The usable files of a folder, grouped by how they are written."""
     # One short row per file; Spark's own file listing is no smaller.
     found = profile(spark, folder, list(layout.columns)).collect()
     groups: dict[tuple, list[str]] = {}
@@ -127,40 +148,59 @@ def _united(spark, folder, layout, rejected) -> DataFrame:
             groups.setdefault(how, []).append(file["path"])
     if not groups:
         raise FileNotFoundError(f"no usable data file in {folder}")
-    scans = [_scan(spark, paths, *how, layout, rejected) for how, paths in groups.items()]
+    kept = [FileGroup(paths, *how) for how, paths in groups.items()]
+    if any(g.charset not in ("UTF-8", "UTF-16", "ISO-8859-1") for g in kept):
+        # Spark reads these code pages only with the JVM's full charset list.
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return kept
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """A file scan's rows with the file's name and where each one stands, for ``below_header``."""
+    return rows.withColumns(
+        {
+            "source_file": file_name(),
+            "_path": F.col("_metadata.file_path"),
+            "_start": F.col("_metadata.file_block_start"),
+            "_at": F.monotonically_increasing_id(),
+        }
+    )
+
+
+def file_name() -> Column:
+    """The scan reports names percent-escaped, with plus signs left alone."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def below_header(rows: DataFrame, leading: int) -> DataFrame:
+    """Without the first ``leading`` rows of each file, which are of its first block, by position."""
+    place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
+    first = rows.where("_start = 0").withColumn("_place", place).where(F.col("_place") > leading).drop("_place")
+    return first.unionByName(rows.where("_start > 0"))
+
+
+def _united(spark, folder, layout, rejected) -> DataFrame:
+    scans = [_scan(spark, group, layout, rejected) for group in file_groups(spark, folder, layout)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def _scan(spark, paths, encoding, header, quoted_breaks, leading, layout, rejected) -> DataFrame:
-    charset = CHARSETS[encoding]
-    if charset not in ("UTF-8", "UTF-16", "ISO-8859-1"):
-        # Spark reads these code pages only with the JVM's full charset list.
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    names = [f"c{i}" for i in range(len(header))]
-    late = leading > 1
+def _scan(spark, group: FileGroup, layout, rejected) -> DataFrame:
+    names = [f"c{i}" for i in range(len(group.header))]
+    late = group.leading_rows > 1
     reader = (
         spark.read.schema(", ".join(f"{n} string" for n in [*names, EXTRA]))
         .option("mode", "PERMISSIVE")
-        .option("encoding", charset)
+        .option("encoding", group.charset)
         .option("escape", '"')
-        # A quoted line break, or two-byte characters, forbid splitting a file by line.
-        .option("multiLine", quoted_breaks or charset == "UTF-16")
+        .option("multiLine", group.whole_records)
         .option("header", not late)
     )
-    rows = reader.csv(paths).withColumn("source_file", F.col("_metadata.file_name"))
+    rows = placed(reader.csv(group.paths))
     if late:
-        # The rows up to the header are the first of the file's first block, by position.
-        rows = rows.withColumns(
-            {"_path": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()}
-        )
-        place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
-        first = rows.where("_start = 0").withColumn("_place", place).where(F.col("_place") > leading).drop("_place")
-        rows = first.unionByName(rows.where("_start > 0"))
+        rows = below_header(rows, group.leading_rows)
     kept = rows.where(F.col(EXTRA).isNotNull() if rejected else F.col(EXTRA).isNull())
     chosen: list[Column] = [
-        cell(f"c{i}").alias(layout.columns[wanted]) for wanted, i in layout.resolve(header).items()
+        cell(f"c{i}").alias(layout.columns[wanted]) for wanted, i in layout.resolve(group.header).items()
     ]
     more = [F.col(EXTRA).alias("beyond_header")] if rejected else []
-    # The scan reports names percent-escaped, with plus signs left alone.
-    name = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
-    return kept.select(*chosen, name.alias("source_file"), *more)
+    return kept.select(*chosen, "source_file", *more)

@@ -60,7 +60,7 @@ def _open(path: str):
 
 
 def guess_encoding(head: bytes, is_utf8: bool, present: set[int]) -> str:
-    """Byte order mark, else strict UTF-8, else the code page that has all the file's bytes.
+    """Byte order mark, else UTF-8, else the code page that has all the file's bytes.
 
     ``is_utf8`` and ``present`` are of the whole file, ``head`` is its beginning. The two
     Thai code pages agree but for the bytes only one has.
@@ -91,9 +91,42 @@ def find_header(head: bytes, encoding: str, targets: Sequence[str]) -> tuple[int
     return place + 1, cells
 
 
+class Utf8Lines:
+    """Are a file's bytes UTF-8? Fed chunk by chunk, judged line by line."""
+
+    def __init__(self):
+        self.rest, self.wide, self.bad = b"", 0, 0
+
+    def feed(self, chunk: bytes) -> None:
+        whole, end, self.rest = (self.rest + chunk).rpartition(b"\n")
+        self._count(whole + end)
+
+    def _count(self, lines: bytes) -> None:
+        if lines.isascii():
+            return
+        try:
+            lines.decode("utf-8")
+            codes = np.frombuffer(lines, dtype=np.uint8)
+            self.wide += len(np.unique(np.searchsorted(np.flatnonzero(codes == 10), np.flatnonzero(codes > 127))))
+        except UnicodeDecodeError:
+            for line in lines.split(b"\n"):
+                if not line.isascii():
+                    self.wide += 1
+                    try:
+                        line.decode("utf-8")
+                    except UnicodeDecodeError:
+                        self.bad += 1
+
+    def hold(self) -> bool:
+        """Most lines beyond ASCII are UTF-8; text of a code page hardly ever is by chance."""
+        self._count(self.rest)
+        self.rest = b""
+        return 2 * self.bad < self.wide or not self.wide
+
+
 def _profile(path: str, size: int, targets: Sequence[str]) -> dict:
     """One pass over all bytes, a chunk at a time."""
-    decoder, is_utf8 = codecs.getincrementaldecoder("utf-8")(), True
+    utf8 = Utf8Lines()
     present = np.zeros(256, dtype=bool)
     head, lines, quotes, broken, last = b"", 0, 0, False, 10
     with _open(path) as stream:
@@ -106,21 +139,14 @@ def _profile(path: str, size: int, targets: Sequence[str]) -> dict:
             # A line that ends inside quotes has an odd number of them in front of its end.
             broken = broken or bool((before & 1).any())
             lines, quotes, last = lines + len(ends), quotes + int((codes == 34).sum()), int(codes[-1])
-            if is_utf8:
-                try:
-                    decoder.decode(chunk)
-                except UnicodeDecodeError:
-                    is_utf8 = False
-    if is_utf8:
-        try:
-            decoder.decode(b"", final=True)
-        except UnicodeDecodeError:
-            is_utf8 = False
-    encoding = guess_encoding(head, is_utf8, set(np.flatnonzero(present).tolist()))
+            if not head.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)):
+                utf8.feed(chunk)
+    encoding = guess_encoding(head, utf8.hold(), set(np.flatnonzero(present).tolist()))
     leading, cells = find_header(head, encoding, targets)
     return {
         "path": path, "name": path.rsplit("/", 1)[-1], "bytes": size, "encoding": encoding,
-        "quoted_breaks": broken and encoding != "utf-16", "leading_rows": leading, "header": cells,
+        # Quotes that do not pair up say nothing about the lines behind them.
+        "quoted_breaks": broken and quotes % 2 == 0 and encoding != "utf-16", "leading_rows": leading, "header": cells,
         "lines": lines + (last != 10),
     }
 
