@@ -182,6 +182,11 @@ def severity_bands(spark, folder):
     )
 
 
+@query
+def scatter_sample(spark, folder):
+    return tn.scatter_sample(mt.ab_rows(ledgers(spark, folder).ab, errors_only=True))
+
+
 @query
 def scatter_cells(spark, folder):
     return tn.scatter_cells(mt.ab_rows(ledgers(spark, folder).ab, errors_only=True))
@@ -473,6 +478,17 @@ def lookup_with_default(spark, folder):
     return lk.lookup_with_default(events, table, "event_type", "place", "Unknown Planet")
 
 
+@query
+def lookup_terms(spark, folder):
+    """Pieces of part names, one per order, some of which are in no name."""
+    orders = dv.table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 97).alias("c"))
+    parts = dv.table(spark, folder, "part").select("p_partkey", "p_name")
+    piece = F.substring(F.upper("p_name"), (1 + F.col("k") % 5).cast("int"), (F.col("k") % 9).cast("int"))
+    term = F.when(F.col("c") == 0, F.concat(piece, F.lit("?"))).when(F.col("c") == 1, F.col("p_name")).otherwise(piece)
+    terms = orders.join(parts, F.col("p_partkey") == F.col("k") % 200 + 1).select(term.alias("term"))
+    return lk.lookup_terms(parts, terms, "term", "p_name", "p_partkey")
+
+
 @query
 def lookup_fuzzy(spark, folder):
     parts = dv.table(spark, folder, "part").select("p_partkey", "p_name")

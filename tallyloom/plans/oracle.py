@@ -334,6 +334,12 @@ ORACLE = {
         """select cast(floor(bal_diff / 100) * 100 as double) x, date_diff_days y, count(*) "rows" from AB
         where mismatch <> 'perfect' group by 1, 2"""
     ),
+    "scatter_sample": _with(
+        """select x, y, acc_no from (select bal_diff x, date_diff_days y, acc_b acc_no, row_number() over (order by md5(
+          '=' || acc_b || '|=' || coalesce(cast(day_a as varchar), '') || '|' || coalesce('=' || date_b, '') || '|=' ||
+          cast(cast(round(bal_a * 100) as bigint) as varchar) || '|=' || cast(cast(round(bal_b * 100) as bigint) as varchar))) n
+          from AB where mismatch <> 'perfect') where n <= 500"""
+    ),
     "search_account": _with(f"select {_AB_ROW} from AB where mismatch <> 'perfect' and acc_b like '%99%'"),
     "unmatched_b": f"""with {LEDGERS} select acc_b, acc_key, date_b, bal_b from CB
         where not exists (select 1 from CA where CA.acc_key = CB.acc_key)""",
@@ -426,6 +432,14 @@ ORACLE = {
           from T join part on contains(lower(p_name), lower(term)))
         select term, coalesce(p_name, 'Unknown') found, p_partkey, coalesce(is_exact, false) is_exact
         from T left join (select * from R where n = 1) using (term)""",
+    "lookup_terms": """with T as (
+          select distinct case when o_custkey % 97 = 0 then piece || '?' when o_custkey % 97 = 1 then p_name else piece end term
+          from (select *, substr(upper(p_name), cast(1 + o_orderkey % 5 as int), cast(o_orderkey % 9 as int)) piece
+            from orders join part on p_partkey = o_orderkey % 200 + 1)),
+        N as (select lower(p_name) low, min(struct_pack(p_partkey := p_partkey, p_name := p_name)) f from part group by 1),
+        R as (select term, min(struct_pack(apart := low <> lower(term), f := f)) r from T join N on contains(low, lower(term)) group by 1)
+        select term, coalesce(r.f.p_name, 'Unknown') found, r.f.p_partkey p_partkey, coalesce(not r.apart, false) is_exact
+        from T left join R using (term)""",
     "search_any_column": """select p_partkey, p_name, p_brand, p_type, p_size from part
         where contains(lower(concat_ws(' ', p_partkey, p_name, p_brand, p_type, p_size)), 'ing brand#2')""",
     "filter_by_type": "select event_id, user_id, event_type, value from events where event_type = 'error'",

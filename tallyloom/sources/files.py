@@ -124,29 +124,57 @@ class Utf8Lines:
         return 2 * self.bad < self.wide or not self.wide
 
 
+class QuotedBreaks:
+    """Do quotes go over line ends on purpose? Fed chunk by chunk.
+
+    A quote that closes a field is followed by a comma, a line end or another quote. Where the
+    quotes around a line end are no such pair, the first one was left open.
+    """
+
+    AFTER_FIELD = np.frombuffer(b',"\r\n', dtype=np.uint8)
+
+    def __init__(self):
+        self.quotes, self.line_ended, self.spans, self.misfits = 0, False, 0, 0
+
+    def feed(self, codes: np.ndarray, ends: np.ndarray) -> None:
+        places = np.flatnonzero(codes == 34)
+        closing = np.flatnonzero((self.quotes + np.arange(len(places))) % 2 == 1)
+        opened = np.where(closing > 0, places[closing - 1], -1) if len(closing) else closing
+        over = np.searchsorted(ends, places[closing]) > np.searchsorted(ends, opened)
+        if len(closing) and closing[0] == 0:  # opened in an earlier chunk
+            over[0] |= self.line_ended
+        after = places[closing[over]] + 1
+        fits = (after >= len(codes)) | np.isin(codes[np.minimum(after, len(codes) - 1)], self.AFTER_FIELD)
+        self.spans, self.misfits = self.spans + int(fits.sum()), self.misfits + int((~fits).sum())
+        self.quotes += len(places)
+        last = places[-1] if len(places) else -1
+        ended = bool(len(ends)) and ends[-1] > last
+        self.line_ended = self.quotes % 2 == 1 and (ended or (self.line_ended and not len(places)))
+
+    def hold(self) -> bool:
+        return self.spans > self.misfits
+
+
 def _profile(path: str, size: int, targets: Sequence[str]) -> dict:
     """One pass over all bytes, a chunk at a time."""
-    utf8 = Utf8Lines()
+    utf8, breaks = Utf8Lines(), QuotedBreaks()
     present = np.zeros(256, dtype=bool)
-    head, lines, quotes, broken, last = b"", 0, 0, False, 10
+    head, lines, last = b"", 0, 10
     with _open(path) as stream:
         while chunk := stream.read(CHUNK):
             head = head + chunk[: HEAD_BYTES - len(head)] if len(head) < HEAD_BYTES else head
             codes = np.frombuffer(chunk, dtype=np.uint8)
             present |= np.bincount(codes, minlength=256) > 0
             ends = np.flatnonzero(codes == 10)
-            before = quotes + np.searchsorted(np.flatnonzero(codes == 34), ends)
-            # A line that ends inside quotes has an odd number of them in front of its end.
-            broken = broken or bool((before & 1).any())
-            lines, quotes, last = lines + len(ends), quotes + int((codes == 34).sum()), int(codes[-1])
+            lines, last = lines + len(ends), int(codes[-1])
+            breaks.feed(codes, ends)
             if not head.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)):
                 utf8.feed(chunk)
     encoding = guess_encoding(head, utf8.hold(), set(np.flatnonzero(present).tolist()))
     leading, cells = find_header(head, encoding, targets)
     return {
         "path": path, "name": path.rsplit("/", 1)[-1], "bytes": size, "encoding": encoding,
-        # Quotes that do not pair up say nothing about the lines behind them.
-        "quoted_breaks": broken and quotes % 2 == 0 and encoding != "utf-16", "leading_rows": leading, "header": cells,
+        "quoted_breaks": breaks.hold() and encoding != "utf-16", "leading_rows": leading, "header": cells,
         "lines": lines + (last != 10),
     }
 

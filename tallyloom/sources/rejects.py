@@ -8,9 +8,9 @@ The first reason that holds is the line's:
 * ``long_line``, ``short_line``: it has more, or fewer, fields than the header;
 * otherwise it is kept.
 
-A file whose quotes pair up as a whole may hold line breaks inside them; there a record stands
-for a line. A file whose quotes do not pair up is read line by line, so that an open quote
-costs its own line and not the rest of the file. Blank lines and the rows up to the header are
+Where the quotes around line ends are pairs, as fields with line breaks have them, a record
+stands for a line. Any other file is read line by line, so that an open quote costs its own line
+and not the rest of the file. Blank lines and the rows up to the header are
 neither kept nor rejected.
 
 Defined cases: a file without the key column is skipped (``skipped_files`` names it); a folder

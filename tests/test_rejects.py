@@ -1,10 +1,11 @@
 """Strict reading: every line is kept or rejected for a reason."""
 
+import numpy as np
 import pytest
 
 from tallyloom.sources import delimited as dl
 from tallyloom.sources import rejects as rj
-from tallyloom.sources.files import Utf8Lines, profile
+from tallyloom.sources.files import QuotedBreaks, Utf8Lines, profile
 
 HEAD = "ACC_NO,DUE_PAYMENT_DATE,CAPITAL_REMAIN\n"
 
@@ -42,6 +43,26 @@ def test_an_open_quote_costs_its_line_only(spark, put):
     assert dl.read_extract(spark, folder, dl.SCHEDULE).filter("acc_no != '900'").count() == 200
 
 
+def test_quoted_breaks_are_told_from_open_quotes_across_chunks():
+    def held(data, size):
+        breaks = QuotedBreaks()
+        for k in range(0, len(data), size):
+            codes = np.frombuffer(data[k : k + size], dtype=np.uint8)
+            breaks.feed(codes, np.flatnonzero(codes == 10))
+        return breaks.hold()
+
+    for size in (1, 2, 3, 7, 100):
+        assert held(b'a,"b\nc",d\n1,"x ""y""\nz"\r\n2,"q\n"\n', size)
+        assert not held(b'a,b\n1,2\n', size) and not held(b'a,"b,c"\n1,"2"\n', size)
+    for size in (7, 100):
+        assert not held(b'1,"open\n2,b\n3,"open\n4,c\n', size) and not held(b'1,"open\n2,b\n', size)
+
+
+def test_an_even_number_of_open_quotes(spark, put):
+    folder = put("a.csv", HEAD + "".join(f'{k},{chr(34) * (k % 5 == 0)}2024-01-01,{k}\n' for k in range(100)))
+    assert by_reason(spark, folder) == {("a.csv", "kept"): 80, ("a.csv", "open_quote"): 20}
+
+
 def test_breaks_inside_quotes_make_records(spark, put):
     folder = put("a.csv", HEAD + '1,"two\nlines",5\n2,x\n3,a,b,c\n4,a,b,c,d\n5,"q ""r""\nmore",6\n')
     assert by_reason(spark, folder) == {("a.csv", "kept"): 2, ("a.csv", "short_line"): 1, ("a.csv", "long_line"): 2}
