@@ -712,6 +712,21 @@ def _files(spark, lines: DataFrame, heads: list[str], name: str, files: int = 3)
     return path
 
 
+@query
+def row_estimate_sampled(spark, folder):
+    """Is the exact line count within the estimate's error, from at most the promised bytes?"""
+    path = _extract(spark, ledgers(spark, folder).system, dl.SYSTEM, "system")
+    ranges, width = 8, 1024
+    sampled = fl.sampled_totals(fl.row_samples(spark, path, ranges, width))
+    exact = fl.folder_totals(fl.line_counts(spark, path)).select("lines")
+    both = sampled.select("*", exact.scalar().alias("lines"))
+    return both.select(
+        (F.col("lines") - F.col("files")).alias("data_rows"),
+        (F.abs(F.col("rows") - F.col("lines")) <= F.col("error")).alias("within_error"),
+        (F.col("bytes_read") <= F.col("files") * (ranges * width + 1)).alias("few_bytes_read"),
+    )
+
+
 def _numbered_schedule(spark, folder) -> DataFrame:
     return ledgers(spark, folder).schedule.withColumn("k", F.regexp_extract("acc_no", r"(\d+)$", 1).cast("bigint"))
 

@@ -579,6 +579,7 @@ ORACLE |= {
     "file_inventory": "select count(*) > 0 all_digested, count(*) > 0 same_bytes from orders",
     "scan_schedule": f"with {LEDGERS} select * from S",
     "row_estimate": "select count(*) data_rows from orders",
+    "row_estimate_sampled": "select count(*) data_rows, true within_error, true few_bytes_read from orders",
     "written_lists": _LIST_CONTENT,
     "published_lists": _LIST_CONTENT,
     "report_lists": _LIST_SIZES,

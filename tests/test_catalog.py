@@ -8,7 +8,7 @@ import __spark_entry__ as entry_points
 from tallyloom.plans.catalog import QUERIES
 from tallyloom.plans.oracle import ORACLE as SQL
 
-READS_FILE_BYTES = {"file_inventory"}
+READS_FILE_BYTES = {"file_inventory", "row_estimate_sampled"}
 
 
 def plan_of(df) -> str:
