@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,14 +37,19 @@ def day_gap(left: Column, right: Column, usable: Column) -> Column:
     return F.when(usable, F.abs(F.datediff(right, left))).otherwise(F.lit(0))
 
 
-def within(left: Column, right: Column, tolerance: float) -> Column:
-    return F.abs(left - right) <= F.lit(float(tolerance))
+def limit(tolerance: float | Decimal) -> Column:
+    """A Decimal stays one, so that decimal balances are compared without rounding."""
+    return F.lit(tolerance if isinstance(tolerance, Decimal) else float(tolerance))
+
+
+def within(left: Column, right: Column, tolerance: float | Decimal) -> Column:
+    return F.abs(left - right) <= limit(tolerance)
 
 
 def gap_percent(gap: Column, base: Column, other: Column) -> Column:
-    """Gap as a share of ``base``; a zero base gives 100 unless both are zero."""
+    """Gap as a share of ``base`` in double; a zero base gives 100 unless both are zero."""
     return F.round(
-        F.when(base != 0, F.abs(gap) / F.abs(base) * 100.0)
+        F.when(base != 0, F.abs(gap).cast("double") / F.abs(base).cast("double") * 100.0)
         .when(other != 0, F.lit(100.0))
         .otherwise(F.lit(0.0)),
         4,

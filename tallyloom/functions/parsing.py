@@ -50,11 +50,11 @@ def number_text(value: Column | str) -> Column:
     return F.replace(strip(value), F.lit(","), F.lit(""))
 
 
-def read_number(text: Column | str) -> Column:
-    """Tidy text to double, anything unreadable is null."""
+def read_number(text: Column | str, kind: str = "double") -> Column:
+    """Tidy text to a number of that type, anything unreadable (or too large) is null."""
     text = _column(text)
     # The shape test keeps out forms only the JVM reads as numbers, such as 1d.
-    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
+    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast(kind))
 
 
 def number_or_null(value: Column | str) -> Column:

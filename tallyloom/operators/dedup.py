@@ -15,10 +15,10 @@ from tallyloom.operators.skew import DEFAULT_GUARD, SkewGuard, balanced_join, ex
 IDENTITY = ["acc_no", "start_date_be", "loan_balance"]
 
 
-def typed_counterpart(raw: DataFrame) -> DataFrame:
+def typed_counterpart(raw: DataFrame, money: str = "double") -> DataFrame:
     """Account stripped, balance as number (null if unreadable), date left as text."""
     tidy = raw.withColumns({"acc_no": strip("acc_no"), "loan_balance": number_text("loan_balance")})
-    return tidy.withColumn("loan_balance", read_number("loan_balance"))
+    return tidy.withColumn("loan_balance", read_number("loan_balance", money))
 
 
 def dedup(typed: DataFrame) -> DataFrame:

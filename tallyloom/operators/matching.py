@@ -37,8 +37,11 @@ def active_only(system: DataFrame) -> DataFrame:
     return system.where(is_active(system))
 
 
-def clean_system(system: DataFrame) -> DataFrame:
-    """Active system rows, parsed before the join so the shuffle carries typed values."""
+def clean_system(system: DataFrame, money: str = "double") -> DataFrame:
+    """Active system rows, parsed before the join so the shuffle carries typed values.
+
+    ``money`` is the type of balances: ``double``, or a decimal for exact comparison.
+    """
     exact = "exact_pre_balance" if "exact_pre_balance" in system.columns else "pre_balance"
     tidy = active_only(system).select(
         ps.account_key("acc_no").alias(KEY),
@@ -47,10 +50,10 @@ def clean_system(system: DataFrame) -> DataFrame:
         ps.number_text("pre_balance").alias("pre"),
         ps.number_text(exact).alias("exact"),
     )
-    zero = F.lit(0.0)
+    zero = F.lit(0)
     return tidy.select(
-        KEY, "acc_a", ps.read_ledger_date("day").alias("day_a"), ps.read_number("pre").alias("pre"),
-        ps.read_number("exact").alias("exact"),
+        KEY, "acc_a", ps.read_ledger_date("day").alias("day_a"), ps.read_number("pre", money).alias("pre"),
+        ps.read_number("exact", money).alias("exact"),
     ).select(
         KEY, "acc_a", "day_a", F.coalesce("pre", zero).alias("bal_a"),
         F.coalesce("exact", zero).alias("exact_bal"), F.col("pre").isNull().alias("bad_balance_a"),
@@ -65,12 +68,12 @@ def clean_counterpart(deduped: DataFrame) -> DataFrame:
         F.col("acc_no").alias("acc_b"),
         F.col("start_date_be").alias("date_b"),
         ps.read_buddhist_date("day").alias("day_b"),
-        F.coalesce("loan_balance", F.lit(0.0)).alias("bal_b"),
+        F.coalesce("loan_balance", F.lit(0)).alias("bal_b"),
         F.col("loan_balance").isNull().alias("bad_balance_b"),
     )
 
 
-def clean_schedule(schedule: DataFrame, first_only: bool = False) -> DataFrame:
+def clean_schedule(schedule: DataFrame, first_only: bool = False, money: str = "double") -> DataFrame:
     """Schedule rows; ``first_only`` keeps the earliest due date of each account."""
     tidy = schedule.select(
         ps.account_key("acc_no").alias(KEY),
@@ -79,9 +82,9 @@ def clean_schedule(schedule: DataFrame, first_only: bool = False) -> DataFrame:
         ps.number_text("capital_remain").alias("capital"),
     )
     cleaned = tidy.select(
-        KEY, "acc_s", ps.read_schedule_date("day").alias("day_s"), ps.read_number("capital").alias("capital")
+        KEY, "acc_s", ps.read_schedule_date("day").alias("day_s"), ps.read_number("capital", money).alias("capital")
     ).select(
-        KEY, "acc_s", "day_s", F.coalesce("capital", F.lit(0.0)).alias("bal_s"),
+        KEY, "acc_s", "day_s", F.coalesce("capital", F.lit(0)).alias("bal_s"),
         F.col("capital").isNull().alias("bad_balance_s"),
     )
     if not first_only:
@@ -113,7 +116,7 @@ def _compare(joined, other, day, balance, tolerance, year_range):
             "date_diff_days": cmp.day_gap(F.col(day), F.col("day_b"), usable),
             "bal_diff": gap,
             "bal_diff_pct": cmp.gap_percent(gap, F.col(balance), F.col("bal_b")),
-            "bal_match": F.abs(gap) <= F.lit(float(tolerance)),
+            "bal_match": F.abs(gap) <= cmp.limit(tolerance),
         }
     )
     return compared.withColumn(

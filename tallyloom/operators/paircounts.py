@@ -39,7 +39,8 @@ def _near(base: DataFrame, other: DataFrame, on: Sequence[str], tolerance: float
 
     ``other`` has ``on``, ``w`` and a row count ``n``; the result has ``on``, ``v``, ``n``.
     """
-    width = max(5 * tolerance, 0.01)
+    # Decimal balances get decimal cells, whose edges are exact.
+    width = F.lit(max(5 * tolerance, type(tolerance)("0.01")))
     cells = F.array(*[F.floor(F.col("v") / width) + step for step in (-1, 0, 1)])
     left = base.select(*on, "v").distinct().withColumn("_cell", F.explode(cells))
     right = other.withColumn("_cell", F.floor(F.col("w") / width))

@@ -174,7 +174,7 @@ def _stats(counts: DataFrame, wanted: dict[str, float], digits: int = 4) -> Data
 
 def balance_error_stats(compared: DataFrame) -> DataFrame:
     """Signed balance gaps of the rows in error; zeros where there are none."""
-    counts = settle(value_counts(compared.where(is_error()), F.col("bal_diff"), F.col(COPIES)))
+    counts = settle(value_counts(compared.where(is_error()), F.col("bal_diff").cast("double"), F.col(COPIES)))
     return _stats(counts, {"median": 0.5, "p95": 0.95, "p99": 0.99})
 
 
@@ -214,7 +214,7 @@ def error_histogram(compared: DataFrame, bins: int = HISTOGRAM_BINS, cut: float
     Bins are closed on the left, the last on both sides; empty bins are listed; no
     bins at all where no gap is below the cut.
     """
-    counts = settle(value_counts(compared.where(is_error()), F.col("bal_diff"), F.col(COPIES)))
+    counts = settle(value_counts(compared.where(is_error()), F.col("bal_diff").cast("double"), F.col(COPIES)))
     sizes = value_counts(counts, F.abs("v"), F.col("n"))
     limit = quantiles(sizes, {"limit": cut}).scalar()
     kept = counts.where(F.abs("v") < limit)

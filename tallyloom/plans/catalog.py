@@ -22,7 +22,7 @@ from tallyloom.operators import topn as tn
 from tallyloom.operators import waterfall as wf
 from tallyloom.operators.literals import literal_rows
 from tallyloom.operators.skew import SkewGuard
-from tallyloom.plans.reconcile import Reconciliation
+from tallyloom.plans.reconcile import EXACT_MONEY, Reconciliation
 from tallyloom.session import fill_cores, settle, tune, work_folder
 from tallyloom.sinks import outputs as out
 from tallyloom.sinks import versions as vs
@@ -187,6 +187,30 @@ def scatter_sample(spark, folder):
     return tn.scatter_sample(mt.ab_rows(ledgers(spark, folder).ab, errors_only=True))
 
 
+def _penny_gaps(spark, folder, hot: int | None = None, guard=SkewGuard()) -> Reconciliation:
+    """The ledgers with gaps of one and two hundredths in every fifth system balance, compared exactly."""
+    plain = ledgers(spark, folder, hot)
+    cents = F.floor(F.col("pre_balance").cast("decimal(18,2)") * 100).cast("bigint") % 5
+    more = F.when(cents == 1, F.lit("0.01")).when(cents == 2, F.lit("0.02")).otherwise(F.lit("0.00")).cast("decimal(18,2)")
+    system = plain.system.withColumn("pre_balance", (F.col("pre_balance").cast("decimal(18,2)") + more).cast("string"))
+    return Reconciliation(system, plain.counterpart, plain.schedule, guard=guard, money=EXACT_MONEY)
+
+
+@query
+def reconcile_ab_decimal(spark, folder):
+    """Row by row in decimals: a gap of exactly the tolerance agrees."""
+    rows = mt.ab_rows(_penny_gaps(spark, folder).ab)
+    gap = F.col("bal_diff").cast("string")
+    return rows.select("acc_no", "date_a", "date_b", gap.alias("bal_diff"), "bal_diff_pct", "bal_match", "mismatch")
+
+
+@query
+def classify_ab_decimal_hot(spark, folder):
+    """Class counts in decimals with every third order under one account, counted by group."""
+    r = _penny_gaps(spark, folder, hot=3, guard=SkewGuard(min_rows=50))
+    return _plain_counts(sm.class_counts(*r.ab_counted))
+
+
 @query
 def scatter_cells(spark, folder):
     return tn.scatter_cells(mt.ab_rows(ledgers(spark, folder).ab, errors_only=True))

@@ -561,7 +561,27 @@ def _hot(every: int, body: str) -> str:
     return f"with {ledgers}{COMPARED[len(LEDGERS):]} {body}"
 
 
+def _penny_gaps(sql: str) -> str:
+    """The same in decimals, with gaps of one and two hundredths in every fifth system balance."""
+    more = "case cast(cast(pre_balance as decimal(18,2)) * 100 as bigint) % 5 when 1 then 0.01 when 2 then 0.02 else 0.00 end"
+    for double, exact in {
+        "cast(pre_balance as double) bal_a": f"cast(pre_balance as decimal(28,4)) + {more} bal_a",
+        "cast(exact_pre_balance as double)": "cast(exact_pre_balance as decimal(28,4))",
+        "try_cast(balance_text as double)": "try_cast(balance_text as decimal(28,4))",
+        "0.01::double": "0.01::decimal(4,2)",
+    }.items():
+        sql = sql.replace(double, exact)
+    return sql
+
+
 ORACLE |= {
+    "reconcile_ab_decimal": _penny_gaps(
+        _with(
+            """select acc_b acc_no, coalesce(cast(day_a as varchar), '') date_a, date_b,
+            cast(cast(bal_diff as decimal(28,4)) as varchar) bal_diff, bal_diff_pct, bal_match, mismatch from AB"""
+        )
+    ),
+    "classify_ab_decimal_hot": _penny_gaps(_hot(3, f"select {_COUNTS} from AB")),
     "scan_system": f"with {LEDGERS} select * from A",
     "scan_counterpart": _COUNTERPART_CELLS,
     "scan_mapped_columns": _COUNTERPART_CELLS,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,10 @@ from tallyloom.operators.skew import DEFAULT_GUARD, SkewGuard, heavy_keys
 from tallyloom.session import drop_folder, work_folder
 
 
+#: Balances to a hundredth of a cent.
+EXACT_MONEY = "decimal(28,4)"
+
+
 class Reconciliation:
     """Frames of one reconciliation, each built on first use.
 
@@ -26,6 +31,8 @@ class Reconciliation:
     With ``keep`` the cleaned ledgers are written once to the shared folder, for runs that
     make several reports from them; ``release`` removes them, and frames built on them end
     there. Compared frames can be far longer than the ledgers and are never kept.
+    ``money`` is the type of balances: with a decimal, such as ``EXACT_MONEY``, gaps and the
+    tolerance are compared without binary rounding, so that a gap of exactly the tolerance agrees.
     """
 
     def __init__(
@@ -38,11 +45,13 @@ class Reconciliation:
         first_due_only: bool = False,
         guard: SkewGuard | None = DEFAULT_GUARD,
         keep: bool = False,
+        money: str = "double",
     ):
         if grain not in ("row", "account"):
             raise ValueError("grain must be row or account")
         self.system, self.counterpart, self.schedule = system, counterpart, schedule
-        self.tolerance, self.grain, self.first_due_only = tolerance, grain, first_due_only
+        self.tolerance = tolerance if money == "double" else Decimal(str(tolerance))
+        self.grain, self.first_due_only, self.money = grain, first_due_only, money
         self.guard, self.keep = guard, keep
         self._landed: list[str] = []
         self._heavy: dict[str, list] = {}
@@ -64,11 +73,11 @@ class Reconciliation:
 
     @cached_property
     def typed(self) -> DataFrame:
-        return self._land(dd.typed_counterpart(self.counterpart), "typed")
+        return self._land(dd.typed_counterpart(self.counterpart, self.money), "typed")
 
     @cached_property
     def a(self) -> DataFrame:
-        cleaned = mt.clean_system(self.system)
+        cleaned = mt.clean_system(self.system, self.money)
         return self._land(self._grained(cleaned, "day_a", "bal_a", "exact_bal", "acc_a"), "a")
 
     @cached_property
@@ -79,7 +88,7 @@ class Reconciliation:
     @cached_property
     def s(self) -> DataFrame:
         first = self.first_due_only or self.grain == "account"
-        return self._land(mt.clean_schedule(self.schedule, first), "s")
+        return self._land(mt.clean_schedule(self.schedule, first, self.money), "s")
 
     def _grained(self, cleaned: DataFrame, *order: str) -> DataFrame:
         return mt.one_per_account(cleaned, *order) if self.grain == "account" else cleaned
