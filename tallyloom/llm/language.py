@@ -16,7 +16,6 @@ smaller language name wins.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,7 +34,6 @@ BLOCK_BYTES = 4_096
 LEVEL = 12
 #: Share of the best size by which the second must be larger.
 MARGIN = 0.02
-LETTER = re.compile(r"[^\W\d_]")
 RESULT = "struct<lang_pred: string, score: double, accepted: boolean>"
 
 
@@ -88,7 +86,7 @@ class Dictionaries:
         return [sum(len(coder.compress(block)) for block in blocks) for coder in self.coders]
 
     def decide(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.names or text is None or not LETTER.search(text):
+        if not self.names or text is None or not any(map(str.isalpha, text)):
             return "und", 0.0, False
         ranked = sorted(zip(self.sizes(text), self.names))
         if len(ranked) == 1:

@@ -140,9 +140,10 @@ _BARE = "trim({0}, ' ' || chr(9) || chr(13))"
 
 _OP2 = f"""
 with lines as (
-  select distinct doc_id, source, unnest(string_split(text, chr(10))) as raw from documents where source is not null
+  select r, source, unnest(string_split(text, chr(10))) as raw
+  from (select row_number() over () as r, source, text from documents where source is not null)
 ), bare as (
-  select distinct doc_id, source, {_BARE.format('raw')} as line from lines
+  select distinct r, source, {_BARE.format('raw')} as line from lines
 ), totals as (
   select source, count(*) as site_pages from documents group by source
 ), flagged as (

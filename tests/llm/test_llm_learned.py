@@ -40,6 +40,12 @@ def test_language_odd_cases(spark, folder):
     assert {r[0].lang_pred for r in docs.select(language.language(F.col("text"), {})).collect()} == {"und"}
 
 
+def test_numerals_are_no_letters():
+    model = language.Dictionaries({"x": b"some content here " * 9, "y": b"other words there " * 9})
+    assert all(model.decide(t)[0] == "und" for t in ("½ ①", "²", "Ⅷ", "12 _ . 🎉", "", None))
+    assert all(model.decide(t)[0] != "und" for t in ("ª", "12 a", "你", "ß"))
+
+
 def test_language_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(language, "SAMPLE_TEXTS", 20)
     monkeypatch.setattr(language, "SAMPLE_CHARS", 300)
