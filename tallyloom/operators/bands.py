@@ -33,6 +33,8 @@ def instalment_bands(spark: SparkSession) -> DataFrame:
     return regular.unionByName(low)
 
 
+#: How many they are.
+INSTALMENT_BANDS = LAST_REGULAR + 1 + len(LOW_BANDS)
 #: Cells, and bands, up to which the grid is broadcast.
 MOST_CELLS = 100_000
 
@@ -55,19 +57,21 @@ def instalment_payment(amount: Column) -> Column:
 
 
 def band_join(
-    rows: DataFrame, amount: str, bands: DataFrame, upper: str, payload: list[str], cell: int, top: int
+    rows: DataFrame, amount: str, bands: DataFrame, upper: str, payload: list[str], cell: int, top: int, count: int | None = None
 ) -> DataFrame:
     """Each row with the payload of the lowest band whose upper end reaches its amount.
 
     Amounts are non-negative. The range condition becomes an equality on grid cells of
     width ``cell``, with the exact condition on top, so no row meets every band. The
     spread-out band table has at most ``top / cell`` rows more than there are bands;
-    rows above the last band keep a null payload.
+    rows above the last band keep a null payload. ``count`` is the number of bands, for a caller
+    who knows it; else a job counts them.
     """
     if top / cell > MOST_CELLS:
         raise ValueError("cell is too small: the band grid would not stay small")
     # The grid is broadcast only while the band table itself is small.
-    small = F.broadcast if bands.limit(MOST_CELLS + 1).count() <= MOST_CELLS else (lambda df: df)
+    count = bands.limit(MOST_CELLS + 1).count() if count is None else count
+    small = F.broadcast if count <= MOST_CELLS else (lambda df: df)
     below = F.lag(upper).over(Window.orderBy(upper))  # the band table itself is small
     grid = (
         bands.withColumn("_lower", F.coalesce(below, F.lit(-1).cast("decimal(18,2)")))

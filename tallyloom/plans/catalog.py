@@ -404,7 +404,7 @@ def instalment_band(spark, folder):
 def band_lookup(spark, folder):
     loans = dv.table(spark, folder, "orders").select("o_orderkey", _money("o_totalprice").alias("amount"))
     bands = bd.instalment_bands(spark)
-    return bd.band_join(loans, "amount", bands, "upper", ["pay"], cell=5_000, top=bd.TOP_AMOUNT)
+    return bd.band_join(loans, "amount", bands, "upper", ["pay"], cell=5_000, top=bd.TOP_AMOUNT, count=bd.INSTALMENT_BANDS)
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,11 +50,15 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which all executors see.
 
-    Where none is named, a folder in the warehouse, which they see as well.
+    Where none is named, a folder in the warehouse. On a cluster a warehouse in the driver's own
+    file system is refused, as executors do not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not spark.sparkContext.master.startswith("local[") and re.match(r"file:|/", warehouse):
+            raise ValueError("name a folder that all executors see in spark.checkpoint.dir")
+        base = f"{warehouse}/_work"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)

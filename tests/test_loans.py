@@ -149,3 +149,7 @@ def test_months_to_age_limit(spark, birth, months):
 def test_december_contract(spark):
     row = plan_of(spark, as_of=dt.date(2024, 12, 20), birth=dt.date(1960, 1, 5))
     assert row.first_payment == dt.date(2025, 1, 5) and row.age_limit_months == 1
+
+
+def test_the_number_of_bands_is_known(spark):
+    assert bd.instalment_bands(spark).count() == bd.INSTALMENT_BANDS
