@@ -76,9 +76,19 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a small, often used frame once and cut its lineage there."""
+#: Rows that fill a partition of a settled frame, and partitions that any one may have.
+SETTLED_ROWS, SETTLED_PARTS = 50_000, 8
+
+
+def settle(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Compute a small, often used frame once and cut its lineage there.
+
+    ``rows`` is a bound of its rows, where one is known: a checkpoint is a file a partition, and
+    so many rows need no more than that many.
+    """
     shared_folder(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(SETTLED_PARTS, -(-rows // SETTLED_ROWS)))
     return df.checkpoint()
 
 
