@@ -205,9 +205,11 @@ def _runs(rows: pd.DataFrame) -> np.ndarray:
 def links(prints: DataFrame, distance: int = DISTANCE, place: int = PLACE) -> DataFrame:
     """(a, b): links that connect exactly the fingerprints (column fp, all different) that
     a chain of steps of at most ``distance`` bits connects."""
-    masks = first_masks(prints.count(), distance)
+    count = prints.count()
+    masks = first_masks(count, distance)
     keyed = _keyed(prints, masks)
-    crowded = settle(keyed.groupBy("mask", "kept").count().filter(F.col("count") > place).select("mask", "kept"))
+    crowded = keyed.groupBy("mask", "kept").count().filter(F.col("count") > place).select("mask", "kept")
+    crowded = settle(crowded, count * len(masks) // place)
     if crowded.isEmpty():
         return _links(keyed, distance)
     calm = keyed.join(crowded, ["mask", "kept"], "left_anti")
@@ -221,14 +223,16 @@ def links(prints: DataFrame, distance: int = DISTANCE, place: int = PLACE) -> Da
     return _links(calm, distance).unionAll(_links(dealt, distance))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
     """(node, root) of every node of the links, root the component's smallest node.
 
+    ``nodes`` is their number, if it is known.
+
     Large-star and small-star in turn until the links no longer change; each turn is one
     checkpoint, and a node's neighbours are only ever aggregated, never listed.
     """
     links_now = settle(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
+        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), nodes
     )
     before = None
     while True:
@@ -241,7 +245,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links_now = settle(small.unionAll(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
+        links_now = settle(small.unionAll(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), state[0])
     return links_now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         links_now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
@@ -256,8 +260,8 @@ def groups(
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id, root) of every row; a fingerprint of the component is its root."""
     rows = settle(docs.select(F.col(key).alias("doc_id"), fingerprint(F.col(text), size).alias("fp")))
-    prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    linked = components(links(prints.select("fp"), distance, place))
+    prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), rows.count())
+    linked = components(links(prints.select("fp"), distance, place), prints.count())
     named = prints.join(linked, prints["fp"] == linked["node"])
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = named.join(names, "root").select("fp", "component_id", "root")

@@ -82,7 +82,7 @@ def bounded(rows: DataFrame, order: Column, most: int, keep: str) -> DataFrame:
     count = hashed.agg(F.approx_count_distinct("order")).first()[0]
     if count > most:
         hashed = hashed.filter(F.col("order") < min(2**63 - 1, int(1.2 * most / count * 2**64) - 2**63))
-    few = settle(hashed.groupBy("order").agg(F.min(keep).alias(keep)))
+    few = settle(hashed.groupBy("order").agg(F.min(keep).alias(keep)), 2 * most)
     last = few.select("order").orderBy("order").limit(most).agg(F.max("order")).first()[0]
     return few.filter(F.col("order") <= F.lit(last))
 
