@@ -41,7 +41,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     first = groups.filter("doc_id = component_id").distinct()
     least = F.min(F.struct("text", "lang", "source")).alias("row")
     # Rows of an id meet once by the id; those of an id with several texts also by their fingerprint.
-    mixed = settle(groups.groupBy("doc_id").agg(F.count_distinct("fingerprint").alias("n")).filter("n > 1").select("doc_id"))
+    several = groups.groupBy("doc_id").agg(F.count_distinct("fingerprint").alias("n")).filter("n > 1")
+    mixed = settle(several.select("doc_id"), docs.count())
     single = first.join(mixed, "doc_id", "left_anti").select("doc_id")
     kept = docs.join(single, "doc_id", "left_semi").groupBy("doc_id").agg(least)
     if not mixed.isEmpty():
