@@ -27,8 +27,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,9 @@ CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Signs without a blank, or blanks, from which the slower but steady encoder is used.
 LONG_RUN = 400
 #: Bytes of windows that a worker remembers, the most ids of one, and what an entry takes beside them.
-REMEMBERED, LONGEST, ENTRY = 64 << 20, 64, 360
+REMEMBERED, LONGEST, ENTRY = 112 << 20, 64, 270
+#: Links of a group that are listed one by one.
+MANY_LINKS = 1_024
 SEEN_MASK = (1 << 21) - 1
 #: Pairs sent to tasks with their counts (17 bytes each).
 FREQUENT = 1 << 18
@@ -141,75 +144,131 @@ class Aligner:
         self.a_size, self.b_size = ([len(s) for s in t.spelt] for t in (self.a, self.b))
         self.a_sizes, self.b_sizes = np.array(self.a_size), np.array(self.b_size)
         self.a_blank, self.b_blank = (np.array([s[:1] == b" " for s in t.spelt]) for t in (self.a, self.b))
-        self.kind = np.uint16 if max(len(self.a_size), len(self.b_size)) < 0xFFFF else np.uint32
-        self.windows: dict[bytes, tuple[bytes, bytes, bytes]] = {}
+        self.kind = np.dtype(np.uint16 if max(len(self.a_size), len(self.b_size)) < 0xFFFF else np.uint32)
+        self.mark = int(np.iinfo(self.kind).max)
+        self.signs = [f"{number}{sign}" for number in range(max(len(self.a_size), len(self.b_size))) for sign in ",|;"]
+        self.windows: dict[bytes, tuple[str, bytes]] = {}
         self.seen, self.bytes = bytearray(SEEN_MASK + 1), 0
 
     def encode(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of both; none if they do not spell the blank and the text."""
         if text:
-            a, b, spelt = self.a(" " + text), self.b(text), f" {text}".encode()
-            if b"".join(map(self.a.spelt.__getitem__, a)) == spelt == b"".join(map(self.b.spelt.__getitem__, b)):
-                return a, b
+            b = self.b(text)
+            # A merges bytes and nothing else, so its tokens always spell the text.
+            if b"".join(map(self.b.spelt.__getitem__, b)) == f" {text}".encode():
+                return self.a(" " + text), b
         return [], []
 
-    def window(self, key: bytes) -> tuple[bytes, bytes, bytes]:
-        """(groups as text, codes of the different pairs, how often each is linked)."""
-        found = self.windows.get(key)
-        if found:
-            return found
-        ids = np.frombuffer(key, dtype=self.kind).tolist()
-        cut = ids.index(np.iinfo(self.kind).max)
-        groups = align(ids[:cut], ids[cut + 1 :], self.a_size, self.b_size)
-        shown = ";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups]).encode()
-        width, times = len(self.b_size), {}
-        for a, b in groups:
-            if len(a) == len(b) == 1:
-                code = a[0] * width + b[0]
-                times[code] = times.get(code, 0) + 1
-            else:
-                in_b = _counts(b)
-                for left, n in _counts(a).items():
+    def align(self, key: bytes) -> list[tuple[list[int], list[int]]]:
+        ids = memoryview(key).cast(self.kind.char).tolist()
+        cut = ids.index(self.mark)
+        return align(ids[:cut], ids[cut + 1 :], self.a_size, self.b_size)
+
+    def align_all(self, keys: list[bytes]) -> list[tuple[str, bytes]]:
+        """For each window (groups as text, codes of the linked pairs, each as often as it is linked).
+
+        All windows are aligned together: a window's tokens spell as many bytes on both sides, so
+        running lengths go on from one to the next. Both are empty where a group has too many
+        links to list.
+        """
+        ids = np.frombuffer(b"".join(keys), dtype=self.kind).astype(np.int64)
+        size = np.array([len(k) for k in keys]) // self.kind.itemsize
+        window, mark = np.repeat(np.arange(len(keys)), size), np.flatnonzero(ids == self.mark)
+        in_a = np.arange(len(ids)) < mark[window]
+        in_b = ~in_a
+        in_b[mark] = False
+        a, b = ids[in_a], ids[in_b]
+        a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        at = np.searchsorted(b_end, a_end).clip(max=len(b) - 1)
+        a_last = b_end[at] == a_end  # of its group
+        b_last = np.zeros(len(b), dtype=bool)
+        b_last[at[a_last]] = True
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        many_a, many_b = np.bincount(a_group), np.bincount(b_group)
+        first_a, first_b = np.cumsum(many_a) - many_a, np.cumsum(many_b) - many_b
+        # Tokens in order of their groups, each with the sign behind it.
+        shown = np.empty(len(a) + len(b), dtype=np.int64)
+        shown[np.arange(len(a)) + first_b[a_group]] = 3 * a + a_last
+        shown[np.arange(len(b)) + (first_a + many_a)[b_group]] = 3 * b + 2 * b_last
+        signs = list(map(self.signs.__getitem__, shown.tolist()))
+        # Every token of A with every token of B in its group.
+        a_window = window[in_a]
+        large = np.zeros(len(keys), dtype=bool)
+        large[a_window[(many_a * many_b > MANY_LINKS)[a_group]]] = True
+        linked = np.where(large[a_window], 0, many_b[a_group])
+        left = np.repeat(np.arange(len(a)), linked)
+        inner = np.arange(len(left)) - np.repeat(np.cumsum(linked) - linked, linked)
+        codes = (a[left] * len(self.b_size) + b[first_b[a_group[left]] + inner]).tobytes()
+        text_ends = np.cumsum(size - 1).tolist()
+        code_ends = (8 * np.cumsum(np.bincount(a_window, weights=linked, minlength=len(keys)).astype(np.int64))).tolist()
+        return [
+            ("", b"") if big else ("".join(signs[i:j])[:-1], codes[k:n])
+            for big, (i, j), (k, n) in zip(large.tolist(), pairwise([0, *text_ends]), pairwise([0, *code_ends]))
+        ]
+
+    def learn(self, texts: list[list[bytes]]) -> dict[bytes, tuple[str, bytes]]:
+        """Windows of the texts that are not remembered; those seen before are, from now on."""
+        new = list({key for keys in texts for key in keys if key not in self.windows})
+        fresh = dict(zip(new, self.align_all(new))) if new else {}
+        for key, found in fresh.items():
+            place = hash(key) & SEEN_MASK
+            if not self.seen[place]:
+                self.seen[place] = 1
+            elif len(key) <= LONGEST * self.kind.itemsize and self.bytes < REMEMBERED:
+                self.bytes += ENTRY + len(key) + len(found[0]) + len(found[1])
+                self.windows[key] = found
+        return fresh
+
+    def links(self, keys: list[bytes], fresh: dict[bytes, tuple[str, bytes]]) -> tuple[str, np.ndarray, np.ndarray]:
+        """(groups as text, codes of the different pairs, how often each is linked) of a text."""
+        known = self.windows.get
+        found = [known(key) or fresh[key] for key in keys]
+        code, times = np.unique(np.frombuffer(b"".join([c for _, c in found]), dtype=np.int64), return_counts=True)
+        if all(codes for _, codes in found):
+            return ";".join([shown for shown, _ in found]), code, times
+        # A group of very many tokens is counted, not listed.
+        counts, whole = dict(zip(code.tolist(), times.tolist())), []
+        for key, (shown, codes) in zip(keys, found):
+            if codes:
+                whole.append(shown)
+                continue
+            for a, b in self.align(key):
+                whole.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
+                in_b = Counter(b)
+                for left, n in Counter(a).items():
                     for right, m in in_b.items():
-                        code = left * width + right
-                        times[code] = times.get(code, 0) + n * m
-        found = shown, np.fromiter(times, np.int64, len(times)).tobytes(), np.fromiter(times.values(), np.int64, len(times)).tobytes()
-        place = hash(key) & SEEN_MASK
-        if not self.seen[place]:
-            self.seen[place] = 1
-        elif len(ids) <= LONGEST and self.bytes < REMEMBERED:
-            self.bytes += ENTRY + len(key) + sum(map(len, found))
-            self.windows[key] = found
-        return found
+                        at = left * len(self.b_size) + right
+                        counts[at] = counts.get(at, 0) + n * m
+        order = sorted(counts)
+        return ";".join(whole), np.array(order), np.array([counts[c] for c in order])
 
     def cut(self, texts: list[tuple[list[int], list[int]]]) -> list[list[bytes]]:
         """The window keys of each text; texts have tokens."""
-        a, b = (np.concatenate([np.array(t[side], dtype=np.int64) for t in texts]) for side in (0, 1))
+        sizes = [[len(t[side]) for t in texts] for side in (0, 1)]
+        a, b = (np.fromiter(chain.from_iterable(t[side] for t in texts), np.int64, sum(sizes[side])) for side in (0, 1))
         a_start, b_start = np.cumsum(self.a_sizes[a]) - self.a_sizes[a], np.cumsum(self.b_sizes[b]) - self.b_sizes[b]
-        first = np.cumsum([0, *(len(t[0]) for t in texts[:-1])])
-        anchors = np.intersect1d(a_start[self.a_blank[a]], b_start[self.b_blank[b]], assume_unique=True)
-        anchors = np.union1d(anchors, a_start[first])  # a text's begin is an anchor whatever stands there
-        in_a, in_b = np.append(np.searchsorted(a_start, anchors), len(a)), np.append(np.searchsorted(b_start, anchors), len(b))
+        first_a, first_b = (np.cumsum([0, *s[:-1]]) for s in sizes)
+        # A text's begin is an anchor whatever stands there.
+        in_a, in_b = self.a_blank[a], self.b_blank[b]
+        in_a[first_a] = in_b[first_b] = True
+        in_a, in_b = np.flatnonzero(in_a), np.flatnonzero(in_b)
+        at = np.searchsorted(b_start[in_b], a_start[in_a]).clip(max=len(in_b) - 1)
+        verified = b_start[in_b[at]] == a_start[in_a]
+        in_a, in_b = np.append(in_a[verified], len(a)), np.append(in_b[at[verified]], len(b))
         # A window's ids of A, a mark, its ids of B, and so on, in one array.
-        many, turn = len(anchors), np.arange(len(anchors))
+        many = len(in_a) - 1
+        turn = np.arange(many)
         laid = np.empty(len(a) + len(b) + many, dtype=self.kind)
         laid[np.arange(len(a)) + np.repeat(in_b[:-1] + turn, np.diff(in_a))] = a
-        laid[in_a[1:] + in_b[:-1] + turn] = np.iinfo(self.kind).max
+        laid[in_a[1:] + in_b[:-1] + turn] = self.mark
         laid[np.arange(len(b)) + np.repeat(in_a[1:] + turn + 1, np.diff(in_b))] = b
         edges = ((in_a + in_b + np.arange(many + 1)) * laid.itemsize).tolist()
         whole = laid.tobytes()
         keys = [whole[i:j] for i, j in pairwise(edges)]
-        ends = np.append(np.searchsorted(anchors, a_start[first]), many).tolist()
+        ends = [*np.searchsorted(in_a, first_a).tolist(), many]
         return [keys[i:j] for i, j in pairwise(ends)]
 
 
-def _counts(ids: list[int]) -> dict[int, int]:
-    counts: dict[int, int] = {}
-    for i in ids:
-        counts[i] = counts.get(i, 0) + 1
-    return counts
-
-
 def _aligner(a_path: str, b_path: str) -> Aligner:
     store, key = worker_store(), ("aligner", a_path, b_path)
     if key not in store:
@@ -224,16 +283,12 @@ def align_documents(docs: DataFrame, key: str, text: str, a_path: str, b_path: s
         aligner, row = _aligner(a_path, b_path), TaskContext.get().partitionId() * TASK_ROWS
         for ids, bodies in (part for batch in batches for part in _portions(batch)):
             encoded = [aligner.encode(body) for body in bodies]
-            keys = iter(aligner.cut([e for e in encoded if e[0]]) if any(e[0] for e in encoded) else [])
-            rows = []
+            cut = aligner.cut([e for e in encoded if e[0]]) if any(e[0] for e in encoded) else []
+            fresh, keys, rows = aligner.learn(cut), iter(cut), []
             for name, (a, b) in zip(ids, encoded):
-                shown, codes, times = zip(*map(aligner.window, next(keys))) if a else ((), (), ())
-                shown = b";".join(shown)
-                code, place = np.unique(np.frombuffer(b"".join(codes), dtype=np.int64), return_inverse=True)
-                linked = np.zeros(len(code), dtype=np.int64)
-                np.add.at(linked, place, np.frombuffer(b"".join(times), dtype=np.int64))
-                digest = hashlib.sha256(shown).hexdigest() if a else ""
-                rows.append((row, None if pd.isna(name) else int(name), len(a), len(b), shown.count(b"|"), int(linked.sum()), digest, code, linked))
+                shown, code, linked = aligner.links(next(keys) if a else [], fresh)
+                digest = hashlib.sha256(shown.encode()).hexdigest() if a else ""
+                rows.append((row, None if pd.isna(name) else int(name), len(a), len(b), shown.count("|"), int(linked.sum()), digest, code, linked))
                 row += 1
             frame = pd.DataFrame(rows, columns=[c.split()[0] for c in ALIGNED.split(", ")])
             frame["doc_id"] = frame["doc_id"].astype("Int64")

@@ -87,6 +87,18 @@ def listed(df):
     return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
 
 
+def test_groups_of_many_tokens_are_counted(monkeypatch):
+    aligner = alignment.Aligner(A, B)
+    for text in ("plain words of a text, 12345 ünïcode 你好 🎉🎉", "ÀÈÌ ☃☃☃"):
+        (keys,) = aligner.cut([aligner.encode(text)])
+        shown, code, times = aligner.links(keys, aligner.learn([keys]))
+        monkeypatch.setattr(alignment, "MANY_LINKS", 1)
+        slow = alignment.Aligner(A, B)
+        other = slow.links(keys, slow.learn([keys]))
+        assert other[0] == shown and other[1].tolist() == code.tolist() and other[2].tolist() == times.tolist()
+        monkeypatch.undo()
+
+
 @pytest.mark.parametrize("frequent", [alignment.FREQUENT, 40, 0])
 def test_against_brute_force(spark, folder, by_hand, frequent):
     rng = random.Random(4)
@@ -103,8 +115,11 @@ def test_windows_are_remembered_within_their_bytes(monkeypatch):
     texts = [f"word{k} and more of it {'x' * 300}{k}" for k in range(1500)] * 2
     for text in texts:
         (keys,) = aligner.cut([aligner.encode(text)])
+        fresh = aligner.learn([keys])
         for key in keys:
-            assert aligner.window(key) == aligner.window(key)
+            (groups, codes), slow = aligner.windows.get(key) or fresh[key], aligner.align(key)
+            assert groups == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in slow)
+            assert len(codes) == 8 * sum(len(a) * len(b) for a, b in slow)
     assert 300 < len(aligner.windows) and aligner.bytes < 202_000
     assert max(map(len, aligner.windows)) <= 2 * alignment.LONGEST
 
