@@ -124,6 +124,8 @@ class FileGroup:
     header: tuple[str, ...]
     quoted_breaks: bool
     leading_rows: int
+    #: No header begins behind this byte.
+    header_at: int
 
     @property
     def charset(self) -> str:
@@ -139,16 +141,16 @@ def file_groups(spark: SparkSession, folder: str, layout: Layout) -> list[FileGr
     """The usable files of a folder, grouped by how they are written."""
     # One short row per file; Spark's own file listing is no smaller.
     found = profile(spark, folder, list(layout.columns)).collect()
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[tuple, list] = {}
     for file in sorted(found, key=lambda f: f["name"]):
         if layout.key not in layout.resolve(file["header"]):
             log.warning("%s has no column %s and is skipped", file["name"], layout.key)
         else:
             how = (file["encoding"], tuple(file["header"]), file["quoted_breaks"], file["leading_rows"])
-            groups.setdefault(how, []).append(file["path"])
+            groups.setdefault(how, []).append(file)
     if not groups:
         raise FileNotFoundError(f"no usable data file in {folder}")
-    kept = [FileGroup(paths, *how) for how, paths in groups.items()]
+    kept = [FileGroup([f["path"] for f in files], *how, max(f["header_at"] for f in files)) for how, files in groups.items()]
     if any(g.charset not in ("UTF-8", "UTF-16", "ISO-8859-1") for g in kept):
         # Spark reads these code pages only with the JVM's full charset list.
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
@@ -172,11 +174,12 @@ def file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def below_header(rows: DataFrame, leading: int) -> DataFrame:
-    """Without the first ``leading`` rows of each file, which are of its first block, by position."""
-    place = F.row_number().over(Window.partitionBy("_path").orderBy("_at"))
-    first = rows.where("_start = 0").withColumn("_place", place).where(F.col("_place") > leading).drop("_place")
-    return first.unionByName(rows.where("_start > 0"))
+def below_header(rows: DataFrame, group: FileGroup) -> DataFrame:
+    """Without the rows up to the header, which are the first of the file's first blocks, by position."""
+    place = F.row_number().over(Window.partitionBy("_path").orderBy("_start", "_at"))
+    early = F.col("_start") <= group.header_at
+    first = rows.where(early).withColumn("_place", place).where(F.col("_place") > group.leading_rows).drop("_place")
+    return first.unionByName(rows.where(~early))
 
 
 def _united(spark, folder, layout, rejected) -> DataFrame:
@@ -197,7 +200,7 @@ def _scan(spark, group: FileGroup, layout, rejected) -> DataFrame:
     )
     rows = placed(reader.csv(group.paths))
     if late:
-        rows = below_header(rows, group.leading_rows)
+        rows = below_header(rows, group)
     kept = rows.where(F.col(EXTRA).isNotNull() if rejected else F.col(EXTRA).isNull())
     chosen: list[Column] = [
         cell(f"c{i}").alias(layout.columns[wanted]) for wanted, i in layout.resolve(group.header).items()

@@ -25,7 +25,7 @@ PATTERN = "*.{csv,CSV,txt,TXT}"
 CODE_PAGES = ["iso-8859-11", "cp874", "latin-1"]
 ONLY_CP874 = {0x80, 0x85, *range(0x91, 0x98)}
 BYTE_ORDER_MARKS = [(codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")]
-#: Bytes of a file in which its header is looked for, and bytes read at a time.
+#: Bytes of a file in which its header is looked for first, and bytes read at a time.
 HEAD_BYTES = 1024 * 1024
 CHUNK = 1024 * 1024
 
@@ -34,7 +34,7 @@ RANGES, RANGE_BYTES, Z = 32, 64 * 1024, 4.0
 
 SAMPLE_SCHEMA = "path string, name string, bytes bigint, bytes_read bigint, bytes_a_row double, rows double, error double"
 PROFILE_SCHEMA = (
-    "path string, name string, bytes bigint, encoding string, quoted_breaks boolean, leading_rows int, "
+    "path string, name string, bytes bigint, encoding string, quoted_breaks boolean, leading_rows bigint, header_at bigint, "
     "header array<string>, lines bigint"
 )
 
@@ -96,6 +96,18 @@ def find_header(head: bytes, encoding: str, targets: Sequence[str]) -> tuple[int
     return place + 1, cells
 
 
+def late_header(path: str, encoding: str, targets: Sequence[str]) -> tuple[int, list[str], int] | None:
+    """As ``find_header``, line by line through a whole file, and the byte at which the header begins."""
+    rows = at = 0
+    with _open(path) as stream:
+        for line in io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n"):
+            if any(t in line for t in targets):
+                return rows + 1, next(csv.reader([line.rstrip("\r\n")]), []), at
+            rows += bool(line.strip())
+            at += len(line.encode(encoding, errors="replace"))
+    return None
+
+
 class Utf8Lines:
     """Are a file's bytes UTF-8? Fed chunk by chunk, judged line by line."""
 
@@ -177,9 +189,13 @@ def _profile(path: str, size: int, targets: Sequence[str]) -> dict:
                 utf8.feed(chunk)
     encoding = guess_encoding(head, utf8.hold(), set(np.flatnonzero(present).tolist()))
     leading, cells = find_header(head, encoding, targets)
+    # The row lies in the beginning, or, where no row there has a wanted name, anywhere.
+    header_at = 0 if leading == 1 else HEAD_BYTES
+    if size > HEAD_BYTES and targets and not any(t in c for t in targets for c in cells):
+        leading, cells, header_at = late_header(path, encoding, targets) or (leading, cells, header_at)
     return {
         "path": path, "name": path.rsplit("/", 1)[-1], "bytes": size, "encoding": encoding,
-        "quoted_breaks": breaks.hold() and encoding != "utf-16", "leading_rows": leading, "header": cells,
+        "quoted_breaks": breaks.hold() and encoding != "utf-16", "leading_rows": leading, "header_at": header_at, "header": cells,
         "lines": lines + (last != 10),
     }
 

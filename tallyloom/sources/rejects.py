@@ -86,7 +86,7 @@ def _judged(spark: SparkSession, group: dl.FileGroup, layout: dl.Layout) -> Data
 def _lines(spark: SparkSession, group: dl.FileGroup) -> DataFrame:
     """(line, readable, source_file) below the header, split by line; bytes stay as they are."""
     raw = dl.placed(spark.read.text(group.paths))
-    raw = dl.below_header(raw.where(F.trim("value") != ""), group.leading_rows)
+    raw = dl.below_header(raw.where(F.trim("value") != ""), group)
     if group.charset == "UTF-8":
         return raw.select(F.col("value").alias("line"), F.is_valid_utf8("value").alias("readable"), "source_file")
     text = F.decode(F.col("value").cast("binary"), group.charset)
@@ -111,4 +111,4 @@ def _records(spark: SparkSession, group: dl.FileGroup) -> DataFrame:
     # A record with exactly one field too many fits the schema and is written out again.
     again = F.concat_ws(",", *(F.coalesce(F.col(n), F.lit("")) for n in names))
     line = F.coalesce(RECORD, again)
-    return dl.below_header(dl.placed(rows), group.leading_rows).select(line.alias("line"), ~F.contains(line, F.lit(UNREADABLE)), "source_file").toDF("line", "readable", "source_file")
+    return dl.below_header(dl.placed(rows), group).select(line.alias("line"), ~F.contains(line, F.lit(UNREADABLE)), "source_file").toDF("line", "readable", "source_file")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.sinks import outputs as out
 from tallyloom.sources import delimited as dl
+from tallyloom.sources import rejects as rj
 from tallyloom.sources import files as fl
 
 HEADER_B = "เลขบัญชี,วันที่เริ่มชำระหนี้,ยอดหนี้เงินกู้"
@@ -228,3 +229,23 @@ def test_failed_run_leaves_the_last_results(spark, tmp_path):
     again = out.Staged(spark, target)
     spark.range(5).write.json(again.path("one"))  # never published
     assert spark.read.json(f"{target}/one").count() == 3
+
+
+def test_header_behind_any_preamble(spark, tmp_path):
+    """Three megabytes of titles, and blocks smaller than that."""
+    lines = [f"title {k}, of a report without end" for k in range(90_000)]
+    rows = [f"{k},2024-01-01,{k}" for k in range(5_000)]
+    (tmp_path / "a.csv").write_text("\n".join(lines + ["", ",".join(dl.SCHEDULE.columns)] + rows) + "\n")
+    (tmp_path / "b.csv").write_text(",".join(dl.SCHEDULE.columns) + "\n7000,x,1\n")
+    (tmp_path / "c.csv").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("128m", "500k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = dl.read_extract(spark, str(tmp_path), dl.SCHEDULE)
+            ids = sorted(int(r.acc_no) for r in found.collect())
+            strict = rj.read_strict(spark, str(tmp_path), dl.SCHEDULE).count()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert ids == [*range(5_000), 7_000] and strict == 5_001
+    assert [r.name for r in dl.skipped_files(spark, str(tmp_path), dl.SCHEDULE).collect()] == ["c.csv"]
