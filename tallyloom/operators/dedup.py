@@ -6,6 +6,8 @@ balance as a number. A missing account is its own row but never a conflict.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,19 @@ def dedup(typed: DataFrame) -> DataFrame:
     return typed.select(*IDENTITY).distinct()
 
 
+def first_rows(typed: DataFrame, order: Sequence[str] = ("source_file",), into: str = "copies") -> DataFrame:
+    """The first row of each (account, date, balance), with what else it holds, and how many copies there were.
+
+    ``order`` says which row is first, in files ``read_extract(…, with_place=True)`` the file's name
+    and the row's place in it; of rows equal in it the least. Rows meet as one candidate per
+    task, so a row with very many copies is never gathered. Null cells equal each other.
+    """
+    rest = [c for c in typed.columns if c not in IDENTITY and c not in order]
+    row = F.struct(*order, *rest)
+    first = typed.groupBy(*IDENTITY).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias(into))
+    return first.select(*IDENTITY, "_first.*", into).select(*typed.columns, into)
+
+
 def _per_account(typed: DataFrame) -> DataFrame:
     """Per account: rows, and distinct (date, balance) pairs counting nulls as equal."""
     pairs = typed.groupBy(*IDENTITY).agg(F.count(F.lit(1)).alias("rows"))

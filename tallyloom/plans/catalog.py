@@ -79,6 +79,12 @@ def dedup_b(spark, folder):
     return dd.dedup(ledgers(spark, folder).typed)
 
 
+@query
+def dedup_b_with_source(spark, folder):
+    """The first copy of each row by file name, with its file and the number of copies."""
+    return dd.first_rows(ledgers(spark, folder).typed)
+
+
 @query
 def dedup_report(spark, folder):
     return ledgers(spark, folder).dedup_report

@@ -274,6 +274,8 @@ _PHASES = """P as (select *, case when n <= 4 then 1 when n <= 6 then 2 when n <
 
 ORACLE = {
     "dedup_b": f"with {LEDGERS} select * from D",
+    "dedup_b_with_source": f"""with {LEDGERS} select acc_no, start_date_be, loan_balance, min(source_file) source_file, count(*) copies
+        from B group by 1, 2, 3""",
     "dedup_report": f"""with {LEDGERS}, G as (
         select acc_no, count(*) r, count(distinct (start_date_be, loan_balance)) p from B group by 1)
         select cast(sum(r) as bigint) original_rows, cast(sum(p) as bigint) kept_rows,

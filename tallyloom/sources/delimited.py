@@ -76,20 +76,21 @@ SCHEDULE = Layout(
 )
 
 
-def read_extract(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
+def read_extract(spark: SparkSession, folder: str, layout: Layout, with_place: bool = False) -> DataFrame:
     """All usable files of a folder, cells as text, with the file each row came from.
 
     Lines with more fields than the header are left out (``rejected_lines`` lists
     them); short lines are filled with nulls; line breaks inside quotes belong to their
     cell; a file without the key column is skipped with a warning (``skipped_files`` lists
-    them). Columns no file has are absent.
+    them). Columns no file has are absent. ``with_place`` adds ``place``, by which the rows of
+    a file are in its order however it is split.
     """
-    return _united(spark, folder, layout, rejected=False)
+    return _united(spark, folder, layout, False, with_place)
 
 
 def rejected_lines(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
     """The rows ``read_extract`` leaves out, with what stood beyond the last column."""
-    return _united(spark, folder, layout, rejected=True)
+    return _united(spark, folder, layout, True)
 
 
 def load_system(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,12 +183,12 @@ def below_header(rows: DataFrame, group: FileGroup) -> DataFrame:
     return first.unionByName(rows.where(~early))
 
 
-def _united(spark, folder, layout, rejected) -> DataFrame:
-    scans = [_scan(spark, group, layout, rejected) for group in file_groups(spark, folder, layout)]
+def _united(spark, folder, layout, rejected, with_place=False) -> DataFrame:
+    scans = [_scan(spark, group, layout, rejected, with_place) for group in file_groups(spark, folder, layout)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def _scan(spark, group: FileGroup, layout, rejected) -> DataFrame:
+def _scan(spark, group: FileGroup, layout, rejected, with_place) -> DataFrame:
     names = [f"c{i}" for i in range(len(group.header))]
     late = group.leading_rows > 1
     reader = (
@@ -206,4 +207,7 @@ def _scan(spark, group: FileGroup, layout, rejected) -> DataFrame:
         cell(f"c{i}").alias(layout.columns[wanted]) for wanted, i in layout.resolve(group.header).items()
     ]
     more = [F.col(EXTRA).alias("beyond_header")] if rejected else []
+    if with_place:
+        # A block's rows keep their order within one task; a later block begins at a later byte.
+        more.append(F.struct(F.col("_start").alias("block"), F.col("_at").alias("row")).alias("place"))
     return kept.select(*chosen, "source_file", *more)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.plans.reconcile import Reconciliation
 from tallyloom.sinks import outputs as out
+from tallyloom.operators import dedup as dd
 from tallyloom.sources import delimited as dl
 from tallyloom.sources import rejects as rj
 from tallyloom.sources import files as fl
@@ -249,3 +250,28 @@ def test_header_behind_any_preamble(spark, tmp_path):
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         assert ids == [*range(5_000), 7_000] and strict == 5_001
     assert [r.name for r in dl.skipped_files(spark, str(tmp_path), dl.SCHEDULE).collect()] == ["c.csv"]
+
+
+def test_first_row_in_file_order_whatever_the_splits(spark, tmp_path):
+    head = "เลขบัญชี,วันที่เริ่มชำระหนี้,ยอดหนี้เงินกู้,note\n"
+    for name, shift in (("b.csv", 0), ("a.csv", 500)):
+        rows = "".join(f"{(k * 7 + shift) % 3000},05/07/2567,{k % 3}.00,{'x' * (k % 50)}\n" for k in range(12_000))
+        (tmp_path / name).write_text(head + rows, encoding="utf-8")
+    seen = {}
+    for name, shift in (("a.csv", 500), ("b.csv", 0)):
+        for k in range(12_000):
+            key = (str((k * 7 + shift) % 3000), float(k % 3))
+            seen.setdefault(key, [name, 0])[1] += 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    places = []
+    for size in ("128m", "40k", "7k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            typed = dd.typed_counterpart(dl.read_extract(spark, str(tmp_path), dl.COUNTERPART, with_place=True))
+            found = dd.first_rows(typed, ("source_file", "place")).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert {(r.acc_no, r.loan_balance): [r.source_file, r.copies] for r in found} == seen
+        rank = {(r.acc_no, r.loan_balance): n for n, r in enumerate(sorted(found, key=lambda r: (r.source_file, r.place.block, r.place.row)))}
+        places.append(rank)
+    assert places[0] == places[1] == places[2]
