@@ -16,12 +16,13 @@ from tallyloom.operators import dedup as dd
 from tallyloom.operators import instalment as ins
 from tallyloom.operators import lookups as lk
 from tallyloom.operators import matching as mt
+from tallyloom.operators import sketches as sk
 from tallyloom.operators import summary as sm
 from tallyloom.operators import tabular as tb
 from tallyloom.operators import topn as tn
 from tallyloom.operators import waterfall as wf
 from tallyloom.operators.literals import literal_rows
-from tallyloom.operators.skew import SkewGuard
+from tallyloom.operators.skew import SkewGuard, expand_copies
 from tallyloom.plans.reconcile import EXACT_MONEY, Reconciliation
 from tallyloom.session import fill_cores, settle, tune, work_folder
 from tallyloom.sinks import outputs as out
@@ -188,6 +189,32 @@ def severity_bands(spark, folder):
     )
 
 
+@query
+def sketched_error_stats(spark, folder):
+    """Statistics of each comparison from its daily sketches, and whether their ranks hold."""
+    r = ledgers(spark, folder)
+    errors = [
+        expand_copies(frame.where(mt.is_error())).select(F.lit(name).alias("comparison"), F.col("day_b").alias("day"), F.col("bal_diff").alias("gap"))
+        for name, frame in (("ab", r.ab), ("sb", r.sb))
+    ]
+    rows = settle(errors[0].unionByName(errors[1]))
+    stats = settle(sk.statistics(sk.sketches(rows, ["comparison", "day"], "gap"), ["comparison"]))
+
+    def holds(name: str, share: float) -> Column:
+        below, upto = (F.count_if(c) / F.count(F.lit(1)) for c in (F.col("gap") < F.col(name), F.col("gap") <= F.col(name)))
+        return (below <= share + sk.RANK_ERROR) & (upto >= share - sk.RANK_ERROR)
+
+    # One row per comparison.
+    ranked = rows.join(F.broadcast(stats), "comparison").groupBy("comparison").agg(
+        *(F.max(c).alias(c) for c in ("n", "mean", "std", "min", "max")),
+        reduce(lambda a, b: a & b, (holds(name, share) for name, share in sk.QUANTILES.items())).alias("within_error"),
+    )
+    return ranked.select(
+        "comparison", "n", F.round("mean", 4).alias("mean"), F.round("std", 2).alias("std"), F.round("min", 4).alias("min"),
+        F.round("max", 4).alias("max"), "within_error",
+    )
+
+
 @query
 def scatter_sample(spark, folder):
     return tn.scatter_sample(mt.ab_rows(ledgers(spark, folder).ab, errors_only=True))

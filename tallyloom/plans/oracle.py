@@ -342,6 +342,12 @@ ORACLE = {
           cast(cast(round(bal_a * 100) as bigint) as varchar) || '|=' || cast(cast(round(bal_b * 100) as bigint) as varchar))) n
           from AB where mismatch <> 'perfect') where n <= 500"""
     ),
+    "sketched_error_stats": _with(
+        """select comparison, count(*) n, round(avg(bal_diff), 4) mean, round(stddev_pop(bal_diff), 2) std,
+          round(min(bal_diff), 4) "min", round(max(bal_diff), 4) "max", true within_error
+        from (select 'ab' comparison, bal_diff, mismatch from AB union all select 'sb', bal_diff, mismatch from SB)
+        where mismatch <> 'perfect' group by 1"""
+    ),
     "search_account": _with(f"select {_AB_ROW} from AB where mismatch <> 'perfect' and acc_b like '%99%'"),
     "unmatched_b": f"""with {LEDGERS} select acc_b, acc_key, date_b, bal_b from CB
         where not exists (select 1 from CA where CA.acc_key = CB.acc_key)""",
