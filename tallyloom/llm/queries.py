@@ -60,7 +60,7 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_token_lengths(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
-    return token_lengths.limits_answered(token_lengths.length_histogram(docs, groups=["lang"]), ["lang"])
+    return token_lengths.length_report(token_lengths.length_histogram(docs, groups=["lang"]), "lang")
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -90,30 +90,70 @@ def limits_answered(histogram: DataFrame, groups: list[str] | None = None) -> Da
     )
 
 
+#: Context limits and shares of documents that a report answers.
+LIMITS = [2**k for k in range(7, 18)]
+SHARES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+
+
+def chosen(answers: DataFrame, limits: list[int], shares: list[float], groups: list[str] | None = None) -> DataFrame:
+    """Rows of ``limits_answered`` for limits of any size, and for quantiles of the lengths.
+
+    Read off the suffix sums: what is beyond a limit is beyond the longest length within it; a
+    quantile is the smallest length that at least that share of documents has or is below.
+    ``kind`` tells limits from quantiles, whose share is in ``share``.
+    """
+    groups = groups or []
+    names = [c for c in answers.columns if c not in groups]
+    row, limit = F.struct(*names), F.col("context_limit")
+    every = (F.max(F.col("docs_up_to") + F.col("docs_beyond")).alias("docs_total"), F.max("tokens_total").alias("tokens_total"))
+    within = [F.max(F.when(limit <= at, row)).alias(f"l{k}") for k, at in enumerate(limits)]
+    reached = [F.min(F.when(F.col("share_up_to") >= share, row)).alias(f"q{k}") for k, share in enumerate(shares)]
+    one = answers.groupBy(*groups).agg(*every, *within, *reached).filter("docs_total is not null")
+    rows = []
+    for k, at in enumerate(limits):
+        found, docs, tokens = F.col(f"l{k}"), F.col("docs_total"), F.col("tokens_total")
+        beyond, tokens_beyond = F.coalesce(found["docs_beyond"], docs), F.coalesce(found["tokens_beyond"], tokens)
+        values = {
+            "context_limit": F.lit(at).cast("long"),
+            "docs": F.when(found["context_limit"] == at, found["docs"]).otherwise(F.lit(0)),
+            "docs_up_to": docs - beyond,
+            "share_up_to": (docs - beyond) / docs,
+            "docs_beyond": beyond,
+            "tokens_beyond": tokens_beyond,
+            "tokens_total": tokens,
+            "tokens_truncated": tokens - tokens_beyond + F.lit(at) * beyond,
+        }
+        rows.append(_chosen("limit", F.lit(None).cast("double"), values))
+    for k, share in enumerate(shares):
+        rows.append(_chosen("quantile", F.lit(float(share)), {name: F.col(f"q{k}.{name}") for name in names}))
+    return one.select(*groups, F.inline(F.array(*rows)))
+
+
+def _chosen(kind: str, share: Column, values: dict[str, Column]) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), share.alias("share"), *(v.alias(n) for n, v in values.items()))
+
+
+def length_report(histogram: DataFrame, group: str, limits: list[int] | None = None, shares: list[float] | None = None) -> DataFrame:
+    """Every occurring length, the limits and the quantiles, for each group and (scope ``all``) for all documents.
+
+    ``histogram`` is by the one group; the whole histogram is its sum, so texts are encoded once.
+    """
+    limits, shares = LIMITS if limits is None else limits, SHARES if shares is None else shares
+    whole = histogram.groupBy("length").agg(F.sum("docs").alias("docs"))
+    parts = []
+    for scope, counts, groups in (("group", histogram, [group]), ("all", whole, [])):
+        answers = limits_answered(counts, groups)
+        each = answers.withColumns({"kind": F.lit("length"), "share": F.lit(None).cast("double")})
+        both = each.unionByName(chosen(answers, limits, shares, groups)).withColumn("scope", F.lit(scope))
+        parts.append(both if groups else both.withColumn(group, F.lit(None).cast(histogram.schema[group].dataType)))
+    return parts[0].unionByName(parts[1])
+
+
 def truncated_totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
     """(context_limit, docs_up_to, tokens_truncated) of any limits, from an ungrouped histogram."""
-    length, docs = F.col("length"), F.col("docs")
-    sums = []
-    for k, limit in enumerate(limits):
-        sums.append(F.sum(F.when(length <= limit, docs).otherwise(0)).alias(f"d{k}"))
-        sums.append(F.sum(F.least(length, F.lit(limit)).cast("decimal(38,0)") * docs).cast("long").alias(f"t{k}"))
-    answers = [
-        F.struct(
-            F.lit(limit).cast("long").alias("context_limit"),
-            F.coalesce(f"d{k}", F.lit(0)).alias("docs_up_to"),
-            F.coalesce(f"t{k}", F.lit(0)).alias("tokens_truncated"),
-        )
-        for k, limit in enumerate(limits)
-    ]
-    return histogram.agg(*sums).select(F.inline(F.array(*answers)))
+    return chosen(limits_answered(histogram), limits, []).select("context_limit", "docs_up_to", "tokens_truncated")
 
 
 def length_quantile(histogram: DataFrame, shares: list[float]) -> DataFrame:
     """(share, length): the smallest length that at least that share of documents has or is below."""
-    answers = limits_answered(histogram)
-    smallest = [
-        F.struct(F.lit(s).alias("share"), F.col(f"q{k}").alias("length")) for k, s in enumerate(shares)
-    ]
-    return answers.agg(
-        *(F.min(F.when(F.col("share_up_to") >= s, F.col("context_limit"))).alias(f"q{k}") for k, s in enumerate(shares))
-    ).select(F.inline(F.array(*smallest)))
+    return chosen(limits_answered(histogram), [], shares).select("share", F.col("context_limit").alias("length"))

@@ -129,5 +129,18 @@ def test_length_histogram_answers(spark, folder, reference, monkeypatch):
         assert r.docs_up_to == sum(n <= r.context_limit for n in sizes)
     for r in token_lengths.length_quantile(histogram, [0.01, 0.5, 0.9, 1.0]).collect():
         assert r.length == next(n for k, n in enumerate(sizes, 1) if k / len(sizes) >= r.share)
+    report = token_lengths.length_report(token_lengths.length_histogram(docs, groups=["lang"]), "lang", [1, 50, 10**7], [0.3, 1.0]).collect()
+    assert {r.scope for r in report} == {"group", "all"} and {r.kind for r in report} == {"length", "limit", "quantile"}
+    for r in report:
+        own = sizes if r.scope == "all" else sorted(n for lang, n in rows if lang == r.lang)
+        limit = r.context_limit
+        if r.kind == "quantile":
+            assert limit == next(n for k, n in enumerate(own, 1) if k / len(own) >= r.share)
+        assert r.docs == own.count(limit) and r.docs_up_to == sum(n <= limit for n in own)
+        assert r.tokens_total == sum(own) and r.tokens_beyond == sum(n for n in own if n > limit)
+        assert r.tokens_truncated == sum(min(n, limit) for n in own) and r.docs_beyond == len(own) - r.docs_up_to
+    assert sum(r.kind != "length" for r in report) == 5 * (1 + len({lang for lang, _ in rows}))
+    none = token_lengths.length_histogram(no_documents(spark), groups=["lang"])
+    assert token_lengths.length_report(none, "lang").collect() == []
     empty = token_lengths.length_histogram(no_documents(spark))
     assert token_lengths.limits_answered(empty).collect() == []
