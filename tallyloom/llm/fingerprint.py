@@ -1,11 +1,13 @@
 """Merkle trees over a document's sections and paragraphs.
 
-A paragraph is a line with its line end, a leaf a phrase of a paragraph (up to 160
-characters and the punctuation and blanks behind them). A section ends behind a blank line,
+A paragraph is a line with its line end, a leaf a phrase of a paragraph with the punctuation
+and blanks behind it. A phrase of more than 160 characters is cut where a hash of the last four
+says so, so that the cuts move along with the text whatever its script is. A section ends behind a blank line,
 before a line that begins with ``#``, and behind a paragraph whose digest is divisible by
 16, so that texts without marks have sections too and an edit changes only its own. Leaves
-cover the whole text: equal roots mean equal texts. Two trees are alike by the characters of
-the leaves they share; branches that differ locate an edit.
+cover the whole text: equal roots mean equal texts. A fingerprint is the root and, section by
+section, the leaves' digests with their sizes, so two fingerprints alone tell how alike their
+texts are, by the characters of the leaves they share, and where an edit begins.
 
 Defined cases: a null text counts as empty; two empty texts are alike by 1, an empty and
 another by 0; very long texts only make more leaves; equal texts have equal fingerprints.
@@ -17,13 +19,22 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PHRASE = re.compile(r"[^.,;:!?]{0,160}[.,;:!?]*\s*")
+#: Marks that end a phrase, in the scripts that have some.
+MARKS = ".,;:!?。、，；：！？…؟،؛।॥။།"
+PHRASE = re.compile(f"[^{MARKS}]*[{MARKS}]*\\s*")
+#: Characters of a phrase that is not cut, of the shortest and the longest piece of one that is.
+WHOLE, SHORTEST, LONGEST = 160, 16, 1_024
+#: Factors of the last four characters, and of their sum; a cut where its first six bits are 0.
+FACTORS, MIX, TURN = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F), 0x9E3779B97F4A7C15, 58
+#: Bytes of a leaf's digest in a fingerprint.
+SHORT = 6
 #: Documents of one stretch of the order in which neighbours are compared, and the stretches
 #: beyond which they rather grow: their bounds are the only thing the driver holds.
 STRETCH, MOST_STRETCHES = 10_000, 50_000
@@ -37,6 +48,25 @@ def _hash(kind: bytes, data: bytes) -> bytes:
     return hashlib.blake2b(kind + data, digest_size=16).digest()
 
 
+def phrases(line: str) -> list[str]:
+    """The leaves of a paragraph."""
+    return [piece for phrase in PHRASE.findall(line) for piece in (pieces(phrase) if len(phrase) > WHOLE else [phrase]) if piece]
+
+
+def pieces(phrase: str) -> list[str]:
+    codes = np.frombuffer(phrase.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    mixed = sum(codes[3 - k : len(codes) - k] * np.uint64(f) for k, f in enumerate(FACTORS)) * np.uint64(MIX)
+    out, start = [], 0
+    for end in [*(np.flatnonzero(mixed >> np.uint64(TURN) == 0) + 4).tolist(), len(phrase)]:
+        while end - start > LONGEST:
+            out.append(phrase[start : start + LONGEST])
+            start += LONGEST
+        if end - start >= SHORTEST or end == len(phrase):
+            out.append(phrase[start:end])
+            start = end
+    return out
+
+
 class Tree:
     """sections: [(digest, [(paragraph digest, [(leaf digest, length), ...]), ...]), ...]"""
 
@@ -47,7 +77,7 @@ class Tree:
             node = memo.get(line)
             if node is None:
                 full = line + "\n"
-                leaves = [(_hash(b"l", p.encode()), len(p)) for p in PHRASE.findall(full) if p]
+                leaves = [(_hash(b"l", p.encode()), len(p)) for p in phrases(full)]
                 node = memo[line] = (_hash(b"p", b"".join(d for d, _ in leaves)), leaves)
             if current and line.startswith("#"):
                 sections.append(current)
@@ -64,25 +94,43 @@ class Tree:
     def paragraphs(self) -> list:
         return [p for _, s in self.sections for p in s]
 
+    @cached_property
+    def fingerprint(self) -> str:
+        """``root:section|section…``, a section being ``digest.size`` of its leaves."""
+        shown = ("_".join(f"{d[:SHORT].hex()}.{n:x}" for _, inner in s for d, n in inner) for _, s in self.sections)
+        return f"{self.root}:{'|'.join(shown)}"
+
+    @cached_property
     def leaves(self) -> Counter:
-        """Characters by leaf digest."""
-        if not hasattr(self, "_leaves"):
-            self._leaves = Counter()
-            for _, inner in self.paragraphs():
-                for digest, size in inner:
-                    self._leaves[digest] += size
-        return self._leaves
+        return leaves_of(self.fingerprint)
 
 
-def likeness(a: Tree, b: Tree) -> float:
-    """Shared characters of leaves over all characters, twice: 1 for equal trees."""
-    if a.root == b.root:
+def leaves_of(fingerprint: str) -> Counter:
+    """Characters by leaf, read from a fingerprint."""
+    sizes: Counter = Counter()
+    for leaf in fingerprint.partition(":")[2].replace("|", "_").split("_"):
+        digest, _, size = leaf.partition(".")
+        if size:
+            sizes[digest] += int(size, 16)
+    return sizes
+
+
+def likeness(a: str, b: str, x: Counter | None = None, y: Counter | None = None) -> float:
+    """Of two fingerprints: shared characters of leaves over all characters, twice; 1 for equal ones.
+
+    ``x`` and ``y`` are their leaves, where they have been read before.
+    """
+    if a == b:
         return 1.0
-    x, y = a.leaves(), b.leaves()
+    x, y = leaves_of(a) if x is None else x, leaves_of(b) if y is None else y
     if len(y) < len(x):
         x, y = y, x
     shared = sum(min(size, y[digest]) for digest, size in x.items() if digest in y)
-    return 2.0 * shared / (sum(x.values()) + sum(y.values()))
+    return 2.0 * shared / (x.total() + y.total())
+
+
+def alike(a: Tree, b: Tree) -> float:
+    return likeness(a.fingerprint, b.fingerprint, a.leaves, b.leaves)
 
 
 def edit_start(a: Tree, b: Tree) -> int | None:
@@ -168,8 +216,8 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         other = Tree(changed, memo)
         parts = tree.paragraphs()
         return (
-            mine[2], len(mine[3]), hashlib.sha256(changed.encode()).hexdigest(), tree.root, other.root,
-            likeness(tree, other), likeness(tree, after_tree), len(tree.sections), len(parts),
+            mine[2], len(mine[3]), hashlib.sha256(changed.encode()).hexdigest(), tree.fingerprint, other.fingerprint,
+            alike(tree, other), alike(tree, after_tree), len(tree.sections), len(parts),
             sum(len(inner) for _, inner in parts), edit_start(tree, other),
         )
 

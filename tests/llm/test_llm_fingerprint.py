@@ -1,6 +1,8 @@
 import hashlib
-import sys
 import os
+import random
+import sys
+from collections import Counter
 
 import pytest
 
@@ -10,6 +12,15 @@ from llm_tables import no_documents, odd_documents
 from tallyloom.llm import fingerprint as fp
 
 
+def likeness(a, b):
+    """Shared leaves, leaf by leaf, of the texts themselves."""
+    if a == b:
+        return 1.0
+    x, y = ([p for line in t.split("\n") for p in fp.phrases(line + "\n")] if t else [] for t in (a, b))
+    shared = sum(2 * len(leaf) * n for leaf, n in (Counter(x) & Counter(y)).items())
+    return shared / (sum(map(len, x)) + sum(map(len, y)))
+
+
 def expected(rows):
     """(doc_id, edited sha, same as edited, near_next) by a plain walk in descending order."""
     known = sorted((r for r in rows if r[0] is not None), key=lambda r: (-r[0], r[1]))
@@ -18,11 +29,11 @@ def expected(rows):
         following = known[(k + 1) % len(known)][1]
         cut = len(text) // 3
         changed = text[: len(text) - cut] + following[:cut]
-        out.append((key, len(text), hashlib.sha256(changed.encode()).hexdigest(), text == changed, fp.likeness(fp.Tree(text), fp.Tree(following))))
+        out.append((key, len(text), hashlib.sha256(changed.encode()).hexdigest(), text == changed, likeness(text, following)))
     for key, text in rows:
         if key is None:
             changed = text[: len(text) - len(text) // 3]
-            out.append((None, len(text), hashlib.sha256(changed.encode()).hexdigest(), text == changed, fp.likeness(fp.Tree(text), fp.Tree(""))))
+            out.append((None, len(text), hashlib.sha256(changed.encode()).hexdigest(), text == changed, likeness(text, "")))
     return sorted(out, key=repr)
 
 
@@ -38,7 +49,11 @@ def test_every_row_meets_its_successor(spark, folder, monkeypatch, stretch):
     monkeypatch.setattr(fp, "STRETCH", stretch)
     for docs in (odd_documents(spark), spark.read.parquet(f"{folder}/documents.parquet")):
         rows = [(r.doc_id, r.text or "") for r in docs.collect()]
-        assert found(fp.fingerprint_edits(docs)) == expected(rows)
+        out = fp.fingerprint_edits(docs).checkpoint()
+        for got, want in zip(found(out), expected(rows), strict=True):
+            assert got[:4] == want[:4] and got[4] == pytest.approx(want[4])
+        for r in out.collect():
+            assert r.near_edited == fp.likeness(r.fingerprint, r.edited_fingerprint)
 
 
 def test_empty_table_and_single_row(spark):
@@ -56,7 +71,7 @@ def test_roots_are_equal_for_equal_texts_only():
 
 def test_leaves_cover_the_text():
     text = "One, two.  Three!\n\n# Head\n" + "y" * 1000 + "\nlast"
-    assert sum(fp.Tree(text).leaves().values()) == len(text) + 1  # and the last line's end
+    assert sum(fp.Tree(text).leaves.values()) == len(text) + 1  # and the last line's end
 
 
 def test_differing_branches_locate_the_edit():
@@ -66,12 +81,35 @@ def test_differing_branches_locate_the_edit():
     a, b = fp.Tree(before), fp.Tree("\n".join(lines))
     true_start = before.index("Paragraph 120 ") + len("Paragraph 120 has a ")
     assert true_start - 170 <= fp.edit_start(a, b) <= true_start
-    assert 0.99 < fp.likeness(a, b) < 1.0
+    assert 0.99 < fp.alike(a, b) < 1.0
     same = sum(x == y for x, y in zip(a.sections, b.sections))
     assert same >= len(a.sections) - 2
 
 
 def test_likeness_limits():
-    assert fp.likeness(fp.Tree(""), fp.Tree("")) == 1.0
-    assert fp.likeness(fp.Tree(""), fp.Tree("abc")) == 0.0
-    assert fp.likeness(fp.Tree("abc. def."), fp.Tree("xyz, uvw")) == 0.0
+    assert fp.alike(fp.Tree(""), fp.Tree("")) == 1.0
+    assert fp.alike(fp.Tree(""), fp.Tree("abc")) == 0.0
+    assert fp.alike(fp.Tree("abc. def."), fp.Tree("xyz, uvw")) == 0.0
+
+
+@pytest.mark.parametrize("letters", ["abcdefgh ", "你好世界天地人和", "กขคงจฉชซ", "абвгдежз ", "a", "ab"])
+def test_one_character_leaves_long_texts_alike(letters):
+    """No marks to cut at, in any script."""
+    rng = random.Random(6)
+    text = "".join(rng.choice(letters) for _ in range(10_000))
+    a = fp.Tree(text)
+    for at in (0, 5_000, 9_999):
+        b = fp.Tree(text[:at] + "x" + text[at:])
+        assert b.root != a.root
+        if len(set(text)) > 2:
+            assert fp.alike(a, b) > 0.9
+    assert sum(a.leaves.values()) == len(text) + 1
+    assert max(map(len, fp.phrases(text))) <= fp.LONGEST
+
+
+def test_fingerprints_alone_tell_the_likeness():
+    before = "".join(f"第{k}句话说的是事情{k * k}。" for k in range(900))
+    after = before.replace("第450句", "第四百五十句")
+    a, b = fp.Tree(before).fingerprint, fp.Tree(after).fingerprint
+    assert a != b and 0.99 < fp.likeness(a, b) < 1 and fp.likeness(a, a) == 1.0
+    assert fp.leaves_of(a).total() == len(before) + 1 and fp.leaves_of(fp.Tree("").fingerprint).total() == 0
