@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import settle
+
 from tallyloom.functions.labels import keyword_class
 from tallyloom.operators.literals import literal_rows
 
@@ -177,6 +179,36 @@ def nest_links(df: DataFrame, parent: str, child: str, root: str) -> DataFrame:
     return top.unionByName(leaves)
 
 
+#: Children of one nested document.
+NESTED = 100
+
+
+def nested_parts(df: DataFrame, parent: str, order: Sequence[str], size: int = NESTED) -> DataFrame:
+    """(parent, part, children): the tree as nested documents of at most ``size`` children.
+
+    Children are structs of all other columns, in the order given, which must be unique; part
+    ``k`` holds the places ``k * size + 1`` to ``(k + 1) * size`` of its parent. Rows are ordered in
+    ranges, so a parent with very many children is spread over many tasks; a row's place is its
+    place in its range and the rows of the parent in the ranges before.
+    """
+    rows = df.select(parent, *order, *(c for c in df.columns if c != parent and c not in order))
+    ranged = settle(rows.repartitionByRange(parent, *order).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy(parent, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    # As many rows as a parent has ranges.
+    before = Window.partitionBy(parent).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(parent, "_range").orderBy(*order))
+    placed = ranged.withColumn("_place", inside).withColumnRenamed(parent, "_parent").withColumnRenamed("_range", "_of")
+    same = F.col("_parent").eqNullSafe(F.col(parent)) & (F.col("_of") == F.col("_range"))
+    part = F.floor((F.col("_place") + F.col("_before") - 1) / size).cast("bigint")
+    child = F.struct(*(c for c in rows.columns if c != parent))
+    return (
+        placed.join(offsets, same)
+        .groupBy(parent, part.alias("part"))
+        .agg(F.sort_array(F.collect_list(child)).alias("children"))
+    )
+
+
 def split_list(df: DataFrame, column: str, item: str) -> DataFrame:
     """A comma-separated list to one row per item."""
     return df.withColumn(item, F.explode(F.split(F.col(column), r",\s*"))).drop(column)

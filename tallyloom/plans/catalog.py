@@ -698,6 +698,14 @@ def nest_children(spark, folder):
     return tb.nest_links(_phases(spark, folder), "phase", "event_id", "timeline")
 
 
+@query
+def nested_phases(spark, folder):
+    """The phases as nested documents of a hundred events, the events' ids read back from each."""
+    parts = tb.nested_parts(_phases(spark, folder), "phase", ["ts", "event_id"])
+    ids = F.array_join(F.transform("children", lambda c: c["event_id"].cast("string")), ",")
+    return parts.select("phase", "part", F.size("children").alias("events"), ids.alias("event_ids"))
+
+
 @query
 def edge_endpoints(spark, folder):
     nation, region = dv.table(spark, folder, "nation"), dv.table(spark, folder, "region")

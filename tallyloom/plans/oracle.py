@@ -481,6 +481,8 @@ ORACLE = {
     "phase_by_position": f"with {_PHASES} select event_id, event_type, phase from P",
     "nest_children": f"""with {_PHASES} select 'timeline' parent, cast(phase as varchar) child, 1 depth from P group by 2
         union all select cast(phase as varchar), cast(event_id as varchar), 2 from P""",
+    "nested_phases": f"""with {_PHASES}, R as (select *, (row_number() over (partition by phase order by ts, event_id) - 1) // 100 part from P)
+        select phase, part, count(*) events, string_agg(cast(event_id as varchar), ',' order by ts, event_id) event_ids from R group by 1, 2""",
     "edge_endpoints": """select 'N' || n_nationkey source, 'R' || n_regionkey target, n_name source_name, 1 source_grp,
         r_name target_name, 2 target_grp from nation join region on n_regionkey = r_regionkey""",
     "capability_systems": "select distinct c_nationkey, c_mktsegment segment from customer",

@@ -156,3 +156,19 @@ def test_edges(spark):
     nodes = spark.createDataFrame([("a", 1), ("b", 2)], "id string, grp int")
     edges = spark.createDataFrame([("a", "b"), ("a", "z")], "source string, target string")
     assert one(lk.edge_endpoints(edges, nodes, "id", ["grp"])) == {"target": "b", "source": "a", "source_grp": 1, "target_grp": 2}
+
+
+def test_nested_parts_hold_every_child_once(spark):
+    rows = [("hot", k * 7 % 5000, f"c{k}") for k in range(5_000)] + [("small", k, "x") for k in range(3)] + [(None, 1, "y")]
+    df = spark.createDataFrame(rows, "p string, at int, name string").repartition(9)
+    parts = tb.nested_parts(df, "p", ["at"], size=64).collect()
+    by_parent = {}
+    for r in sorted(parts, key=lambda r: (r.p or "", r.part)):
+        assert 0 < len(r.children) <= 64
+        by_parent.setdefault(r.p, []).extend((c.at, c["name"]) for c in r.children)
+    for p in ("hot", "small", None):
+        assert by_parent[p] == sorted((at, name) for q, at, name in rows if q == p)
+    assert sum(r.p == "hot" for r in parts) == -(-5000 // 64)
+    links = tb.nest_links(df.where("p is not null"), "p", "name", "root")
+    assert links.where("depth = 2").count() == sum(len(v) for p, v in by_parent.items() if p)
+    assert tb.nested_parts(df.limit(0), "p", ["at"]).collect() == []
