@@ -8,9 +8,10 @@ import time
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions import comparing as cmp
 from tallyloom.operators import dedup as dd
 from tallyloom.operators import matching as mt
 from tallyloom.operators import summary as sm
@@ -119,7 +120,6 @@ def report_payload(r: Reconciliation) -> DataFrame:
             series(sm.class_shares(sm.class_counts(*counted))).alias(f"classes_{name}"),
         ]
 
-    lists = [df.agg(F.count(F.lit(1)).alias("n")).scalar().alias(name) for name, df in record_lists(r).items()]
     parts = compared("ab", r.ab, r.ab_counted)
     stats = [row(r.dedup_report).alias("dedup"), row(r.ab_summary).alias("ab")]
     if r.schedule is not None:
@@ -132,13 +132,27 @@ def report_payload(r: Reconciliation) -> DataFrame:
         parts.append(series(sm.class_shares(sm.class_counts(*r.three_counted))).alias("classes_three_way"))
     stats.append(row(sm.date_diff_stats(r.ab)).alias("date_gaps"))
     charts = [row(sm.quality_metrics(r.ab_summary)).alias("quality"), *parts]
-    document = F.struct(
-        F.lit(VERSION).alias("version"),
-        F.struct(*stats).alias("stats"),
-        F.struct(*lists).alias("list_rows"),
-        F.struct(*charts).alias("charts"),
-    )
-    return r.system.sparkSession.range(1).select(F.to_json(document, JSON_OPTIONS).alias("payload"))
+    filled = r.system.sparkSession.range(1).select(F.struct(*stats).alias("stats"), F.struct(*charts).alias("charts"))
+    document = F.struct(F.lit(VERSION).alias("version"), "stats", list_rows(r).alias("list_rows"), "charts")
+    return filled.select(F.to_json(document, JSON_OPTIONS).alias("payload"))
+
+
+def list_rows(r: Reconciliation) -> Column:
+    """Size of each record list, from the counters in the column ``stats``: no list is built for it."""
+
+    def errors(name: str) -> Column:
+        return sum((F.col(f"stats.{name}.{c}") for c in (cmp.BALANCE_ONLY, cmp.BOTH)), F.col(f"stats.{name}.{cmp.DATE_ONLY}"))
+
+    sizes = {
+        "errors_ab": errors("ab"),
+        "debt_separation": F.col("stats.ab.debt_separation_cases"),
+        "conflicts": F.col("stats.dedup.conflict_records"),
+    }
+    if r.schedule is not None:
+        sizes["errors_sb"] = errors("sb")
+        sizes["three_way_perfect"] = F.col(f"stats.three_way.{cmp.PERFECT}")
+        sizes["three_way_discrepancies"] = errors("three_way")
+    return F.struct(*(size.cast("bigint").alias(name) for name, size in sizes.items()))
 
 
 def read_payload(payload: DataFrame, schema: str) -> DataFrame:
