@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        if not spark.sparkContext.master.startswith("local[") and re.match(r"file:|/", warehouse):
+        if not spark.sparkContext.master.startswith("local[") and warehouse.startswith("file:"):
             raise ValueError("name a folder that all executors see in spark.checkpoint.dir")
         base = f"{warehouse}/_work"
         spark.conf.set("spark.checkpoint.dir", base)
