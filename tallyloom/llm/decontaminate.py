@@ -2,7 +2,7 @@
 
 Texts are cut into passages of two adjoining blocks of ``BLOCK`` words. Passages are TF-IDF
 vectors over the words of the benchmark; document frequencies count the blocks of all
-documents. A randomised SVD, distributed over a bounded sample of passages and the
+documents. A randomised SVD, distributed over the passages of all different texts and the
 benchmark's own, gives ``RANK`` latent dimensions. In these every passage of every document is
 compared by cosine with every passage of the benchmark (given in blocks of items). Places
 where ``RUN_SHARE`` of an item's runs of ``RUN`` words stand are candidates too, whatever their
@@ -26,6 +26,7 @@ are read whole; other columns pass through.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import drop_folder, settle, work_folder
+from tallyloom.llm.common import drop_folder, work_folder
 
 BLOCK = 24
 RANK, OVERSAMPLE = 160, 16
@@ -51,8 +52,8 @@ RUN_BITS, RUN_PAIRS = 20, 1 << 21
 #: A word weighs log((blocks + SMOOTH) / (its blocks + 1)) - COMMON, and nothing below that:
 #: words in more than about 2 % of the blocks are as good as stop words.
 SMOOTH, COMMON = 10_000, 4.0
-#: Different texts the basis is fitted on (by as many tasks), and items compared in one pass.
-SAMPLE_DOCS, SAMPLE_TASKS = 2_000, 6
+#: Different texts of a ``basis_sample``, and items compared in one pass.
+SAMPLE_DOCS = 2_000
 ITEMS = 2_000
 #: Passages compared, and bytes of text cut into words, at a time.
 ROWS, PORTION = 8_192, 1 << 21
@@ -70,13 +71,13 @@ def lowered(text: Column) -> Column:
     return F.lower(text).cast("binary")
 
 
-def portions(bodies) -> Iterator[list[bytes | None]]:
-    """Texts in turn, about PORTION bytes at a time."""
+def portions(bodies, portion: int = PORTION) -> Iterator[list[bytes | None]]:
+    """Texts in turn, about ``portion`` bytes at a time."""
     held, size = [], 0
     for body in bodies:
         held.append(body)
         size += len(body or b"")
-        if size >= PORTION:
+        if size >= portion:
             yield held
             held, size = [], 0
     if held:
@@ -253,7 +254,7 @@ def common_subsequence(masks: dict[int, int], size: int, words: np.ndarray) -> i
 class Index:
     items: Items
     weight: np.ndarray  # IDF by word number
-    basis: np.ndarray  # word number by dimension
+    basis: np.ndarray  # word number by dimension, times the weight
     queries: np.ndarray  # latent unit vectors of the items' passages
     least: np.ndarray  # squared weight a passage needs to hold so much of each
 
@@ -289,34 +290,68 @@ def block_frequencies(docs: DataFrame, text: str, items: Items) -> tuple[np.ndar
     return frequency, total
 
 
-def latent_basis(sample: DataFrame, items: Items, weight: np.ndarray, rank: int) -> np.ndarray:
+def weighted_words(docs: DataFrame, text: str, items: Items, weight: np.ndarray) -> DataFrame:
+    """One row per different text: its digest and, block by block, its words with a weight (-1 ends a block)."""
+    vocabulary = items.vocabulary
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bodies in (part for batch in batches for part in portions(batch["body"])):
+            texts = Texts.read(bodies, vocabulary)
+            block, word = texts.entries(weight)
+            last = np.flatnonzero(np.diff(block, append=-1))
+            laid = np.insert(word, last + 1, -1).astype(np.int32)
+            # Where each text's words and marks begin.
+            entry = np.searchsorted(block, texts.first_block)
+            begin = entry + np.searchsorted(last, entry)
+            kept = np.flatnonzero(np.diff(begin)).tolist()
+            digests = [hashlib.blake2b(bodies[k], digest_size=16).digest() for k in kept]
+            yield pd.DataFrame({"digest": digests, "words": [laid[begin[k] : begin[k + 1]].tobytes() for k in kept]})
+
+    return docs.select(lowered(F.col(text)).alias("body")).mapInPandas(read, "digest binary, words binary").distinct()
+
+
+def latent_basis(words: DataFrame, items: Items, weight: np.ndarray, rank: int) -> np.ndarray:
     """Right singular vectors of the weighted passages A, by a randomised range finder.
 
-    Two passes over the sample, summed by task: ``A' (A omega)``, then ``(A q)' (A q)``. The
-    benchmark's passages, made as heavy together as the sample, are added on the driver.
+    Two passes over ``weighted_words``, summed by task: ``A' (A omega)``, then ``(A q)' (A q)``. The
+    benchmark's passages, made as heavy together as the documents, are added on the driver.
     """
-    vocabulary, size = items.vocabulary, len(items.vocabulary)
+    size = len(items.vocabulary)
     width = min(size, rank + OVERSAMPLE)
     start = np.random.default_rng(0).standard_normal((size, width)).astype(np.float32)
     passage = np.repeat(np.arange(len(items.passage_words)), [len(w) for w in items.passage_words])
     own = np.concatenate(items.passage_words).astype(np.int64)
 
     def passed(right: np.ndarray, gram: bool) -> tuple[np.ndarray, float]:
+        height = width if gram else size
+
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total, mass = np.zeros((width if gram else size, width)), 0.0
-            for bodies in (part for batch in batches for part in portions(batch["body"])):
-                block, word = Texts.read(bodies, vocabulary).entries(weight)
-                total += product(block, word, weight, right, gram)
-                mass += float((weight[word].astype(np.float64) ** 2).sum())
-            yield pd.DataFrame({"mass": [mass], "sums": [total.astype(np.float32).tobytes()]})
-
-        # As many results as tasks: SAMPLE_TASKS matrices of words by dimensions.
-        sums = np.zeros((width if gram else size, width))
-        masses = []
-        for part in sample.mapInPandas(run, "mass double, sums binary").collect():
-            sums += np.frombuffer(part["sums"], dtype=np.float32).reshape(sums.shape)
-            masses.append(part["mass"])
-        return sums, sum(masses)
+            total = np.zeros((height + 1, width))  # the last row begins with the mass
+            for streams in (part for batch in batches for part in portions(batch["words"], PORTION // 16)):
+                laid = np.frombuffer(b"".join(streams), dtype=np.int32)
+                ends = laid < 0
+                block, word = (np.cumsum(ends) - ends)[~ends], laid[~ends].astype(np.int64)
+                total[:height] += product(block, word, weight, right, gram)
+                total[height, 0] += float((weight[word].astype(np.float64) ** 2).sum())
+            yield from as_rows(total)
+
+        def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros((height + 1, width))
+            for batch in batches:
+                np.add.at(total, batch["row"].to_numpy(), np.frombuffer(b"".join(batch["sums"]), dtype=np.float64).reshape(-1, width))
+            yield from as_rows(total)
+
+        def as_rows(total: np.ndarray) -> Iterator[pd.DataFrame]:
+            held = np.flatnonzero(total.any(axis=1))
+            for part in np.array_split(held, -(-len(held) // ROWS) or 1):
+                yield pd.DataFrame({"row": part.astype(np.int32), "sums": [total[k].tobytes() for k in part]})
+
+        # Tasks' sums meet by row, so the driver gets one matrix of words by dimensions.
+        kind = "row int, sums binary"
+        sums = np.zeros((height + 1, width))
+        for part in words.mapInPandas(run, kind).repartition("row").mapInPandas(add, kind).collect():
+            sums[part["row"]] += np.frombuffer(part["sums"], dtype=np.float64)
+        return sums[:height], float(sums[height, 0])
 
     total, mass = passed(start, gram=False)
     share = max(mass, 1.0) / max(float((weight[own].astype(np.float64) ** 2).sum()), 1e-9)
@@ -332,32 +367,44 @@ def product(block: np.ndarray, word: np.ndarray, weight: np.ndarray, right: np.n
     total = np.zeros((right.shape[1] if gram else len(weight), right.shape[1]))
     if not len(block):
         return total
-    head, y = block_sums(block, word, weight, right)
+    head, y = block_sums(block, word, right * weight[:, None])
     if gram:
         return y.T.astype(np.float64) @ y
-    rows = np.repeat(np.arange(len(head)), np.diff([*np.searchsorted(block, head), len(block)]))
+    row = np.searchsorted(head, block)
     order = np.argsort(word, kind="stable")
-    for part in np.array_split(order, max(1, len(order) // 50_000)):
-        heads = np.flatnonzero(np.diff(word[part], prepend=-1))
-        total[word[part][heads]] += np.add.reduceat(y[rows[part]] * weight[word[part], None], heads)
+    heads = np.flatnonzero(np.diff(word[order], prepend=-1))
+    found = word[order[heads]]
+    total[found] = added(y, row[order], heads) * weight[found, None]
     return total
 
 
-def block_sums(block: np.ndarray, word: np.ndarray, weight: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Blocks that have entries (ascending), and each one's weighted sum of rows of ``right``."""
+def block_sums(block: np.ndarray, word: np.ndarray, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks that have entries (ascending), and each one's sum of rows of ``weighted``."""
     heads = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-    y = np.empty((len(heads), right.shape[1]), dtype=np.float32)
+    y = np.empty((len(heads), weighted.shape[1]), dtype=np.float32)
     ends = np.append(heads[1:], len(block))
-    for a in range(0, len(heads), ROWS):
-        b = min(a + ROWS, len(heads))
-        part = slice(heads[a], ends[b - 1])
-        rows = right[word[part]] * weight[word[part], None]
-        y[a:b] = np.add.reduceat(rows, heads[a:b] - heads[a], axis=0)
+    for a in range(0, len(heads), ROWS // 8):
+        b = min(a + ROWS // 8, len(heads))
+        y[a:b] = added(weighted, word[heads[a] : ends[b - 1]], heads[a:b] - heads[a])
     return block[heads], y
 
 
+def added(rows: np.ndarray, index: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[index]`` by stretches that begin at ``heads``, all stretches side by side."""
+    sizes = np.diff(heads, append=len(index))
+    order = np.argsort(-sizes, kind="stable")
+    at, sizes = heads[order], sizes[order]
+    sums = rows[index[at]]
+    for k in range(1, int(sizes[0])):
+        longer = np.searchsorted(-sizes, -k)
+        sums[:longer] += rows[index[at[:longer] + k]]
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 def basis_sample(docs: DataFrame, text: str) -> DataFrame:
-    """About SAMPLE_DOCS different texts, whatever copies they have."""
+    """About SAMPLE_DOCS different texts, whatever copies they have: for a trial basis, no query takes it."""
     digest = F.xxhash64(F.col(text))
     count = docs.agg(F.approx_count_distinct(digest)).first()[0]
     chosen = docs if count <= SAMPLE_DOCS else docs.filter(digest < int(SAMPLE_DOCS / count * 2**64) - 2**63)
@@ -369,9 +416,14 @@ def build_index(docs: DataFrame, items: Items, text: str = "text", rank: int = R
         return None
     frequency, total = block_frequencies(docs, text, items)
     weight = (np.log((total + SMOOTH) / (frequency + 1.0)) - COMMON).clip(0).astype(np.float32)
-    sample = settle(basis_sample(docs, text), 2 * SAMPLE_DOCS).coalesce(SAMPLE_TASKS)
-    basis = latent_basis(sample, items, weight, rank)
-    queries = np.stack([(basis[w] * weight[w, None]).sum(axis=0) for w in items.passage_words])
+    spark = docs.sparkSession
+    folder = work_folder(spark, "basis")
+    try:
+        weighted_words(docs, text, items, weight).write.parquet(folder)
+        basis = latent_basis(spark.read.parquet(folder), items, weight, rank) * weight[:, None]
+    finally:
+        drop_folder(spark, folder)
+    queries = np.stack([basis[w].sum(axis=0) for w in items.passage_words])
     queries /= np.linalg.norm(queries, axis=1, keepdims=True).clip(1e-9)
     masses = np.array([(weight[w].astype(np.float64) ** 2).sum() for w in items.passage_words])
     return Index(items, weight, basis, queries, LEAST_WEIGHT * masses)
@@ -398,7 +450,7 @@ def candidates(texts: Texts, index: Index) -> tuple[np.ndarray, np.ndarray, np.n
     keep = used[block]
     row, y = np.full(count + 1, -1), np.zeros((0, index.queries.shape[1]), dtype=np.float32)
     if keep.any():
-        head, y = block_sums(block[keep], word[keep], index.weight, index.basis)
+        head, y = block_sums(block[keep], word[keep], index.basis)
         row[head] = np.arange(len(head))
     y = np.vstack([y, np.zeros(y.shape[1], dtype=np.float32)])  # row -1
 
