@@ -24,7 +24,7 @@ from tallyloom.operators import waterfall as wf
 from tallyloom.operators.literals import literal_rows
 from tallyloom.operators.skew import SkewGuard, expand_copies
 from tallyloom.plans.reconcile import EXACT_MONEY, Reconciliation
-from tallyloom.session import fill_cores, settle, tune, work_folder
+from tallyloom.session import fill_cores, settle, spread, tune, work_folder
 from tallyloom.sinks import outputs as out
 from tallyloom.sinks import versions as vs
 from tallyloom.sources import delimited as dl
@@ -398,7 +398,8 @@ def _loans(spark, folder) -> DataFrame:
     def share(part: float) -> Column:
         return (loan * F.lit(str(part)).cast("decimal(6,3)")).cast("decimal(18,2)")
 
-    return fill_cores(dv.table(spark, folder, "orders")).select(
+    # A loan becomes a row per year, folded in an interpreted expression.
+    return spread(dv.table(spark, folder, "orders")).select(
         "o_orderkey",
         loan.alias("loan"),
         share(PAYMENT_SHARE).alias("payment"),

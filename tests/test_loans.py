@@ -5,9 +5,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom import session
 from tallyloom.operators import bands as bd
 from tallyloom.operators import instalment as ins
 from tallyloom.operators import waterfall as wf
+from tallyloom.plans import catalog
 
 DUE = [1500, 2500, 3000, 3500, 4000, 4500, 5000, 6000, 7000, 8000, 9000, 10000, 11000, 12000]
 
@@ -56,6 +58,17 @@ def test_head_and_tail(loan):
     assert sorted(r.year for r in rows) == [1, 2, 3, 14]
 
 
+def test_tasks_of_a_schedule_do_not_grow_with_the_file(spark, tmp_path, monkeypatch):
+    """One file of orders is dealt to more tasks than the reader would make of it."""
+    orders = spark.range(40_000).selectExpr("id o_orderkey", "cast(1000 + id % 977 as double) o_totalprice")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "orders.parquet").glob("*.parquet"))
+    monkeypatch.setattr(session, "TASK_INPUT", size // 40)
+    sizes = catalog._loans(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 40 and max(r["count"] for r in sizes) < 2_000
+    assert sum(r["count"] for r in sizes) == 40_000
+
+
 def test_empty_due_list(spark):
     bare = spark.createDataFrame([(1, Decimal(5), Decimal(1), [])],
                                  "id int, loan decimal(18,2), payment decimal(18,2), due array<decimal(18,2)>")
