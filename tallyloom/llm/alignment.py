@@ -207,24 +207,26 @@ class Aligner:
         ]
 
     def learn(self, texts: list[list[bytes]]) -> dict[bytes, tuple[str, bytes]]:
-        """Windows of the texts that are not remembered; those seen before are, from now on."""
-        new = list({key for keys in texts for key in keys if key not in self.windows})
-        fresh = dict(zip(new, self.align_all(new))) if new else {}
-        for key, found in fresh.items():
+        """All windows of the texts, each looked up once; new ones seen before are remembered from now on."""
+        known = self.windows.get
+        table = {key: known(key) for key in set(chain.from_iterable(texts))}
+        new = [key for key, found in table.items() if found is None]
+        for key, found in zip(new, self.align_all(new) if new else []):
+            table[key] = found
             place = hash(key) & SEEN_MASK
             if not self.seen[place]:
                 self.seen[place] = 1
             elif len(key) <= LONGEST * self.kind.itemsize and self.bytes < REMEMBERED:
                 self.bytes += ENTRY + len(key) + len(found[0]) + len(found[1])
                 self.windows[key] = found
-        return fresh
+        return table
 
-    def links(self, keys: list[bytes], fresh: dict[bytes, tuple[str, bytes]]) -> tuple[str, np.ndarray, np.ndarray]:
+    def links(self, keys: list[bytes], table: dict[bytes, tuple[str, bytes]]) -> tuple[str, np.ndarray, np.ndarray]:
         """(groups as text, codes of the different pairs, how often each is linked) of a text."""
-        known = self.windows.get
-        found = [known(key) or fresh[key] for key in keys]
-        code, times = np.unique(np.frombuffer(b"".join([c for _, c in found]), dtype=np.int64), return_counts=True)
-        if all(codes for _, codes in found):
+        found = [table[key] for key in keys]
+        listed = [codes for _, codes in found]
+        code, times = np.unique(np.frombuffer(b"".join(listed), dtype=np.int64), return_counts=True)
+        if b"" not in listed:
             return ";".join([shown for shown, _ in found]), code, times
         # A group of very many tokens is counted, not listed.
         counts, whole = dict(zip(code.tolist(), times.tolist())), []
@@ -284,9 +286,9 @@ def align_documents(docs: DataFrame, key: str, text: str, a_path: str, b_path: s
         for ids, bodies in (part for batch in batches for part in _portions(batch)):
             encoded = [aligner.encode(body) for body in bodies]
             cut = aligner.cut([e for e in encoded if e[0]]) if any(e[0] for e in encoded) else []
-            fresh, keys, rows = aligner.learn(cut), iter(cut), []
+            table, keys, rows = aligner.learn(cut), iter(cut), []
             for name, (a, b) in zip(ids, encoded):
-                shown, code, linked = aligner.links(next(keys) if a else [], fresh)
+                shown, code, linked = aligner.links(next(keys) if a else [], table)
                 digest = hashlib.sha256(shown.encode()).hexdigest() if a else ""
                 rows.append((row, None if pd.isna(name) else int(name), len(a), len(b), shown.count("|"), int(linked.sum()), digest, code, linked))
                 row += 1

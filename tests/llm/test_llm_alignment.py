@@ -124,6 +124,32 @@ def test_windows_are_remembered_within_their_bytes(monkeypatch):
     assert max(map(len, aligner.windows)) <= 2 * alignment.LONGEST
 
 
+def test_a_portion_looks_a_window_up_once():
+    """However often a window stands in a portion, the large table is asked once."""
+
+    class Asked(dict):
+        times = 0
+
+        def get(self, key):
+            self.times += 1
+            return super().get(key)
+
+        __getitem__ = None
+
+        def __contains__(self, key):
+            self.times += 1
+            return super().__contains__(key)
+
+    aligner = alignment.Aligner(A, B)
+    cut = aligner.cut([aligner.encode("one two three two one " * 50 + f"last{k}") for k in range(6)])
+    want = [aligner.links(keys, aligner.learn(cut)) for keys in cut]
+    aligner.windows = Asked(aligner.windows)
+    table = aligner.learn(cut)
+    got = [aligner.links(keys, table) for keys in cut]
+    assert [(s, c.tolist(), t.tolist()) for s, c, t in got] == [(s, c.tolist(), t.tolist()) for s, c, t in want]
+    assert aligner.windows.times == len({key for keys in cut for key in keys}) < sum(map(len, cut)) // 5
+
+
 def test_quick_encoder_equals_the_tokenizer(spark, folder):
     steady = Tokenizer.from_file(A)
     steady.encode_special_tokens = True
