@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline as cp
 from llm_tables import no_documents, odd_documents
-from tallyloom.llm import simhash
+from tallyloom.llm import decontaminate, simhash
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -81,3 +81,18 @@ def test_stage_takes_odd_and_empty_tables(spark, folder, name, stage):
 def test_run_is_its_stages(spark, folder):
     out = cp.run(spark, folder)
     assert out.count() > 100 and out.columns[:2] == ["doc_id", "start"]
+
+
+def test_decontamination_takes_no_sample(spark, tmp_path, monkeypatch):
+    """The stage fits its basis on all documents it is given."""
+
+    def sampled(*_):
+        raise AssertionError("a sample")
+
+    monkeypatch.setattr(decontaminate, "basis_sample", sampled)
+    item = " ".join(f"rare{k} word{k % 7}" for k in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(k, " ".join(f"some{(k * j) % 89} text" for j in range(30)) + (f" {item}" if k % 5 == 0 else ""), "en", "a", 1) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.without_benchmark(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [k for k in range(60) if k % 5]
