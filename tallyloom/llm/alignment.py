@@ -29,6 +29,7 @@ import json
 import os
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain, pairwise
 
 import numpy as np
@@ -43,6 +44,10 @@ from tallyloom.llm.encoding import _byte_letters, tokenizer_path
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Fixed value: how the byte-level tokenizer cuts a text before it merges bytes.
 CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same cuts in a plainly spaced text, without looking ahead.
+PLAIN_CUTS = CUTS.replace(r"|\s+(?!\S)|\s+", r"|\s")
+#: Pieces do not go on over a blank that follows another sign.
+PIECE_CUTS = " [^ ]*"
 #: Signs without a blank, or blanks, from which the slower but steady encoder is used.
 LONG_RUN = 400
 #: Bytes of windows that a worker remembers, the most ids of one, and what an entry takes beside them.
@@ -77,14 +82,18 @@ class ByteTokens:
         # Merging by rank gives the same ids where ranks and numbers are in one order.
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = [model["vocab"][left + right] for left, right in merges]
-        self.quick = None
+        self.quick = self.plain = None
         if made == sorted(made) and len(set(made)) == len(made) and (not made or made[0] >= 256):
             ranks = {spelt: number for number, spelt in enumerate(self.spelt) if spelt}
-            self.quick = tiktoken.Encoding("bytes", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
-
-    def __call__(self, text: str) -> list[int]:
-        if self.quick and not _has_long_run(text):
-            return self.quick.encode_ordinary(text)
+            self.quick, self.plain = (
+                tiktoken.Encoding("bytes", pat_str=cuts, mergeable_ranks=ranks, special_tokens={}) for cuts in (CUTS, PLAIN_CUTS)
+            )
+
+    def __call__(self, text: str, spaced: tuple[bool, bool] | None = None) -> list[int]:
+        """``spaced`` is that of the text, or of the text without one blank before it."""
+        long_run, plain = spaced or spacing(text)
+        if self.quick and not long_run:
+            return (self.plain if plain else self.quick).encode_ordinary(text)
         if self.steady is None:
             from tokenizers import Tokenizer
 
@@ -94,26 +103,78 @@ class ByteTokens:
         return self.steady.encode(text, add_special_tokens=False).ids
 
 
-def _has_long_run(text: str) -> bool:
-    chunks = text.split()
-    blanks = len(text) - sum(map(len, chunks))
-    return blanks - len(chunks) > LONG_RUN or max(map(len, chunks), default=0) > LONG_RUN
+def spacing(text: str) -> tuple[bool, bool]:
+    """Has the text long runs, and is it plainly spaced: by single blanks of any kind or two line ends, inside only?"""
+    sizes = list(map(len, text.split()))
+    more = len(text) - sum(sizes) - len(sizes)
+    # A blank at an end, or any more in a run, counts here; two line ends count once on both sides.
+    return more > LONG_RUN or max(sizes, default=0) > LONG_RUN, more + 1 == text.count("\n\n")
 
 
 class PieceTokens:
-    """B: ids of a text, and the bytes of every id."""
+    """B: ids of a text (none if they do not spell the blank and the text), and the bytes of every id."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        self.model = SentencePieceProcessor(model_file=path)
+        self.path, self.model = path, SentencePieceProcessor(model_file=path)
         self.spelt = []
         for number in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(number)
             self.spelt.append(bytes([int(piece[3:-1], 16)]) if self.model.is_byte(number) else piece.replace(SPACE, " ").encode())
 
-    def __call__(self, text: str) -> list[int]:
-        return self.model.encode(text)
+    def __call__(self, text: str, spaced: tuple[bool, bool] | None = None) -> list[int]:
+        long_run, plain = spaced or spacing(text)
+        # The quick encoder spells whatever it reads.
+        if self.quick and plain and not long_run and SPACE not in text:
+            encoding, one, parts = self.quick
+            ranks = encoding.encode_ordinary(" " + text)
+            ids = list(map(one.__getitem__, ranks))
+            return ids if -1 not in ids else list(chain.from_iterable(map(parts.__getitem__, ranks)))
+        ids = self.model.encode(text)
+        return ids if b"".join(map(self.spelt.__getitem__, ids)) == f" {text}".encode() else []
+
+    @cached_property
+    def quick(self):
+        """An encoder by rank, and by rank the id (-1: several) and all ids; None if the model is not of the kind it copies.
+
+        Bytes become signs first, by ranks below those of all pieces; then pieces merge in order of their
+        scores, as in the model. What a sign not in the vocabulary begins with becomes its bytes' ids.
+        """
+        import tiktoken
+
+        try:
+            from sentencepiece import sentencepiece_model_pb2 as layout
+        except ImportError:  # without protobuf
+            return None
+        with open(self.path, "rb") as file:
+            whole = layout.ModelProto.FromString(file.read())
+        kind, rules, types = whole.trainer_spec, whole.normalizer_spec, layout.ModelProto.SentencePiece
+        if kind.model_type != kind.BPE or not kind.byte_fallback or kind.treat_whitespace_as_suffix:
+            return None
+        if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not (rules.add_dummy_prefix and rules.escape_whitespaces):
+            return None
+        if any(p.type in (types.USER_DEFINED, types.UNUSED) for p in whole.pieces):
+            return None
+        byte = {self.spelt[number]: number for number, p in enumerate(whole.pieces) if p.type == types.BYTE}
+        # Runs of blanks are left to the model.
+        normal = {number: p for number, p in enumerate(whole.pieces) if p.type == types.NORMAL and (p.piece == SPACE or p.piece.strip(SPACE))}
+        merged = sorted((number for number, p in normal.items() if len(p.piece) > 1), key=lambda number: -normal[number].score)
+        if any(normal[a].score == normal[b].score for a, b in pairwise(merged)) or any(SPACE in p.piece.lstrip(SPACE) for p in normal.values()):
+            return None
+        # A chunk that is a piece is taken whole, so it must be the model's choice too.
+        if any(self.model.encode(p.piece[1:]) != [n] for n, p in normal.items() if p.piece[:1] == SPACE != p.piece):
+            return None
+        signs = {self.spelt[n]: n for n, p in normal.items() if len(p.piece) == 1}
+        parts = {key: (number,) for key, number in byte.items()}
+        for sign, number in signs.items():
+            for k in range(2, len(sign)):
+                parts[sign[:k]] = tuple(byte[sign[i : i + 1]] for i in range(k))
+            parts[sign] = (number,)
+        parts |= {self.spelt[number]: (number,) for number in merged}
+        ranks = {key: rank for rank, key in enumerate(parts)}
+        one = [ids[0] if len(ids) == 1 else -1 for ids in parts.values()]
+        return tiktoken.Encoding("pieces", pat_str=PIECE_CUTS, mergeable_ranks=ranks, special_tokens={}), one, list(parts.values())
 
 
 def align(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> list[tuple[list[int], list[int]]]:
@@ -153,10 +214,10 @@ class Aligner:
     def encode(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of both; none if they do not spell the blank and the text."""
         if text:
-            b = self.b(text)
+            spaced = spacing(text)
             # A merges bytes and nothing else, so its tokens always spell the text.
-            if b"".join(map(self.b.spelt.__getitem__, b)) == f" {text}".encode():
-                return self.a(" " + text), b
+            if b := self.b(text, spaced):
+                return self.a(" " + text, spaced), b
         return [], []
 
     def align(self, key: bytes) -> list[tuple[list[int], list[int]]]:

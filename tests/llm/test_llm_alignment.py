@@ -161,6 +161,67 @@ def test_quick_encoder_equals_the_tokenizer(spark, folder):
             assert tokens(" " + text) == steady.encode(" " + text, add_special_tokens=False).ids
 
 
+def spaced_and_odd_texts():
+    """Plainly spaced texts of words, pieces and signs in and out of the vocabulary, and texts of odd blanks."""
+    rng = random.Random(12)
+    model = sentencepiece.SentencePieceProcessor(model_file=B)
+    pieces = [model.id_to_piece(i).replace("▁", "") for i in range(259, model.get_piece_size())]
+    signs = [chr(rng.choice([rng.randrange(33, 0x2500), rng.randrange(0x4E00, 0x9FFF), rng.randrange(0x1F300, 0x1FA00)])) for _ in range(400)]
+    blanks = ["\n", "\n\n", "\n\n\n", " ", "  ", "\t", "\r", "\x1c", "\x85", "\u3000", "\xa0", "a", "ß", "'s", "1"]
+    texts = [t for t in ODD if t] + ["<0x41>\n\n<s> it's", "\x1c a", "one\n" * 900, "a\n\nb c\n\n", "\n\na", "x \n y"]
+    texts += [" ".join("".join(rng.choices(of, k=rng.randint(1, 5))) for _ in range(8)) for of in (pieces, signs, pieces + signs) for _ in range(150)]
+    return texts + [t for t in ("".join(rng.choices(blanks, k=rng.randint(1, 7))) for _ in range(600)) if t]
+
+
+def test_quick_pieces_are_those_of_the_model(spark, folder):
+    """The encoder by rank is taken, and has the ids of the model itself."""
+    tokens = alignment.PieceTokens(B)
+    assert tokens.quick
+    encode, whole = tokens.model.encode, []
+    tokens.model = type("Model", (), {"encode": lambda _, text: whole.append(text) or encode(text)})()
+    texts = [*spaced_and_odd_texts(), *(r.text for r in spark.read.parquet(f"{folder}/documents.parquet").limit(60).collect() if r.text)]
+    for text in texts:
+        want = encode(text)
+        spelt = b"".join(tokens.spelt[i] for i in want) == f" {text}".encode()
+        assert tokens(text) == (want if spelt else []), text
+    assert len(texts) - len(whole) > 450
+
+
+def test_plain_cuts_are_those_that_look_ahead():
+    tokens, plain = alignment.ByteTokens(A), 0
+    for text in spaced_and_odd_texts():
+        spaced = alignment.spacing(text)
+        if not spaced[0]:
+            assert tokens(" " + text, spaced) == tokens.quick.encode_ordinary(" " + text), text
+            plain += spaced[1]
+    assert plain > 450
+
+
+def test_spacing():
+    plain = ["a", "a b", "a\n\nb\nc d", "a\x85b"]
+    other = ["", " ", " a", "a ", "a  b", "a\n\n\nb", "a\n b", "a\n\n", "\n\na", "\n\n", "a\n\n\n\nb"]
+    assert all(alignment.spacing(t) == (False, True) for t in plain) and all(alignment.spacing(t) == (False, False) for t in other)
+    assert alignment.spacing("x" * 401 + " y") == (True, True) and alignment.spacing("x" + " " * 403 + "y")[0]
+
+
+def test_pieces_of_another_kind_of_model_are_left_to_it(tmp_path):
+    """Changed rules of the model, or scores without an order, leave all texts to the model."""
+    from sentencepiece import sentencepiece_model_pb2 as layout
+
+    def kept(change):
+        whole = layout.ModelProto.FromString(open(B, "rb").read())
+        change(whole)
+        path = tmp_path / "changed.model"
+        path.write_bytes(whole.SerializeToString())
+        tokens = alignment.PieceTokens(str(path))
+        return tokens.quick is None and tokens("some plain text") == tokens.model.encode("some plain text")
+
+    assert kept(lambda m: setattr(m.trainer_spec, "model_type", m.trainer_spec.UNIGRAM))
+    assert kept(lambda m: setattr(m.normalizer_spec, "remove_extra_whitespaces", True))
+    assert kept(lambda m: setattr(m.pieces[300], "type", layout.ModelProto.SentencePiece.USER_DEFINED))
+    assert kept(lambda m: setattr(m.pieces[300], "score", m.pieces[301].score))
+
+
 def test_a_group_of_many_tokens_is_not_listed_pair_by_pair():
     a_size, b_size = [3, 1], [2, 1]
     groups = alignment.align([0, 0, 1], [1, 1, 1, 0, 0], a_size, b_size)
